@@ -6,16 +6,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from featureflow.operators.lookup import attach_pinned, pin
+from featureflow.operators.lookup import HOT_SHARE, attach_pinned, local_copy, pin, with_row
 from featureflow.operators.order import running_totals
 
-# A window may hold this many candidate values of one key; beyond it the running count is spread
-# over range partitions.
-WINDOW_ROWS = 1_000_000
+# Values of one key that may go through one window task.
+WINDOW_ROWS = 500_000
 # Distinct values per key up to which a value -> count table per key is small.
 TALLY_VALUES = 100_000
 
@@ -25,6 +24,30 @@ def global_avg(df: DataFrame, *columns: str) -> DataFrame:
     return df.agg(*[F.avg(c).alias(c) for c in columns])
 
 
+def _tallied(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
+    """Rows per key, zone and distinct value, combined map-side."""
+    return df.groupBy(*keys, "__zone", "__v").agg(F.count(F.lit(1)).alias("__rows"), *extra)
+
+
+def _middle_of(counted: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Pick the middle ranks from running counts ``__reached`` of ``__n`` values per key."""
+    lower_rank = F.floor((F.col("__n") + 1) / 2)
+    upper_rank = F.floor(F.col("__n") / 2) + 1
+    inside = F.col("__zone") == 1
+    picked = counted.groupBy(*keys).agg(
+        F.min(F.when(inside & (F.col("__reached") >= lower_rank), F.col("__v"))).alias("__low"),
+        F.min(F.when(inside & (F.col("__reached") >= upper_rank), F.col("__v"))).alias("__high"),
+        F.max("__n").alias("__n"),
+        F.max(F.when((F.col("__zone") == 0) & (F.col("__reached") >= lower_rank), True)).alias("__missed"),
+    )
+    lost = F.coalesce("__missed", F.lit(False)) | F.col("__low").isNull() | F.col("__high").isNull()
+    # The sketch's error bound rules this out; should it ever be broken the job must not go on.
+    checked = F.when(lost, F.raise_error(F.lit("the median left its bracket"))).otherwise(
+        (F.col("__low") + F.col("__high")) / 2
+    )
+    return picked.select(*keys, F.when(F.col("__n") > 0, checked).alias(out))
+
+
 def exact_median(
     df: DataFrame,
     value: str,
@@ -37,62 +60,62 @@ def exact_median(
 
     Null values are ignored; a key with none left gives null. NaN sorts last.
 
+    While no key has more than ``window_rows`` values, a running count over the distinct values of
+    each key finds the middle. With larger keys the values are narrowed first:
+
     1. A quantile sketch per key gives a bracket of values sure to hold the middle ranks, a few
        ``1/accuracy`` of the rows wide. Sketches merge map-side, so only sketches are shuffled.
     2. Rows are counted below the bracket and per distinct value inside it; both counts combine
        map-side, so a key with a third of all rows sends little more than its bracket.
-    3. A running count over the bracket picks the middle ranks. It runs as a window per key when
-       no bracket can exceed ``window_rows``, and over range partitions otherwise.
+    3. The running count covers the brackets, as a window per key if none can exceed
+       ``window_rows``, and over range partitions otherwise.
     """
     keys = list(by)
-    number = F.col(value).cast("double")
-    sortable = F.nanvl(number, F.lit(float("inf")))
+    rows = df.select(*keys, F.col(value).cast("double").alias("__v"))
+    order = [F.col("__zone").asc(), F.col("__v").asc_nulls_first()]
+    per_key = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+
+    sizes = rows.groupBy(*keys).agg(F.count("__v").alias("__n"))
+    largest = sizes.agg(F.max("__n")).first()[0] or 0
+    if largest <= window_rows:
+        whole_key = W.partitionBy(*keys)
+        zoned = rows.withColumn("__zone", F.when(F.col("__v").isNull(), 2).otherwise(1))
+        counted = _tallied(zoned, keys).select(
+            "*",
+            F.sum("__rows").over(per_key).alias("__reached"),
+            F.sum(F.when(F.col("__zone") == 1, F.col("__rows")).otherwise(0)).over(whole_key).alias("__n"),
+        )
+        return _middle_of(counted, keys, out)
+
+    sortable = F.nanvl("__v", F.lit(float("inf")))
     margin = 3.0 / accuracy
     ends = F.percentile_approx(sortable, F.array(F.lit(0.5 - margin), F.lit(0.5 + margin)), F.lit(accuracy))
-    brackets, small = pin(
-        df.groupBy(*keys)
-        .agg(ends.alias("__ends"), F.count(number).alias("__n"))
-        .select(*keys, F.col("__ends")[0].alias("__lo"), F.col("__ends")[1].alias("__hi"), "__n")
+    brackets = (
+        rows.groupBy(*keys)
+        .agg(ends.alias("__ends"), F.count("__v").alias("__n"), F.count(F.lit(1)).alias("__all"))
+        .select(*keys, F.col("__ends")[0].alias("__lo"), F.col("__ends")[1].alias("__hi"), "__n", "__all")
     )
-    largest = brackets.agg(F.max("__n")).first()[0] or 0
-
-    rows = attach_pinned(
-        df.select(*keys, number.alias("__v")), brackets, small, keys, salt_by=[*keys, "__v"]
-    )
-    sortable = F.nanvl("__v", F.lit(float("inf")))
+    if keys:
+        held, small = pin(brackets)
+        hot = None
+        if not small:
+            total = held.agg(F.sum("__all")).first()[0]
+            hot = local_copy(held.where(F.col("__all") * HOT_SHARE > total).select(*keys))
+        bracketed = attach_pinned(rows, held, small, keys, hot=hot)
+    else:
+        bracketed = with_row(rows, brackets)
     zone = (
         F.when(F.col("__v").isNull() | (sortable > F.col("__hi")), 2)
         .when(sortable < F.col("__lo"), 0)
         .otherwise(1)
     )
-    tallies = (
-        rows.withColumn("__zone", zone)
-        .withColumn("__v", F.when(F.col("__zone") == 1, F.col("__v")))
-        .groupBy(*keys, "__zone", "__v")
-        .agg(F.count(F.lit(1)).alias("__rows"), F.max("__n").alias("__n"))
-    )
-    order = [F.col("__zone").asc(), F.col("__v").asc_nulls_first()]
+    zoned = bracketed.withColumn("__zone", zone).withColumn("__v", F.when(F.col("__zone") == 1, F.col("__v")))
+    tallies = _tallied(zoned, keys, F.max("__n").alias("__n"))
     if largest * 8 <= window_rows * accuracy:
-        per_key = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
         counted = tallies.withColumn("__reached", F.sum("__rows").over(per_key))
     else:
         counted = running_totals(tallies, order, {"__reached": F.col("__rows")}, by=keys)
-
-    lower_rank = F.floor((F.col("__n") + 1) / 2)
-    upper_rank = F.floor(F.col("__n") / 2) + 1
-    inside = F.col("__zone") == 1
-    picked = counted.groupBy(*keys).agg(
-        F.min(F.when(inside & (F.col("__reached") >= lower_rank), F.col("__v"))).alias("__low"),
-        F.min(F.when(inside & (F.col("__reached") >= upper_rank), F.col("__v"))).alias("__high"),
-        F.max("__n").alias("__n"),
-        F.max(F.when((F.col("__zone") == 0) & (F.col("__reached") >= lower_rank), True)).alias("__missed"),
-    )
-    lost = F.coalesce("__missed", F.lit(False)) | F.col("__low").isNull() | F.col("__high").isNull()
-    # The sketch's error bound rules this out; should it ever be broken the job must not go on.
-    checked = F.when(lost, F.raise_error(F.lit("the median left its bracket"))).otherwise(
-        (F.col("__low") + F.col("__high")) / 2
-    )
-    return picked.select(*keys, F.when(F.col("__n") > 0, checked).alias(out))
+    return _middle_of(counted, keys, out)
 
 
 def approx_median(
@@ -115,19 +138,6 @@ def tally(df: DataFrame, value: str, by: Sequence[str] = (), count: str = "n") -
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias(count))
 
 
-def weighted_middle(values: pd.Series, counts: pd.Series) -> float:
-    """Median of ``values`` repeated ``counts`` times."""
-    sizes = counts.to_numpy()
-    if sizes.sum() == 0:
-        return None
-    position = np.argsort(values.to_numpy(), kind="stable")
-    reached = np.cumsum(sizes[position])
-    total = reached[-1]
-    low, high = np.searchsorted(reached, [(total + 1) // 2, total // 2 + 1])
-    ordered = values.to_numpy()[position]
-    return float((ordered[low] + ordered[high]) / 2)
-
-
 def register_middle(spark: SparkSession, name: str = "middle") -> str:
     """Register the median as a SQL aggregate ``name(value, count)`` over tallied values.
 
@@ -135,9 +145,15 @@ def register_middle(spark: SparkSession, name: str = "middle") -> str:
     ``tally`` where ``few_values`` holds; ``exact_median`` has no such limit.
     """
 
+    # Nested and self-contained: executors need no copy of this package to run it.
     @F.pandas_udf("double")
     def middle(values: pd.Series, counts: pd.Series) -> float:
-        return weighted_middle(values, counts)
+        position = np.argsort(values.to_numpy(), kind="stable")
+        ordered, reached = values.to_numpy()[position], np.cumsum(counts.to_numpy()[position])
+        if len(reached) == 0 or reached[-1] == 0:
+            return None
+        low, high = np.searchsorted(reached, [(reached[-1] + 1) // 2, reached[-1] // 2 + 1])
+        return float((ordered[low] + ordered[high]) / 2)
 
     spark.udf.register(name, middle)
     return name

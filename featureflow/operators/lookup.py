@@ -1,15 +1,16 @@
 """Joining a table of fitted statistics (one row per key) back to the rows.
 
-Two ways, chosen by the measured size of the statistics:
-
-* at most ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` bytes: pinned as a local table and
-  broadcast, so the rows are not shuffled;
-* more: checkpointed, then joined on key + salt. The statistics are repeated once per salt value
-  and the rows of one key spread over all of them, so a key with a third of the rows does not
-  end in one task.
-
-Both ways pin the statistics first. They may come from approximate or order-dependent aggregates,
-and a retried task must see the same values as the tasks that finished before it.
+Statistics are evaluated once and held still before they are joined: they may come from
+approximate or order-dependent aggregates, and a retried task must see the values its finished
+neighbours saw. Then, by measured size:
+
+* one row in all: its values enter the plan as literals;
+* at most ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` bytes: broadcast, the rows stay where
+  they are;
+* more: a shuffle join in which hot keys are spread. A key is hot with more than one in
+  ``HOT_SHARE`` of the rows, so there are fewer than ``HOT_SHARE`` of them and their statistics can
+  always be broadcast. Rows of hot keys take those, and go through the join under a salt that
+  matches nothing, evenly over all tasks; all other rows meet the table on their key.
 """
 
 from __future__ import annotations
@@ -20,22 +21,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.session import checkpointed
+from featureflow.session import written_table
 
 BROADCAST_ROWS = 10_000
 BROADCAST_BYTES = 8 * 1024 * 1024
-SALTS = 32
+HOT_SHARE = 1_000
+HOT_SALTS = 1 << 20
+
+
+def local_copy(df: DataFrame) -> DataFrame:
+    """``df``, known to be small, evaluated into a local table."""
+    return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
 
 
 def pin(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Evaluate ``df`` once and hold the result still; the flag says whether it is small.
+    """Evaluate ``df`` once and hold the result; the flag says whether it may be broadcast.
 
-    Only up to ``rows + 1`` rows reach the driver, which is what makes the size check cheap.
+    The result is written to the shared folder first, so finding out that it is large costs no
+    second evaluation; the driver sees at most ``rows + 1`` rows.
     """
-    head = df.limit(rows + 1).toArrow()
+    written = written_table(df, "stats")
+    head = written.limit(rows + 1).toArrow()
     if head.num_rows <= rows and head.nbytes <= size:
         return df.sparkSession.createDataFrame(head, schema=df.schema), True
-    return checkpointed(df), False
+    return written, False
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], right_keys: Sequence[str]) -> Column:
@@ -44,21 +53,31 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], right_keys
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[r]) for k, r in pairs])
 
 
+def with_row(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """Add the columns of a one-row table as literals."""
+    (row,) = stats.collect()
+    return df.withColumns({c: F.lit(row[c]).cast(stats.schema[c].dataType) for c in stats.columns})
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
+    """Keys with more than one in ``share`` of the rows: fewer than ``share``, so a local table."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return local_copy(counts.where(F.col("__n") * share > df.count()).select(*keys))
+
+
 def attach(
     df: DataFrame,
     stats: DataFrame,
     keys: Sequence[str],
     salt_by: Sequence[str] | None = None,
     rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Left join ``stats`` (one row per ``keys``) to ``df``; null keys match null keys.
 
-    ``salt_by`` names the columns that tell rows of one key apart (default: all columns). The salt
-    is a hash of them, not a random number, so a retried task sends each row where it went before.
+    ``salt_by`` names the columns that tell the rows of one key apart (default: all columns).
     """
     held, small = pin(stats, rows=rows)
-    return attach_pinned(df, held, small, keys, salt_by, salts)
+    return attach_pinned(df, held, small, keys, salt_by)
 
 
 def attach_pinned(
@@ -67,20 +86,40 @@ def attach_pinned(
     small: bool,
     keys: Sequence[str],
     salt_by: Sequence[str] | None = None,
-    salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """``attach`` for statistics that went through ``pin`` already."""
-    renamed = [f"__{k}" for k in keys]
-    side = held.withColumnsRenamed(dict(zip(keys, renamed, strict=True)))
-    if not keys:
-        if not small:
-            raise ValueError("statistics without keys must be a single row")
-        # One pinned row: its values enter the plan as literals.
-        (row,) = held.collect()
-        return df.withColumns({c: F.lit(row[c]).cast(held.schema[c].dataType) for c in held.columns})
+    """``attach`` for statistics that went through ``pin``. ``hot``: the hot keys, where known."""
     if small:
-        return df.join(F.broadcast(side), null_safe(df, side, keys, renamed), "left").drop(*renamed)
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*(salt_by or df.columns)), F.lit(salts)).cast("int"))
-    side = side.withColumn("__salt_of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    on = null_safe(salted, side, [*keys, "__salt"], [*renamed, "__salt_of"])
-    return salted.join(side, on, "left").drop(*renamed, "__salt", "__salt_of")
+        return _broadcast_join(df, held, keys)
+    return _spread_join(df, held, keys, salt_by, hot_keys(df, keys) if hot is None else hot)
+
+
+def _broadcast_join(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    renamed = [f"__{k}" for k in keys]
+    side = side.withColumnsRenamed(dict(zip(keys, renamed, strict=True)))
+    return df.join(F.broadcast(side), null_safe(df, side, keys, renamed), "left").drop(*renamed)
+
+
+def _spread_join(
+    df: DataFrame, held: DataFrame, keys: Sequence[str], salt_by: Sequence[str] | None, hot: DataFrame
+) -> DataFrame:
+    values = [c for c in held.columns if c not in keys]
+    columns = df.columns
+    # The hot keys with their statistics, if they have any.
+    known = _broadcast_join(held, hot.withColumn("__hot", F.lit(True)), keys).where("__hot")
+    hot_stats = local_copy(_broadcast_join(hot, local_copy(known.drop("__hot")), keys))
+    hot_stats = hot_stats.select(*keys, *[F.col(c).alias(f"__h_{c}") for c in values], F.lit(True).alias("__hot"))
+    # A hash, not a random number: a retried task sends each row where it went before.
+    salt = F.pmod(F.xxhash64(*(salt_by or columns)), F.lit(HOT_SALTS)) + 1
+    rows = _broadcast_join(df, hot_stats, keys).withColumn(
+        "__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0).cast("bigint"))
+    )
+    renamed = [f"__{k}" for k in keys]
+    side = held.select(
+        *[F.col(k).alias(r) for k, r in zip(keys, renamed, strict=True)], *values, F.lit(0).cast("bigint").alias("__of")
+    )
+    joined = rows.join(side, null_safe(rows, side, [*keys, "__salt"], [*renamed, "__of"]), "left")
+    return joined.select(
+        *columns,
+        *[F.when(F.col("__hot"), F.col(f"__h_{c}")).otherwise(F.col(c)).alias(c) for c in values],
+    )

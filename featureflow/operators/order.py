@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from featureflow.operators.lookup import attach
+from featureflow.operators.lookup import attach_pinned, local_copy, pin
 from featureflow.session import checkpointed
 
 # monotonically_increasing_id keeps the partition number above 33 bits of row number.
@@ -51,7 +51,10 @@ def running_totals(
         *[F.coalesce(F.sum(f"__t_{n}").over(earlier), F.lit(0)).alias(f"__b_{n}") for n in totals],
     )
     local = W.partitionBy("__part", *by).orderBy("__id").rowsBetween(W.unboundedPreceding, 0)
-    joined = attach(rows, before, ["__part", *by], salt_by=["__id"], salts=1)
+    # Without keys that is one row per partition; no (partition, key) pair exceeds a partition.
+    held, small = pin(before) if by else (local_copy(before), True)
+    no_hot = local_copy(before.select("__part", *by).limit(0))
+    joined = attach_pinned(rows, held, small, ["__part", *by], hot=no_hot)
     return joined.withColumns(
         {n: F.col(f"__b_{n}") + F.sum(e).over(local) for n, e in totals.items()}
     ).drop("__id", "__part", *[f"__b_{n}" for n in totals])

@@ -8,7 +8,7 @@ from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.operators.lookup import attach
+from featureflow.operators.lookup import HOT_SHARE, attach_pinned, local_copy, pin
 
 
 def tokens(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
@@ -26,18 +26,27 @@ def term_counts(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     )
 
 
-def idf_table(counts: DataFrame, documents: DataFrame) -> DataFrame:
-    """(term, df, idf) with idf = ln((N + 1) / (df + 1)), N the rows of ``documents``."""
+def idf_table(documents: DataFrame, text: str = "text") -> DataFrame:
+    """(term, df, idf) with idf = ln((N + 1) / (df + 1)), N the rows of ``documents``.
+
+    One row is one document. Its words are made distinct inside the row, so only per-task counts
+    per word are shuffled, never (document, word) pairs.
+    """
     total = documents.agg(F.count(F.lit(1))).scalar()
-    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    words = tokens(documents.select(text), text).select(F.explode(F.array_distinct("words")).alias("term"))
+    frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return frequency.withColumn("idf", F.log((total + 1) / (F.col("df") + 1)))
 
 
 def tfidf(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
-    """(key, term, tf, idf, tfidf). Common words are hot keys of this join, so it is salted."""
-    return attach(counts, idf.select("term", "idf"), ["term"], salt_by=[key]).withColumn(
-        "tfidf", F.col("tf") * F.col("idf")
-    )
+    """(key, term, tf, idf, tfidf). Common words are hot keys of this join; ``df`` tells which."""
+    held, small = pin(idf)
+    hot = None
+    if not small:
+        pairs = held.agg(F.sum("df")).first()[0]
+        hot = local_copy(held.where(F.col("df") * HOT_SHARE > pairs).select("term"))
+    joined = attach_pinned(counts, held.drop("df"), small, ["term"], salt_by=[key], hot=hot)
+    return joined.withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
 def hashed_features(text: str = "text", buckets: int = 1000) -> list:

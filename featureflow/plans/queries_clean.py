@@ -41,8 +41,8 @@ from featureflow.plans.standin import BASE_SQL, base, id_cutoff, table
 from featureflow.sources.files import register_view
 
 
-def _train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return below(base(spark, sf_dir), "PassengerId", id_cutoff(spark, sf_dir))
+def _train(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return below(base(spark, sf_dir, "PassengerId", *columns), "PassengerId", id_cutoff(spark, sf_dir))
 
 
 TITLE_SQL = """CASE
@@ -72,7 +72,7 @@ MEANS_SQL = """means AS (SELECT avg(Age) AS mean_age, avg(Fare) AS mean_fare
 )
 def sql_impute_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null age -> the overall average, as a scalar subquery in SQL."""
-    register_view(base(spark, sf_dir), "ff_passengers")
+    register_view(base(spark, sf_dir, "PassengerId", "Age"), "ff_passengers")
     return spark.sql(
         """SELECT PassengerId, round(nvl(Age, (SELECT avg(Age) FROM ff_passengers)), 6) AS avg_age
            FROM ff_passengers"""
@@ -86,8 +86,8 @@ def sql_impute_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def impute_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Means fitted on the training rows, applied to all rows."""
-    means = fit_means(_train(spark, sf_dir), "Age", "Fare")
-    filled = fill_means(base(spark, sf_dir), means, "Age", "Fare")
+    means = fit_means(_train(spark, sf_dir, "Age", "Fare"), "Age", "Fare")
+    filled = fill_means(base(spark, sf_dir, "PassengerId", "Age", "Fare"), means, "Age", "Fare")
     return filled.select(
         "PassengerId", F.round("Age", 6).alias("age"), F.round("Fare", 6).alias("fare")
     )
@@ -182,20 +182,20 @@ def cabin_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 def band_size_4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Family size, middle band 2 to 4."""
     size = F.col("SibSp") + F.col("Parch")
-    return base(spark, sf_dir).select("PassengerId", size_band(size, 4).alias("family_band"))
+    return base(spark, sf_dir, "PassengerId", "SibSp", "Parch").select("PassengerId", size_band(size, 4).alias("family_band"))
 
 
 @query(f"WITH {BASE_SQL} SELECT PassengerId, {SIZE_BAND_SQL.format(top=3)} AS family_band FROM base")
 def band_size_3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Family size, middle band 2 to 3."""
     size = F.col("SibSp") + F.col("Parch")
-    return base(spark, sf_dir).select("PassengerId", size_band(size, 3).alias("family_band"))
+    return base(spark, sf_dir, "PassengerId", "SibSp", "Parch").select("PassengerId", size_band(size, 3).alias("family_band"))
 
 
 @query(f"WITH {BASE_SQL} SELECT PassengerId, {AGE_BAND_SQL.format(x='Age')} AS age_band FROM base")
 def band_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight age bands; unknown, zero and 71 or more share one."""
-    return base(spark, sf_dir).select("PassengerId", age_band("Age").alias("age_band"))
+    return base(spark, sf_dir, "PassengerId", "Age").select("PassengerId", age_band("Age").alias("age_band"))
 
 
 @query(f"WITH {BASE_SQL} SELECT PassengerId, {FARE_BAND_SQL.format(x='Fare')} AS fare_band FROM base")
@@ -224,7 +224,7 @@ def status_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def feature_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned record of every row."""
-    means = fit_means(_train(spark, sf_dir), "Age", "Fare")
+    means = fit_means(_train(spark, sf_dir, "Age", "Fare"), "Age", "Fare")
     return plain_record(base(spark, sf_dir), means).withColumn("age", F.round("age", 6))
 
 
@@ -239,7 +239,7 @@ def feature_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def feature_record_banded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The banded record of every row."""
-    means = fit_means(_train(spark, sf_dir), "Age", "Fare")
+    means = fit_means(_train(spark, sf_dir, "Age", "Fare"), "Age", "Fare")
     return banded_record(base(spark, sf_dir), means)
 
 
@@ -253,7 +253,7 @@ def feature_record_banded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label and a dense vector of six numbers, shown as columns."""
     rows = base(spark, sf_dir).withColumn("Fare", F.coalesce("Fare", F.lit(0.0)))
-    points = labelled_points(rows, fit_means(_train(spark, sf_dir), "Age"))
+    points = labelled_points(rows, fit_means(_train(spark, sf_dir, "Age"), "Age"))
     unpacked = points.withColumn("x", vector_to_array("features"))
     return unpacked.select("passenger_id", "label", *vector_slots(F.col("x"), 6, "x")).withColumn(
         "x2", F.round("x2", 6)

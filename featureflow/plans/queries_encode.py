@@ -39,7 +39,7 @@ def _unpacked(df: DataFrame, vector: str, width: int, *keys: str, prefix: str =
 
 
 def _embarked_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = base(spark, sf_dir).select("PassengerId", "Embarked")
+    rows = base(spark, sf_dir, "PassengerId", "Embarked")
     return indexer(["Embarked"], keep=True).fit(rows).transform(rows)
 
 
@@ -110,7 +110,7 @@ def one_hot_drop_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {BASE_SQL} SELECT PassengerId, {_slots_sql('Pclass', 6)} FROM base")
 def one_hot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Integer codes 1..5 encoded without an index: 0 has a slot too."""
-    rows = base(spark, sf_dir).select("PassengerId", "Pclass")
+    rows = base(spark, sf_dir, "PassengerId", "Pclass")
     model = one_hot(["Pclass"], keep=True, outputs=["v"]).fit(rows)
     return _unpacked(model.transform(rows), "v", 6, "PassengerId")
 
@@ -141,7 +141,7 @@ def auto_encode_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {BASE_SQL} SELECT PassengerId, Age AS x0, Fare AS x1, SibSp::DOUBLE AS x2 FROM base")
 def assemble_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null becomes NaN in the vector; shown as null again."""
-    rows = base(spark, sf_dir).select("PassengerId", "Age", "Fare", "SibSp")
+    rows = base(spark, sf_dir, "PassengerId", "Age", "Fare", "SibSp")
     vectors = assembler(["Age", "Fare", "SibSp"], keep=True, output="v").transform(rows)
     slots = _unpacked(vectors, "v", 3, "PassengerId", prefix="x")
     return slots.select("PassengerId", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("x0", "x1", "x2")])
@@ -153,7 +153,7 @@ def assemble_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def assemble_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """After filling, the strict assembler accepts every row."""
-    rows = base(spark, sf_dir).select("PassengerId", "Age", "Fare", "SibSp")
+    rows = base(spark, sf_dir, "PassengerId", "Age", "Fare", "SibSp")
     vectors = assembler(["Age", "Fare", "SibSp"], output="v").transform(rows.na.fill({"Age": 30.0, "Fare": 0.0}))
     return _unpacked(vectors, "v", 3, "PassengerId", prefix="x")
 

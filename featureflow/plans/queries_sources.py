@@ -159,13 +159,13 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def project_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns and a computed one."""
     twice = (F.col("PassengerId") * 2 + F.col("SibSp")).alias("twice")
-    return base(spark, sf_dir).select("PassengerId", "Age", twice)
+    return base(spark, sf_dir, "PassengerId", "Age", "SibSp").select("PassengerId", "Age", twice)
 
 
 @query(f"WITH {BASE_SQL} SELECT PassengerId, Survived, Age FROM base, cut WHERE PassengerId < cutoff")
 def split_by_id_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows below the id cutoff, through SQL on a view."""
-    register_view(base(spark, sf_dir), "ff_all_rows")
+    register_view(base(spark, sf_dir, "PassengerId", "Survived", "Age"), "ff_all_rows")
     register_view(table(spark, sf_dir, "orders"), "ff_orders")
     return spark.sql(
         """SELECT PassengerId, Survived, Age FROM ff_all_rows
@@ -194,8 +194,8 @@ def select_string_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def union_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training rows and scoring rows with label -1 under other names."""
-    rows, cutoff = base(spark, sf_dir), id_cutoff(spark, sf_dir)
-    train = below(rows, "PassengerId", cutoff).select("PassengerId", "Survived", "Sex")
+    rows, cutoff = base(spark, sf_dir, "PassengerId", "Survived", "Sex"), id_cutoff(spark, sf_dir)
+    train = below(rows, "PassengerId", cutoff)
     score = from_cutoff(rows, "PassengerId", cutoff).select(
         F.col("PassengerId").alias("id"), F.lit(-1).alias("label"), F.col("Sex").alias("s")
     )
@@ -209,9 +209,9 @@ def union_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows, the second part with its columns in another order."""
-    train, score = split_base(spark, sf_dir)
+    train, score = split_base(spark, sf_dir, "PassengerId", "Survived", "Sex")
     return stack_by_name(
-        train.select("PassengerId", "Survived", "Sex"),
+        train,
         score.select("Sex", F.lit(-1).alias("Survived"), "PassengerId"),
     )
 

@@ -45,7 +45,7 @@ def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 def idf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document frequency and its weight per word."""
     documents = table(spark, sf_dir, "documents")
-    idf = idf_table(term_counts(documents, "doc_id"), documents)
+    idf = idf_table(documents)
     return idf.withColumn("idf", F.round("idf", 6))
 
 
@@ -54,7 +54,7 @@ def tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight of every word in every document."""
     documents = table(spark, sf_dir, "documents")
     counts = term_counts(documents, "doc_id")
-    weighted = tfidf(counts, idf_table(counts, documents), "doc_id")
+    weighted = tfidf(counts, idf_table(documents), "doc_id")
     return weighted.select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 

@@ -22,27 +22,33 @@ def _blank(value: Column, key: str, every: int) -> Column:
     return F.when(F.col(key) % every != 0, value)
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One passenger-shaped row per order."""
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
+def base(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """One passenger-shaped row per order, with the given columns or all of them.
+
+    Customers are joined only for the columns that come from them.
+    """
     title = F.element_at(F.array(*map(F.lit, TITLES)), (F.col("o_custkey") % len(TITLES) + 1).cast("int"))
-    name = F.concat("c_name", F.lit(", "), title, F.lit(' "'), F.initcap("c_mktsegment"), F.lit('"'))
     age = F.when(F.col("o_orderkey") % 11 == 0, 0.0).otherwise(F.col("o_totalprice") / 5000)
-    return joined.select(
-        F.col("o_orderkey").alias("PassengerId"),
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("Survived"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("Pclass"),
-        name.alias("Name"),
-        F.when(F.col("o_totalprice") < 250000, "male").otherwise("female").alias("Sex"),
-        _blank(age, "o_orderkey", 5).alias("Age"),
-        (F.col("o_orderkey") % 4).cast("int").alias("SibSp"),
-        (F.col("o_custkey") % 4).cast("int").alias("Parch"),
-        F.concat(F.lit("T"), F.col("o_orderkey").cast("string")).alias("Ticket"),
-        _blank(F.col("c_acctbal") / 100, "o_custkey", 7).alias("Fare"),
-        _blank(F.col("c_mktsegment"), "o_custkey", 4).alias("Cabin"),
-        _blank(F.col("o_orderpriority"), "o_orderkey", 13).alias("Embarked"),
-    )
+    cells = {
+        "PassengerId": F.col("o_orderkey"),
+        "Survived": F.when(F.col("o_orderstatus") == "F", 1).otherwise(0),
+        "Pclass": F.substring("o_orderpriority", 1, 1).cast("int"),
+        "Name": F.concat("c_name", F.lit(", "), title, F.lit(' "'), F.initcap("c_mktsegment"), F.lit('"')),
+        "Sex": F.when(F.col("o_totalprice") < 250000, "male").otherwise("female"),
+        "Age": _blank(age, "o_orderkey", 5),
+        "SibSp": (F.col("o_orderkey") % 4).cast("int"),
+        "Parch": (F.col("o_custkey") % 4).cast("int"),
+        "Ticket": F.concat(F.lit("T"), F.col("o_orderkey").cast("string")),
+        "Fare": _blank(F.col("c_acctbal") / 100, "o_custkey", 7),
+        "Cabin": _blank(F.col("c_mktsegment"), "o_custkey", 4),
+        "Embarked": _blank(F.col("o_orderpriority"), "o_orderkey", 13),
+    }
+    wanted = columns or tuple(cells)
+    rows = table(spark, sf_dir, "orders")
+    if {"Name", "Fare", "Cabin"} & set(wanted):
+        customer = table(spark, sf_dir, "customer")
+        rows = rows.join(customer, rows.o_custkey == customer.c_custkey, "left")
+    return rows.select(*[cells[c].alias(c) for c in wanted])
 
 
 def id_cutoff(spark: SparkSession, sf_dir: str) -> Column:
@@ -50,9 +56,9 @@ def id_cutoff(spark: SparkSession, sf_dir: str) -> Column:
     return table(spark, sf_dir, "orders").agg(F.expr("max(o_orderkey) * 2 div 3")).scalar()
 
 
-def split_base(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def split_base(spark: SparkSession, sf_dir: str, *columns: str) -> tuple[DataFrame, DataFrame]:
     """Training and scoring rows; the latter without label."""
-    rows, cutoff = base(spark, sf_dir), id_cutoff(spark, sf_dir)
+    rows, cutoff = base(spark, sf_dir, *columns), id_cutoff(spark, sf_dir)
     return (
         rows.where(F.col("PassengerId") < cutoff),
         rows.where(F.col("PassengerId") >= cutoff).drop("Survived"),
@@ -76,5 +82,5 @@ BASE_SQL = f"""base AS (
          CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE c_acctbal / 100 END AS Fare,
          CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END AS Cabin,
          CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderpriority END AS Embarked
-  FROM orders JOIN customer ON o_custkey = c_custkey),
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
 cut AS (SELECT max(o_orderkey) * 2 // 3 AS cutoff FROM orders)"""
