@@ -14,7 +14,7 @@ from featureflow.operators.lookup import HOT_SHARE, attach_pinned, local_copy, p
 from featureflow.operators.order import running_totals
 
 # Values of one key that may go through one window task.
-WINDOW_ROWS = 500_000
+WINDOW_ROWS = 50_000
 # Distinct values per key up to which a value -> count table per key is small.
 TALLY_VALUES = 100_000
 

@@ -10,7 +10,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 
 from featureflow.operators.split import fold_of
-from featureflow.session import written_table
+from featureflow.session import spread, written_table
 
 Grid = Mapping[str, Sequence]
 
@@ -39,7 +39,7 @@ def grid_search(
     columnar files instead of repeating the joins and scans behind it, and losing an executor costs
     no recomputation. Folds come from the key, so they do not depend on partitioning.
     """
-    rows = written_table(train.withColumn("__fold", fold_of(key, folds)), "grid")
+    rows = written_table(spread(train.withColumn("__fold", fold_of(key, folds)), key), "grid")
     search = CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=param_maps(pipeline.getStages()[-1], grid),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.operators.lookup import HOT_SHARE, attach_pinned, local_copy, pin
+from featureflow.session import spread
 
 
 def tokens(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
@@ -16,14 +17,16 @@ def tokens(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
     return Tokenizer(inputCol=text, outputCol=out).transform(df)
 
 
+def _words(df: DataFrame, words: str, *keys: str) -> DataFrame:
+    """One row per word. Not a plain explode: that makes the optimizer add a filter on the array,
+    which would split every text once more for the filter."""
+    return df.select(*keys, F.explode_outer(words).alias("term")).where(F.col("term").isNotNull())
+
+
 def term_counts(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, term, tf). Repeats of a term within a task combine before the shuffle."""
-    words = tokens(df.select(key, text), text)
-    return (
-        words.select(key, F.explode("words").alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    words = tokens(spread(df.select(key, text), key), text)
+    return _words(words, "words", key).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def idf_table(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -33,8 +36,9 @@ def idf_table(documents: DataFrame, text: str = "text") -> DataFrame:
     per word are shuffled, never (document, word) pairs.
     """
     total = documents.agg(F.count(F.lit(1))).scalar()
-    words = tokens(documents.select(text), text).select(F.explode(F.array_distinct("words")).alias("term"))
-    frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    words = tokens(spread(documents.select(text)), text)
+    distinct = words.select(F.array_distinct("words").alias("words"))
+    frequency = _words(distinct, "words").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return frequency.withColumn("idf", F.log((total + 1) / (F.col("df") + 1)))
 
 

@@ -33,7 +33,7 @@ from featureflow.operators.impute import (
 from featureflow.operators.models import categorical_pipeline, classifier
 from featureflow.operators.search import grid_search
 from featureflow.operators.split import stack_by_name
-from featureflow.session import written_table
+from featureflow.session import spread, written_table
 
 ID, LABEL = "passenger_id", "survived"
 
@@ -204,7 +204,7 @@ def fit_flow(name: str, train: DataFrame, search: str = "none", fitted_on: DataF
     rows = records(flow, train, train if fitted_on is None else fitted_on)
     if search == "none" or not flow.folds:
         # Written once: label counts, widths and the model's own passes read columnar files.
-        return flow_pipeline(flow, **params).fit(written_table(rows, "train"))
+        return flow_pipeline(flow, **params).fit(written_table(spread(rows, ID), "train"))
     if search == "quick":
         return grid_search(
             flow_pipeline(flow, **{**flow.quick_params, **params}),

@@ -19,7 +19,7 @@ from featureflow.operators.split import (
 )
 from featureflow.plans.positions import POSITION_SCHEMA
 from featureflow.plans.registry import query
-from featureflow.plans.standin import BASE_SQL, base, id_cutoff, split_base, table
+from featureflow.plans.standin import BASE_SQL, SCHEMAS, base, id_cutoff, split_base, table
 from featureflow.session import scratch_path
 from featureflow.sources.files import (
     read_csv,
@@ -32,11 +32,6 @@ from featureflow.sources.files import (
 from featureflow.sources.profile import profile_all
 from pyspark.ml.functions import vector_to_array
 
-TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
-
 # Weights of the linear model the scoring and evaluation queries use.
 WEIGHTS = {"Pclass": -0.25, "SibSp": 0.5, "Parch": -0.125, "Fare": 0.0078125}
 INTERCEPT = 0.25
@@ -120,36 +115,17 @@ def sql_temp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(SQL_VIEW.format(view=view))
 
 
-PROFILE_COLUMNS = {
-    "region": "r_regionkey r_name",
-    "nation": "n_nationkey n_name n_regionkey",
-    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
-    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
-    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
-    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
-    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount"
-    " l_tax l_returnflag l_linestatus l_shipdate",
-    "events": "event_id ts user_id event_type value props",
-    "documents": "doc_id text lang source n_chars",
-    "embeddings": "vec_id embedding label",
-    "pages": "page_id url html",
-    "benchmark": "item_id text",
-    "labels": "doc_id quality toxic",
-    "conversations": "conv_id turn role text",
-}
-
-
 @query(
     " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count,"
         f" count(*) - count({c}) AS null_count FROM {t}"
-        for t, columns in PROFILE_COLUMNS.items()
-        for c in columns.split()
+        for t, schema in SCHEMAS.items()
+        for c in (column.split()[0] for column in schema.split(","))
     )
 )
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and nulls of every column of every table."""
-    return profile_all({name: table(spark, sf_dir, name) for name in TABLES})
+    return profile_all({name: table(spark, sf_dir, name) for name in SCHEMAS})
 
 
 @query(

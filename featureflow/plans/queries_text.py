@@ -18,7 +18,7 @@ from featureflow.operators.text import (
 )
 from featureflow.plans.registry import query
 from featureflow.plans.standin import table
-from featureflow.session import scratch_path, written_table
+from featureflow.session import scratch_path, spread, written_table
 from featureflow.sources.files import load_model, load_pipeline, save_pipeline
 
 WORDS_SQL = r"string_split_regex(lower(regexp_replace(text, '\s+$', '')), '\s')"
@@ -31,7 +31,7 @@ IDF_SQL = f"""{COUNTS_SQL}, idf AS (SELECT term, count(*) AS df,
 @query(f"SELECT doc_id, len({WORDS_SQL})::INTEGER AS n_tokens FROM documents")
 def tokenize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words per document, whole texts."""
-    words = tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = tokens(spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"))
     return words.select("doc_id", F.size("words").alias("n_tokens"))
 
 
@@ -61,7 +61,7 @@ def tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT doc_id, len({WORDS_SQL})::DOUBLE AS hashed_tokens FROM documents")
 def hashed_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed term counts add up to the number of words, whatever collides."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     hashed = Pipeline(stages=hashed_features()[:2]).fit(documents).transform(documents)
     total = F.aggregate(vector_to_array("rawFeatures"), F.lit(0.0), lambda a, x: a + x)
     return hashed.select("doc_id", total.alias("hashed_tokens"))
@@ -78,7 +78,7 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_text_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text classifier fitted on 70% of the labelled documents, the others scored."""
     rows = labelled_documents(spark, sf_dir).withColumn("part", hash_part("doc_id", {"train": 70, "test": 30}))
-    rows = written_table(rows, "texts")
+    rows = written_table(spread(rows, "doc_id"), "texts")
     model = text_classifier().fit(rows.where("part = 'train'"))
     scored = model.transform(rows.where("part = 'test'"))
     return scored.select("doc_id", "label", "prediction", vector_to_array("probability")[1].alias("probability"))
@@ -89,14 +89,14 @@ def pipeline_params_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An unfitted pipeline saved, loaded, fitted and applied to the labelled documents."""
     path = scratch_path(spark, "pipeline")
     save_pipeline(text_classifier(), path)
-    rows = written_table(labelled_documents(spark, sf_dir), "texts")
+    rows = written_table(spread(labelled_documents(spark, sf_dir), "doc_id"), "texts")
     return load_pipeline(path).fit(rows).transform(rows).select("doc_id", "label", "prediction")
 
 
 @query("SELECT doc_id, true AS same_score FROM documents JOIN labels USING (doc_id)")
 def model_roundtrip_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fitted model saved and loaded gives the same probability for every labelled document."""
-    rows = written_table(labelled_documents(spark, sf_dir), "texts")
+    rows = written_table(spread(labelled_documents(spark, sf_dir), "doc_id"), "texts")
     model = text_classifier().fit(rows)
     path = scratch_path(spark, "model")
     save_pipeline(model, path)

@@ -26,6 +26,30 @@ def build_session(app: str = "featureflow", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+# A scan with this much input per core has splits enough.
+CORE_BYTES = 32 * 1024 * 1024
+# Smaller pieces than this cost more in task overhead than they save.
+LEAST_BYTES = 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files and tables ``df`` reads, from the optimizer's statistics."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a small input over the cores; a large one is left as it was read.
+
+    A small file may hold a single row group, which one task would then work through alone. From
+    ``CORE_BYTES`` per core on nothing is moved.
+    """
+    cores, size = df.sparkSession.sparkContext.defaultParallelism, input_bytes(df)
+    if size >= cores * CORE_BYTES:
+        return df
+    return df.repartition(min(cores, size // LEAST_BYTES + 1), *keys)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
