@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.session import written_table
+from featureflow.session import input_bytes, written_table
 
 BROADCAST_ROWS = 10_000
 BROADCAST_BYTES = 8 * 1024 * 1024
@@ -37,13 +37,14 @@ def local_copy(df: DataFrame) -> DataFrame:
 def pin(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Evaluate ``df`` once and hold the result; the flag says whether it may be broadcast.
 
-    The result is written to the shared folder first, so finding out that it is large costs no
-    second evaluation; the driver sees at most ``rows + 1`` rows.
+    The result is written to the shared folder first. Bytes and rows are then known from the files
+    alone, and only a table within both limits is brought to the driver.
     """
     written = written_table(df, "stats")
-    head = written.limit(rows + 1).toArrow()
-    if head.num_rows <= rows and head.nbytes <= size:
-        return df.sparkSession.createDataFrame(head, schema=df.schema), True
+    if input_bytes(written) <= size and written.count() <= rows:
+        local = written.toArrow()
+        if local.nbytes <= size:
+            return df.sparkSession.createDataFrame(local, schema=df.schema), True
     return written, False
 
 

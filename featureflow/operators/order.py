@@ -1,10 +1,10 @@
 """Running totals and positions over a whole table, without a one-task window.
 
-The rows are sorted by Spark's range partitioning, numbered and checkpointed. Inside each sorted
+The rows are sorted by Spark's range partitioning, numbered and written out. Inside each sorted
 partition a window adds up locally; what lies before a partition comes from a table with one row
 per partition (and key). No step holds more than one range partition, however few the keys.
 
-The checkpoint is needed, not a convenience: the partition number is read twice (totals and rows),
+Writing them is needed, not a convenience: the partition number is read twice (totals and rows),
 and range bounds come from a sample that a recomputation could draw differently.
 """
 
@@ -17,16 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from featureflow.operators.lookup import attach_pinned, local_copy, pin
-from featureflow.session import checkpointed
+from featureflow.session import written_table
 
 # monotonically_increasing_id keeps the partition number above 33 bits of row number.
 ROW_BITS = 33
 
 
 def sorted_and_numbered(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """``df`` in global order with ``__id`` (increasing) and ``__part`` (sorted partition)."""
+    """``df`` with its place in the order, ``__id``, and its sorted partition, ``__part``."""
     numbered = df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id())
-    return checkpointed(numbered.withColumn("__part", F.shiftright("__id", ROW_BITS)))
+    return written_table(numbered.withColumn("__part", F.shiftright("__id", ROW_BITS)), "sorted")
 
 
 def running_totals(

@@ -215,6 +215,11 @@ def fit_flow(name: str, train: DataFrame, search: str = "none", fitted_on: DataF
     )
 
 
+def fit_points(kind: str, points: DataFrame, max_iter: int = 100):
+    """Fit "svm" or "logistic" on (label, features) rows, without any encoding."""
+    return classifier(kind, "label", maxIter=max_iter).fit(points)
+
+
 def run_flow(
     name: str,
     train: DataFrame,
@@ -229,8 +234,7 @@ def run_flow(
     """
     together = None
     if fit_on == "all":
-        shared = [c for c in ("Age", "Fare")]
-        together = stack_by_name(train.select(*shared), score.select(*shared))
+        together = stack_by_name(train.select("Age", "Fare"), score.select("Age", "Fare"))
     elif fit_on != "train":
         raise ValueError(f"fit_on must be 'train' or 'all', not {fit_on!r}")
     model = fit_flow(name, train, search, together, **params)

@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
-
-from featureflow.plans.passengers import ID, run_flow
+from pyspark.sql import functions as F
+
+from featureflow.operators.evaluate import (
+    pr_area_of_classes,
+    pr_area_of_scores,
+    roc_area_of_classes,
+    roc_area_of_scores,
+)
+from featureflow.operators.impute import fit_means
+from featureflow.operators.split import below, from_cutoff, hash_part
+from featureflow.plans.passengers import ID, LABEL, fit_points, labelled_points, run_flow
 from featureflow.plans.registry import query
-from featureflow.plans.standin import split_base
+from featureflow.plans.standin import base, id_cutoff, split_base
+from featureflow.session import spread, written_table
 
 
 def _scored(spark: SparkSession, sf_dir: str, flow: str, search: str = "none", **params) -> DataFrame:
@@ -70,6 +82,49 @@ def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _points_scored(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    rows = base(spark, sf_dir, "PassengerId", "Survived", "Pclass", "Sex", "Age", "SibSp", "Parch", "Fare")
+    rows = rows.withColumn("Fare", F.coalesce("Fare", F.lit(0.0)))
+    points = labelled_points(rows, fit_means(rows, "Age"))
+    parted = points.withColumn("part", hash_part(ID, {"train": 80, "test": 20}))
+    train = written_table(spread(parted.where("part = 'train'").select("label", "features"), "features"), "points")
+    model = fit_points(kind, train, max_iter=20)
+    return model.transform(parted.where("part = 'test'")).select(ID, "label", "prediction")
+
+
+@query()
+def model_points_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Support vector machine on labelled points: fitted on 80% of the keys, the others scored."""
+    return _points_scored(spark, sf_dir, "svm")
+
+
+@query()
+def model_points_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression on labelled points: fitted on 80% of the keys, the others scored."""
+    return _points_scored(spark, sf_dir, "logistic")
+
+
+@query()
+def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas of a fitted model on labelled rows it has not seen, on classes and on scores."""
+    rows, cutoff = base(spark, sf_dir), id_cutoff(spark, sf_dir)
+    train, held_out = below(rows, "PassengerId", cutoff), from_cutoff(rows, "PassengerId", cutoff)
+    scored = run_flow("logistic", train, held_out).select(
+        LABEL, "prediction", vector_to_array("probability")[1].alias("probability")
+    )
+    # Four evaluations of one scoring pass.
+    scored = written_table(scored, "scored")
+    areas = {
+        "roc_of_classes": roc_area_of_classes(scored, LABEL, "prediction"),
+        "pr_of_classes": pr_area_of_classes(scored, LABEL, "prediction"),
+        "roc_of_scores": roc_area_of_scores(scored, LABEL, "probability"),
+        "pr_of_scores": pr_area_of_scores(scored, LABEL, "probability"),
+    }
+    return reduce(
+        DataFrame.unionByName, [df.select(F.lit(name).alias("measure"), "area") for name, df in areas.items()]
+    )
+
+
 @query()
 def cv_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision tree, best depth."""

@@ -82,8 +82,3 @@ def written_table(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()

@@ -81,7 +81,7 @@ def test_labelled_points(passengers):
 
 @pytest.mark.parametrize("name", sorted(FLOWS))
 def test_flow_beats_the_majority(passengers, halves, name):
-    params = {"maxIter": 5} if name == "boosted" else {}
+    params = {"maxIter": {"boosted": 5, "svm": 20}[name]} if name in ("boosted", "svm") else {}
     scored = run_flow(name, *halves, **params)
     truth = passengers.select(F.col("PassengerId").alias("passenger_id"), F.col("Survived").alias("truth"))
     joined = scored.drop("survived").join(truth, "passenger_id")
@@ -141,3 +141,18 @@ def test_csv_with_quotes_and_modes(spark, passengers, tmp_path):
 def test_profile(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     assert rows(table_profile(df, "t")) == [("t", "a", 2, 0), ("t", "b", 2, 1)]
+
+
+def test_command_line(spark, passengers, tmp_path):
+    from featureflow.__main__ import main
+
+    train, score = str(tmp_path / "train"), str(tmp_path / "score")
+    write_csv(passengers.where("PassengerId <= 400"), train, header=True)
+    write_csv(passengers.where("PassengerId > 400").drop("Survived"), score, header=True)
+    out = str(tmp_path / "out")
+    main(["survival", "--model", "tree", "--train", train, "--score", score, "--out", out])
+    assert read_csv(spark, out, schema="i int, p double", header=False).where("p in (0, 1)").count() == 200
+    main(["median", "--input", train, "--column", "Fare", "--by", "Sex", "--out", str(tmp_path / "medians")])
+    medians = read_csv(spark, str(tmp_path / "medians"))
+    want = passengers.where("PassengerId <= 400").groupBy("Sex").agg(F.median("Fare").alias("median"))
+    assert rows(medians) == rows(want)
