@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 
 from featureflow.operators.lookup import HOT_SHARE, attach_pinned, local_copy, pin, with_row
 from featureflow.operators.order import running_totals
@@ -48,45 +49,29 @@ def _middle_of(counted: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     return picked.select(*keys, F.when(F.col("__n") > 0, checked).alias(out))
 
 
-def exact_median(
-    df: DataFrame,
-    value: str,
-    by: Sequence[str] = (),
-    out: str = "median",
-    accuracy: int = 10_000,
-    window_rows: int = WINDOW_ROWS,
-) -> DataFrame:
-    """Exact median per key: the middle value, or the mean of the two middle ones.
+def _order() -> list[Column]:
+    return [F.col("__zone").asc(), F.col("__v").asc_nulls_first()]
 
-    Null values are ignored; a key with none left gives null. NaN sorts last.
 
-    While no key has more than ``window_rows`` values, a running count over the distinct values of
-    each key finds the middle. With larger keys the values are narrowed first:
+def _per_key(keys: Sequence[str]) -> WindowSpec:
+    return W.partitionBy(*keys).orderBy(*_order()).rowsBetween(W.unboundedPreceding, 0)
 
-    1. A quantile sketch per key gives a bracket of values sure to hold the middle ranks, a few
-       ``1/accuracy`` of the rows wide. Sketches merge map-side, so only sketches are shuffled.
-    2. Rows are counted below the bracket and per distinct value inside it; both counts combine
-       map-side, so a key with a third of all rows sends little more than its bracket.
-    3. The running count covers the brackets, as a window per key if none can exceed
-       ``window_rows``, and over range partitions otherwise.
-    """
-    keys = list(by)
-    rows = df.select(*keys, F.col(value).cast("double").alias("__v"))
-    order = [F.col("__zone").asc(), F.col("__v").asc_nulls_first()]
-    per_key = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
 
-    sizes = rows.groupBy(*keys).agg(F.count("__v").alias("__n"))
-    largest = sizes.agg(F.max("__n")).first()[0] or 0
-    if largest <= window_rows:
-        whole_key = W.partitionBy(*keys)
-        zoned = rows.withColumn("__zone", F.when(F.col("__v").isNull(), 2).otherwise(1))
-        counted = _tallied(zoned, keys).select(
-            "*",
-            F.sum("__rows").over(per_key).alias("__reached"),
-            F.sum(F.when(F.col("__zone") == 1, F.col("__rows")).otherwise(0)).over(whole_key).alias("__n"),
-        )
-        return _middle_of(counted, keys, out)
+def _counted_whole(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Running counts over all distinct values of each key."""
+    zoned = rows.withColumn("__zone", F.when(F.col("__v").isNull(), 2).otherwise(1))
+    present = F.when(F.col("__zone") == 1, F.col("__rows")).otherwise(0)
+    return _tallied(zoned, keys).select(
+        "*",
+        F.sum("__rows").over(_per_key(keys)).alias("__reached"),
+        F.sum(present).over(W.partitionBy(*keys)).alias("__n"),
+    )
+
 
+def _counted_brackets(
+    rows: DataFrame, keys: Sequence[str], largest: int, accuracy: int, window_rows: int
+) -> DataFrame:
+    """Running counts over the values in a bracket around the middle of each key."""
     sortable = F.nanvl("__v", F.lit(float("inf")))
     margin = 3.0 / accuracy
     ends = F.percentile_approx(sortable, F.array(F.lit(0.5 - margin), F.lit(0.5 + margin)), F.lit(accuracy))
@@ -112,10 +97,48 @@ def exact_median(
     zoned = bracketed.withColumn("__zone", zone).withColumn("__v", F.when(F.col("__zone") == 1, F.col("__v")))
     tallies = _tallied(zoned, keys, F.max("__n").alias("__n"))
     if largest * 8 <= window_rows * accuracy:
-        counted = tallies.withColumn("__reached", F.sum("__rows").over(per_key))
-    else:
-        counted = running_totals(tallies, order, {"__reached": F.col("__rows")}, by=keys)
-    return _middle_of(counted, keys, out)
+        return tallies.withColumn("__reached", F.sum("__rows").over(_per_key(keys)))
+    return running_totals(tallies, _order(), {"__reached": F.col("__rows")}, by=keys)
+
+
+def exact_median(
+    df: DataFrame,
+    value: str,
+    by: Sequence[str] = (),
+    out: str = "median",
+    accuracy: int = 10_000,
+    window_rows: int = WINDOW_ROWS,
+) -> DataFrame:
+    """Exact median per key: the middle value, or the mean of the two middle ones.
+
+    Null values are ignored; a key with none left gives null. NaN sorts last.
+
+    For keys with at most ``window_rows`` values, a running count over the distinct values of the
+    key finds the middle. The values of larger keys are narrowed first:
+
+    1. A quantile sketch per key gives a bracket of values sure to hold the middle ranks, a few
+       ``1/accuracy`` of the rows wide. Sketches merge map-side, so only sketches are shuffled.
+    2. Rows are counted below the bracket and per distinct value inside it; both counts combine
+       map-side, so a key with a third of all rows sends little more than its bracket.
+    3. The running count covers the brackets, as a window per key if none can exceed
+       ``window_rows``, and over range partitions otherwise.
+    """
+    keys = list(by)
+    rows = df.select(*keys, F.col(value).cast("double").alias("__v"))
+    sizes = rows.groupBy(*keys).agg(F.count("__v").alias("__n"))
+    is_large = F.col("__n") > window_rows
+    found = sizes.agg(F.max("__n").alias("largest"), F.count_if(is_large).alias("large"), F.count_if(~is_large).alias("others")).first()
+    if not found["large"]:
+        return _middle_of(_counted_whole(rows, keys), keys, out)
+    if not found["others"]:
+        return _middle_of(_counted_brackets(rows, keys, found["largest"], accuracy, window_rows), keys, out)
+    flags, small = pin(sizes.where(is_large).select(*keys, F.lit(True).alias("__large")))
+    flagged = attach_pinned(rows, flags, small, keys)
+    # The same rows are read for both parts, each keeping its own.
+    large = flagged.where("__large").drop("__large")
+    others = flagged.where("__large is null").drop("__large")
+    medians = _middle_of(_counted_brackets(large, keys, found["largest"], accuracy, window_rows), keys, out)
+    return medians.unionByName(_middle_of(_counted_whole(others, keys), keys, out))
 
 
 def approx_median(

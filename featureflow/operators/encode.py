@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from featureflow.operators.lookup import attach
+from featureflow.operators.lookup import attach_pinned, pin
 from featureflow.operators.order import running_totals
 
 
@@ -89,11 +89,12 @@ def apply_index(
     salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number each row's label. Unseen or null: the number of labels, or an error."""
+    held, small = pin(index)
     if keep:
-        missing: Column = index.agg(F.count(F.lit(1))).scalar()
+        missing: Column = F.lit(held.count())
     else:
         missing = F.raise_error(F.concat(F.lit("unseen label: "), F.coalesce(column, F.lit("null"))))
-    joined = attach(df, index, [column], salt_by=salt_by)
+    joined = attach_pinned(df, held, small, [column], salt_by)
     return joined.withColumn(out, F.coalesce("label_index", missing.cast("bigint"))).drop("label_index")
 
 

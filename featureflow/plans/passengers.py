@@ -177,8 +177,8 @@ def records(flow: Flow, df: DataFrame, fitted_on: DataFrame) -> DataFrame:
         return plain_record(df, means)
     if flow.record == "banded":
         return banded_record(df, means)
-    named = df.withColumnRenamed("PassengerId", ID).select("*", _label(df, 0).alias("__label"))
-    return fill_means(named.drop("Survived").withColumnRenamed("__label", LABEL), means, "Age", "Fare")
+    used = df.select(F.col("PassengerId").alias(ID), _label(df, 0), "Sex", "Age", "SibSp", "Parch", "Fare")
+    return fill_means(used, means, "Age", "Fare")
 
 
 def flow_pipeline(flow: Flow, **params) -> Pipeline:

@@ -34,6 +34,7 @@ from featureflow.operators.impute import (
     fit_means,
     lookup_value,
 )
+from featureflow.operators.lookup import attach
 from featureflow.operators.split import below
 from featureflow.plans.passengers import banded_record, labelled_points, plain_record
 from featureflow.plans.registry import query
@@ -290,16 +291,30 @@ def agg_group_median_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_median(rows, "l_extendedprice", ["l_partkey"], out="median_price")
 
 
-@query(
-    """WITH ranked AS (SELECT l_returnflag, l_extendedprice,
-         row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS r,
-         count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem)
-       SELECT l_returnflag, l_extendedprice AS median_price FROM ranked WHERE r = (n + 1) // 2"""
-)
+@query()
 def agg_approx_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sketched median; exact while a group has fewer rows than the accuracy, as in the check."""
+    """Sketched median per group."""
     rows = table(spark, sf_dir, "lineitem")
-    return approx_median(rows, "l_extendedprice", ["l_returnflag"], "median_price", accuracy=1_000_000)
+    return approx_median(rows, "l_extendedprice", ["l_returnflag"], "median_price")
+
+
+@query(
+    """SELECT l_returnflag, count(*) AS rows_n, true AS within_bound FROM lineitem GROUP BY l_returnflag"""
+)
+def agg_approx_median_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sketched medians against the exact ranks: at most rows / accuracy away from the middle."""
+    rows, accuracy = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice"), 10_000
+    sketched = approx_median(rows, "l_extendedprice", ["l_returnflag"], "sketched", accuracy)
+    compared = attach(rows, sketched, ["l_returnflag"])
+    ranks = compared.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("rows_n"),
+        F.count_if(F.col("l_extendedprice") < F.col("sketched")).alias("below"),
+        F.count_if(F.col("l_extendedprice") <= F.col("sketched")).alias("up_to"),
+    )
+    slack = F.ceil(F.col("rows_n") / accuracy)
+    middle = F.ceil(F.col("rows_n") / 2)
+    within = (F.col("below") < middle + slack) & (F.col("up_to") >= middle - slack)
+    return ranks.select("l_returnflag", "rows_n", within.alias("within_bound"))
 
 
 @query("SELECT l_returnflag, median(l_quantity) AS median_quantity FROM lineitem GROUP BY l_returnflag")

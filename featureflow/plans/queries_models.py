@@ -87,7 +87,7 @@ def _points_scored(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     rows = rows.withColumn("Fare", F.coalesce("Fare", F.lit(0.0)))
     points = labelled_points(rows, fit_means(rows, "Age"))
     parted = points.withColumn("part", hash_part(ID, {"train": 80, "test": 20}))
-    train = written_table(spread(parted.where("part = 'train'").select("label", "features"), "features"), "points")
+    train = written_table(spread(parted.where("part = 'train'").select("label", "features")), "points")
     model = fit_points(kind, train, max_iter=20)
     return model.transform(parted.where("part = 'test'")).select(ID, "label", "prediction")
 
