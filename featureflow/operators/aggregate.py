@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql import WindowSpec
 
 from featureflow.operators.lookup import HOT_SHARE, attach_pinned, local_copy, pin, with_row
 from featureflow.operators.order import running_totals
@@ -25,11 +24,6 @@ def global_avg(df: DataFrame, *columns: str) -> DataFrame:
     return df.agg(*[F.avg(c).alias(c) for c in columns])
 
 
-def _tallied(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
-    """Rows per key, zone and distinct value, combined map-side."""
-    return df.groupBy(*keys, "__zone", "__v").agg(F.count(F.lit(1)).alias("__rows"), *extra)
-
-
 def _middle_of(counted: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """Pick the middle ranks from running counts ``__reached`` of ``__n`` values per key."""
     lower_rank = F.floor((F.col("__n") + 1) / 2)
@@ -53,18 +47,13 @@ def _order() -> list[Column]:
     return [F.col("__zone").asc(), F.col("__v").asc_nulls_first()]
 
 
-def _per_key(keys: Sequence[str]) -> WindowSpec:
-    return W.partitionBy(*keys).orderBy(*_order()).rowsBetween(W.unboundedPreceding, 0)
-
-
-def _counted_whole(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Running counts over all distinct values of each key."""
+def _numbered(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row of each key numbered in order: one shuffle and a sort."""
     zoned = rows.withColumn("__zone", F.when(F.col("__v").isNull(), 2).otherwise(1))
-    present = F.when(F.col("__zone") == 1, F.col("__rows")).otherwise(0)
-    return _tallied(zoned, keys).select(
+    return zoned.select(
         "*",
-        F.sum("__rows").over(_per_key(keys)).alias("__reached"),
-        F.sum(present).over(W.partitionBy(*keys)).alias("__n"),
+        F.row_number().over(W.partitionBy(*keys).orderBy(*_order())).alias("__reached"),
+        F.count("__v").over(W.partitionBy(*keys)).alias("__n"),
     )
 
 
@@ -95,9 +84,12 @@ def _counted_brackets(
         .otherwise(1)
     )
     zoned = bracketed.withColumn("__zone", zone).withColumn("__v", F.when(F.col("__zone") == 1, F.col("__v")))
-    tallies = _tallied(zoned, keys, F.max("__n").alias("__n"))
+    tallies = zoned.groupBy(*keys, "__zone", "__v").agg(
+        F.count(F.lit(1)).alias("__rows"), F.max("__n").alias("__n")
+    )
     if largest * 8 <= window_rows * accuracy:
-        return tallies.withColumn("__reached", F.sum("__rows").over(_per_key(keys)))
+        per_key = W.partitionBy(*keys).orderBy(*_order()).rowsBetween(W.unboundedPreceding, 0)
+        return tallies.withColumn("__reached", F.sum("__rows").over(per_key))
     return running_totals(tallies, _order(), {"__reached": F.col("__rows")}, by=keys)
 
 
@@ -113,8 +105,8 @@ def exact_median(
 
     Null values are ignored; a key with none left gives null. NaN sorts last.
 
-    For keys with at most ``window_rows`` values, a running count over the distinct values of the
-    key finds the middle. The values of larger keys are narrowed first:
+    Keys with at most ``window_rows`` rows are sorted whole. The values of larger keys are narrowed
+    first:
 
     1. A quantile sketch per key gives a bracket of values sure to hold the middle ranks, a few
        ``1/accuracy`` of the rows wide. Sketches merge map-side, so only sketches are shuffled.
@@ -125,11 +117,15 @@ def exact_median(
     """
     keys = list(by)
     rows = df.select(*keys, F.col(value).cast("double").alias("__v"))
-    sizes = rows.groupBy(*keys).agg(F.count("__v").alias("__n"))
-    is_large = F.col("__n") > window_rows
-    found = sizes.agg(F.max("__n").alias("largest"), F.count_if(is_large).alias("large"), F.count_if(~is_large).alias("others")).first()
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all"))
+    is_large = F.col("__all") > window_rows
+    found = sizes.agg(
+        F.max("__all").alias("largest"),
+        F.count_if(is_large).alias("large"),
+        F.count_if(~is_large).alias("others"),
+    ).first()
     if not found["large"]:
-        return _middle_of(_counted_whole(rows, keys), keys, out)
+        return _middle_of(_numbered(rows, keys), keys, out)
     if not found["others"]:
         return _middle_of(_counted_brackets(rows, keys, found["largest"], accuracy, window_rows), keys, out)
     flags, small = pin(sizes.where(is_large).select(*keys, F.lit(True).alias("__large")))
@@ -138,7 +134,7 @@ def exact_median(
     large = flagged.where("__large").drop("__large")
     others = flagged.where("__large is null").drop("__large")
     medians = _middle_of(_counted_brackets(large, keys, found["largest"], accuracy, window_rows), keys, out)
-    return medians.unionByName(_middle_of(_counted_whole(others, keys), keys, out))
+    return medians.unionByName(_middle_of(_numbered(others, keys), keys, out))
 
 
 def approx_median(

@@ -137,6 +137,12 @@ def cv_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, "forest", "quick")
 
 
+@query()
+def cv_rf_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random forest on the banded record, best depth, means from all rows."""
+    return _scored(spark, sf_dir, "forest_union", "quick", fit_on="all")
+
+
 @query()
 def cv_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gradient-boosted trees, best depth."""

@@ -104,8 +104,9 @@ def test_fit_on_all_moves_the_means(halves):
     assert run_flow("forest_union", train, score, fit_on="all").count() == 200
 
 
-def test_quick_search(halves):
-    assert run_flow("tree", *halves, search="quick").count() == 200
+@pytest.mark.parametrize("search", ["quick", "full"])
+def test_search(halves, search):
+    assert run_flow("tree", *halves, search=search).count() == 200
 
 
 def test_full_grids():

@@ -61,6 +61,16 @@ def test_hot_key_null_key_and_empty_key(spark, route):
     assert rows(exact_median(df, "x", ["g"], **route)) == rows(want)
 
 
+@pytest.mark.parametrize("route", ROUTES)
+def test_hot_key_of_nulls(spark, route):
+    """A key that is large through its nulls, next to ordinary ones."""
+    df = spark.range(3_000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 40).cast("string")).alias("g"),
+        F.when((F.col("id") % 3 == 0) | (F.col("id") % 300 == 1), F.col("id") / 7).alias("x"),
+    )
+    assert rows(exact_median(df, "x", ["g"], **route)) == rows(df.groupBy("g").agg(F.median("x")))
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-50, 50), min_size=1, max_size=200), st.sampled_from(ROUTES))
 def test_against_statistics(spark, items, route):
