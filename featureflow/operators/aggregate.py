@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from featureflow.operators.lookup import HOT_SHARE, attach_pinned, local_copy, pin, with_row
+from featureflow.operators.lookup import attach_pinned, known_hot, pin, with_row
 from featureflow.operators.order import running_totals
 
 # Values of one key that may go through one window task.
@@ -71,10 +71,7 @@ def _counted_brackets(
     )
     if keys:
         held, small = pin(brackets)
-        hot = None
-        if not small:
-            total = held.agg(F.sum("__all")).first()[0]
-            hot = local_copy(held.where(F.col("__all") * HOT_SHARE > total).select(*keys))
+        hot = [] if small else known_hot(held, keys, "__all")
         bracketed = attach_pinned(rows, held, small, keys, hot=hot)
     else:
         bracketed = with_row(rows, brackets)

@@ -7,10 +7,10 @@ neighbours saw. Then, by measured size:
 * one row in all: its values enter the plan as literals;
 * at most ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` bytes: broadcast, the rows stay where
   they are;
-* more: a shuffle join in which hot keys are spread. A key is hot with more than one in
-  ``HOT_SHARE`` of the rows, so there are fewer than ``HOT_SHARE`` of them and their statistics can
-  always be broadcast. Rows of hot keys take those, and go through the join under a salt that
-  matches nothing, evenly over all tasks; all other rows meet the table on their key.
+* more: a shuffle join in which hot keys are spread. A key is hot with about one in ``HOT_SHARE``
+  of the rows or more, so there are few enough of them to broadcast their statistics always. Rows
+  of hot keys take those, and go through the join under a salt that matches nothing, evenly over
+  all tasks; all other rows meet the table on their key.
 """
 
 from __future__ import annotations
@@ -60,10 +60,29 @@ def with_row(df: DataFrame, stats: DataFrame) -> DataFrame:
     return df.withColumns({c: F.lit(row[c]).cast(stats.schema[c].dataType) for c in stats.columns})
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys with more than one in ``share`` of the rows: fewer than ``share``, so a local table."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return local_copy(counts.where(F.col("__n") * share > df.count()).select(*keys))
+def _key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Hash of the keys. 0.0 is added to floats, since -0.0 equals 0.0 in a join."""
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double")}
+    return F.xxhash64(*[F.col(k) + F.lit(0.0) if k in floats else F.col(k) for k in keys])
+
+
+def find_hot(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> list[int]:
+    """Hashes of the keys with one in ``share`` of the rows or more.
+
+    One pass with a fixed-size frequency sketch, whose error is far below that share; keys a
+    little below it may be reported too. The keys themselves are not shuffled.
+    """
+    hashed = df.select(_key_hash(df, keys).alias("h"))
+    sketch = F.expr(f"approx_top_k(h, {2 * share}, {20 * share})").alias("top")
+    found = hashed.agg(sketch, F.count(F.lit(1)).alias("n")).first()
+    return [r["item"] for r in found["top"] or [] if r["count"] * share * 1.2 >= found["n"]]
+
+
+def known_hot(stats: DataFrame, keys: Sequence[str], weight: str, share: int = HOT_SHARE) -> list[int]:
+    """The same from statistics that hold the number of rows of each key."""
+    total = stats.agg(F.sum(weight)).first()[0] or 0
+    hot = stats.where(F.col(weight) * share > total)
+    return [r[0] for r in hot.select(_key_hash(stats, keys)).collect()]
 
 
 def attach(
@@ -87,40 +106,35 @@ def attach_pinned(
     small: bool,
     keys: Sequence[str],
     salt_by: Sequence[str] | None = None,
-    hot: DataFrame | None = None,
+    hot: list[int] | None = None,
 ) -> DataFrame:
     """``attach`` for statistics that went through ``pin``. ``hot``: the hot keys, where known."""
     if small:
-        return _broadcast_join(df, held, keys)
-    return _spread_join(df, held, keys, salt_by, hot_keys(df, keys) if hot is None else hot)
+        return _left_join(df, F.broadcast(held), keys)
+    for k in keys:
+        if df.schema[k].dataType != held.schema[k].dataType:
+            raise TypeError(f"{k!r} is {df.schema[k].dataType} in the rows, {held.schema[k].dataType} in the statistics")
+    return _spread_join(df, held, keys, salt_by, find_hot(df, keys) if hot is None else hot)
 
 
-def _broadcast_join(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _left_join(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = [f"__{k}" for k in keys]
     side = side.withColumnsRenamed(dict(zip(keys, renamed, strict=True)))
-    return df.join(F.broadcast(side), null_safe(df, side, keys, renamed), "left").drop(*renamed)
+    return df.join(side, null_safe(df, side, keys, renamed), "left").drop(*renamed)
 
 
 def _spread_join(
-    df: DataFrame, held: DataFrame, keys: Sequence[str], salt_by: Sequence[str] | None, hot: DataFrame
+    df: DataFrame, held: DataFrame, keys: Sequence[str], salt_by: Sequence[str] | None, hot: list[int]
 ) -> DataFrame:
+    if not hot:
+        return _left_join(df, held, keys)
     values = [c for c in held.columns if c not in keys]
-    columns = df.columns
-    # The hot keys with their statistics, if they have any.
-    known = _broadcast_join(held, hot.withColumn("__hot", F.lit(True)), keys).where("__hot")
-    hot_stats = local_copy(_broadcast_join(hot, local_copy(known.drop("__hot")), keys))
-    hot_stats = hot_stats.select(*keys, *[F.col(c).alias(f"__h_{c}") for c in values], F.lit(True).alias("__hot"))
+    few = held.where(_key_hash(held, keys).isin(hot))
+    few = few.select(*keys, *[F.col(c).alias(f"__h_{c}") for c in values])
     # A hash, not a random number: a retried task sends each row where it went before.
-    salt = F.pmod(F.xxhash64(*(salt_by or columns)), F.lit(HOT_SALTS)) + 1
-    rows = _broadcast_join(df, hot_stats, keys).withColumn(
-        "__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0).cast("bigint"))
-    )
-    renamed = [f"__{k}" for k in keys]
-    side = held.select(
-        *[F.col(k).alias(r) for k, r in zip(keys, renamed, strict=True)], *values, F.lit(0).cast("bigint").alias("__of")
-    )
-    joined = rows.join(side, null_safe(rows, side, [*keys, "__salt"], [*renamed, "__of"]), "left")
-    return joined.select(
-        *columns,
-        *[F.when(F.col("__hot"), F.col(f"__h_{c}")).otherwise(F.col(c)).alias(c) for c in values],
-    )
+    salt = F.pmod(F.xxhash64(*(salt_by or df.columns)), F.lit(HOT_SALTS)) + 1
+    salted = df.withColumn("__salt", F.when(_key_hash(df, keys).isin(hot), salt).otherwise(F.lit(0).cast("bigint")))
+    rows = _left_join(salted, F.broadcast(few), keys)
+    joined = _left_join(rows, held.withColumn("__salt", F.lit(0).cast("bigint")), [*keys, "__salt"])
+    taken = [F.when(F.col("__salt") > 0, F.col(f"__h_{c}")).otherwise(F.col(c)).alias(c) for c in values]
+    return joined.select(*df.columns, *taken)

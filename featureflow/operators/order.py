@@ -53,8 +53,7 @@ def running_totals(
     local = W.partitionBy("__part", *by).orderBy("__id").rowsBetween(W.unboundedPreceding, 0)
     # Without keys that is one row per partition; no (partition, key) pair exceeds a partition.
     held, small = pin(before) if by else (local_copy(before), True)
-    no_hot = local_copy(before.select("__part", *by).limit(0))
-    joined = attach_pinned(rows, held, small, ["__part", *by], hot=no_hot)
+    joined = attach_pinned(rows, held, small, ["__part", *by], hot=[])
     return joined.withColumns(
         {n: F.col(f"__b_{n}") + F.sum(e).over(local) for n, e in totals.items()}
     ).drop("__id", "__part", *[f"__b_{n}" for n in totals])

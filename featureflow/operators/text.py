@@ -8,7 +8,7 @@ from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.operators.lookup import HOT_SHARE, attach_pinned, local_copy, pin
+from featureflow.operators.lookup import attach_pinned, known_hot, pin
 from featureflow.session import spread
 
 
@@ -45,10 +45,7 @@ def idf_table(documents: DataFrame, text: str = "text") -> DataFrame:
 def tfidf(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
     """(key, term, tf, idf, tfidf). Common words are hot keys of this join; ``df`` tells which."""
     held, small = pin(idf)
-    hot = None
-    if not small:
-        pairs = held.agg(F.sum("df")).first()[0]
-        hot = local_copy(held.where(F.col("df") * HOT_SHARE > pairs).select("term"))
+    hot = [] if small else known_hot(held, ["term"], "df")
     joined = attach_pinned(counts, held.drop("df"), small, ["term"], salt_by=[key], hot=hot)
     return joined.withColumn("tfidf", F.col("tf") * F.col("idf"))
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from featureflow.operators.lookup import attach, hot_keys, pin, with_row
+from featureflow.operators.lookup import attach, find_hot, known_hot, pin, with_row
 from featureflow.operators.order import running_totals
 from tests.conftest import rows
 
@@ -46,7 +46,24 @@ def test_hot_key_without_statistics(spark, skewed):
 
 
 def test_hot_keys_are_found(spark, skewed):
-    assert rows(hot_keys(skewed, ["k"])) == [(None,), ("hot",)]
+    hashes = {r[0] for r in spark.createDataFrame([("hot",), (None,)], "k string").select(F.xxhash64("k")).collect()}
+    assert set(find_hot(skewed, ["k"])) == hashes
+    assert set(known_hot(stats_of(skewed), ["k"], "n")) == hashes
+    # None at all, and a share every key reaches.
+    assert find_hot(spark.range(5_000), ["id"]) == []
+    assert len(find_hot(spark.range(100), ["id"])) == 100
+
+
+def test_negative_zero_is_zero(spark):
+    df = spark.range(4_000).select("id", F.when(F.col("id") % 2 == 0, 0.0).otherwise(-0.0).alias("k"))
+    stats = spark.createDataFrame([(0.0, "zero")], "k double, name string")
+    assert attach(df, stats, ["k"], salt_by=["id"], rows=0).where("name = 'zero'").count() == 4_000
+
+
+def test_key_types_must_agree(spark):
+    stats = spark.createDataFrame([(1, "one")], "id int, name string")
+    with pytest.raises(TypeError):
+        attach(spark.range(3), stats, ["id"], rows=0)
 
 
 def test_pin_checks_rows_and_bytes(spark):
