@@ -183,14 +183,16 @@ def cabin_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 def band_size_4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Family size, middle band 2 to 4."""
     size = F.col("SibSp") + F.col("Parch")
-    return base(spark, sf_dir, "PassengerId", "SibSp", "Parch").select("PassengerId", size_band(size, 4).alias("family_band"))
+    rows = base(spark, sf_dir, "PassengerId", "SibSp", "Parch")
+    return rows.select("PassengerId", size_band(size, 4).alias("family_band"))
 
 
 @query(f"WITH {BASE_SQL} SELECT PassengerId, {SIZE_BAND_SQL.format(top=3)} AS family_band FROM base")
 def band_size_3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Family size, middle band 2 to 3."""
     size = F.col("SibSp") + F.col("Parch")
-    return base(spark, sf_dir, "PassengerId", "SibSp", "Parch").select("PassengerId", size_band(size, 3).alias("family_band"))
+    rows = base(spark, sf_dir, "PassengerId", "SibSp", "Parch")
+    return rows.select("PassengerId", size_band(size, 3).alias("family_band"))
 
 
 @query(f"WITH {BASE_SQL} SELECT PassengerId, {AGE_BAND_SQL.format(x='Age')} AS age_band FROM base")

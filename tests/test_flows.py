@@ -30,7 +30,8 @@ def passenger(i):
     return [
         i, int(not male) if i % 17 else int(male), i % 3 + 1, f'Ashby, {TITLES[i % 5]} A "{i}"',
         "male" if male else "female", None if i % 6 == 0 else (i * 13 % 80) + 0.5, i % 4, i % 3, f"T{i}",
-        None if i % 50 == 0 else (i * 7 % 60) / 1.5, None if i % 4 else "BCD"[i % 3] + str(i), None if i % 40 == 0 else "SCQ"[i % 3],
+        None if i % 50 == 0 else (i * 7 % 60) / 1.5, None if i % 4 else "BCD"[i % 3] + str(i),
+        None if i % 40 == 0 else "SCQ"[i % 3],
     ]
 
 
