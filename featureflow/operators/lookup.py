@@ -117,6 +117,17 @@ def attach_pinned(
     return _spread_join(df, held, keys, salt_by, find_hot(df, keys) if hot is None else hot)
 
 
+def join_table(
+    df: DataFrame, table: DataFrame, keys: Sequence[str], salt_by: Sequence[str] | None = None, size: int | None = None
+) -> DataFrame:
+    """Left join a stored table with one row per key: broadcast by its size on disk, else spread.
+
+    Nothing is pinned, as the table's files do not change between attempts.
+    """
+    limit = BROADCAST_BYTES if size is None else size
+    return attach_pinned(df, table, input_bytes(table) <= limit, keys, salt_by)
+
+
 def _left_join(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = [f"__{k}" for k in keys]
     side = side.withColumnsRenamed(dict(zip(keys, renamed, strict=True)))

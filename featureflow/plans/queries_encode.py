@@ -17,9 +17,10 @@ from featureflow.operators.encode import (
     string_columns,
     vector_slots,
 )
+from featureflow.operators.lookup import join_table
 from featureflow.plans.positions import cluster_positions
 from featureflow.plans.registry import query
-from featureflow.plans.standin import BASE_SQL, base, table
+from featureflow.plans.standin import BASE_SQL, base, customers, table
 
 # Label numbers by falling frequency, ties by label; null is one number more.
 EMBARKED_INDEX_SQL = """idx AS (SELECT Embarked AS label,
@@ -69,14 +70,13 @@ def string_index_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
          FROM orders JOIN customer ON o_custkey = c_custkey
          WHERE o_orderstatus = 'F' GROUP BY c_name)
        SELECT o_orderkey, coalesce(i, (SELECT count(*) FROM idx)) AS name_index
-       FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN idx ON c_name = label"""
+       FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN idx ON c_name = label"""
 )
 def string_index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same numbering for any number of labels: names of customers with filled orders."""
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    rows = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        "o_orderkey", "o_orderstatus", "c_name"
-    )
+    orders = table(spark, sf_dir, "orders")
+    named = join_table(orders, customers(spark, sf_dir), ["o_custkey"], salt_by=["o_orderkey"])
+    rows = named.select("o_orderkey", "o_orderstatus", "c_name")
     index = label_index(rows.where("o_orderstatus = 'F'"), "c_name")
     return apply_index(rows, index, "c_name", "name_index", salt_by=["o_orderkey"]).select(
         "o_orderkey", "name_index"

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featureflow.operators.lookup import join_table
+
 # Titles by customer key; one per rule, a few common ones repeated, one that no rule knows.
 TITLES = ("Mr.", "Mrs.", "Miss.", "Master.", "Dr.", "Lady.", "Mlle.", "Rev.", "Ms.", "Don.")
 
@@ -44,6 +46,13 @@ def _blank(value: Column, key: str, every: int) -> Column:
     return F.when(F.col(key) % every != 0, value)
 
 
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer cells under the key that orders carry."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_name", "c_acctbal", "c_mktsegment"
+    )
+
+
 def base(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """One passenger-shaped row per order, with the given columns or all of them.
 
@@ -68,8 +77,7 @@ def base(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     wanted = columns or tuple(cells)
     rows = table(spark, sf_dir, "orders")
     if {"Name", "Fare", "Cabin"} & set(wanted):
-        customer = table(spark, sf_dir, "customer")
-        rows = rows.join(customer, rows.o_custkey == customer.c_custkey, "left")
+        rows = join_table(rows, customers(spark, sf_dir), ["o_custkey"], salt_by=["o_orderkey"])
     return rows.select(*[cells[c].alias(c) for c in wanted])
 
 

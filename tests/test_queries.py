@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from featureflow.operators.lookup import find_hot
 from tests.conftest import SF_DIR, SMALL_SF_DIR
 from tests.oracle import compare, duck
 
@@ -56,5 +57,14 @@ def test_partition_count_does_not_matter(spark, connection, name):
     assert not problems
 
 
+@pytest.mark.parametrize("name", ["feature_record_banded", "string_index_table"])
+def test_large_dimension(spark, connection, monkeypatch, name):
+    """Customers too large to broadcast, with hot customer keys spread over the tasks."""
+    monkeypatch.setattr("featureflow.operators.lookup.BROADCAST_BYTES", 0)
+    monkeypatch.setattr("featureflow.operators.lookup.find_hot", lambda df, keys: find_hot(df, keys, share=1_200))
+    _, problems = compare(QUERIES[name](spark, SF_DIR), connection, ORACLES[name])
+    assert not problems
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
