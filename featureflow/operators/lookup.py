@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from featureflow.session import input_bytes, written_table
 
-BROADCAST_ROWS = 10_000
-BROADCAST_BYTES = 8 * 1024 * 1024
+BROADCAST_ROWS = 500_000
+# On disk; a broadcast table of this size stays well below what one executor gives a task.
+BROADCAST_BYTES = 16 * 1024 * 1024
 HOT_SHARE = 1_000
 HOT_SALTS = 1 << 20
 
@@ -37,15 +38,11 @@ def local_copy(df: DataFrame) -> DataFrame:
 def pin(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Evaluate ``df`` once and hold the result; the flag says whether it may be broadcast.
 
-    The result is written to the shared folder first. Bytes and rows are then known from the files
-    alone, and only a table within both limits is brought to the driver.
+    The result is written to the shared folder, and its bytes and rows are known from the files
+    alone. Nothing of it passes through this process.
     """
     written = written_table(df, "stats")
-    if input_bytes(written) <= size and written.count() <= rows:
-        local = written.toArrow()
-        if local.nbytes <= size:
-            return df.sparkSession.createDataFrame(local, schema=df.schema), True
-    return written, False
+    return written, input_bytes(written) <= size and written.count() <= rows
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], right_keys: Sequence[str]) -> Column:

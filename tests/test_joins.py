@@ -23,7 +23,7 @@ def stats_of(df):
     return counted.where("k is null or k != '4'")
 
 
-@pytest.mark.parametrize("limit", [100_000, 10])
+@pytest.mark.parametrize("limit", [100_000, 10])  # broadcast, spread
 def test_attach_both_ways(spark, skewed, limit):
     want = rows(
         skewed.alias("a")
@@ -69,8 +69,9 @@ def test_key_types_must_agree(spark):
 def test_pin_checks_rows_and_bytes(spark):
     assert pin(spark.range(10), rows=10)[1]
     assert not pin(spark.range(11), rows=10)[1]
-    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"))
-    assert not pin(wide, size=5_000)[1]
+    wide = spark.range(100).select(F.concat_ws("", *[F.sha2(F.concat("id", F.lit(i)), 512) for i in range(20)]))
+    assert pin(wide)[1]
+    assert not pin(wide, size=50_000)[1]
 
 
 def test_with_row(spark):
