@@ -82,3 +82,36 @@ def written_table(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+
+class Scratch:
+    """Written intermediate tables with an owner: leaving the ``with`` block removes them.
+
+    A frame that is returned out of the block may read only tables written with ``keep=True``;
+    those stay until the application's shared folder is cleared.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self._paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path in self._paths:
+            _remove(self.spark, path)
+        self._paths.clear()
+
+    def write(self, df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+        """``written_table`` under this owner."""
+        path = scratch_path(self.spark, label)
+        if not keep:
+            self._paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
