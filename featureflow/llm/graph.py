@@ -35,11 +35,10 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         if found is None:
             found = step.withColumnRenamed("to", "root")
         else:
-            further = step.select(F.col("node").alias("root"), "to")
-            joined = found.join(further, "root", "left")
-            found = scratch.write(joined.select("node", F.coalesce("to", "root").alias("root")), "roots")
+            joined = found.join(step.select(F.col("node").alias("root"), "to"), "root", "left")
+            found = joined.select("node", F.coalesce("to", "root").alias("root"))
         left = scratch.write(moved, "edges")
         round_ += 1
     if found is None:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return found
+    return found if round_ == 1 else scratch.write(found, "roots")

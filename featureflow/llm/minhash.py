@@ -6,9 +6,12 @@ Nodes that share a band key are candidates; equal lanes of two signatures, count
 and corrected for lanes that agree by chance, estimate their similarity, and pairs that may reach the
 threshold are compared on their full shingle sets.
 
-A band with many members is never expanded into all pairs. Each member is compared with the band's
-first one; after that only members that are not yet connected to the largest connected part of their
-band meet the others. What is skipped lies within one component already, so components stay whole.
+A band with many members is never expanded into all pairs. Each node is compared with the most similar
+of the first members of its bands; after that only bands that hold several components are looked at again.
+There the members outside the largest component meet the others, first by signature, to find the components
+that may belong together, then on full sets. Both happen inside tasks, in blocks of bounded size, and only
+edges that join components come out. What is skipped lies within one component already, so components
+stay whole.
 
 At the threshold of 0.8 a pair shares no band with a probability of 3e-6; the estimate's margin is five
 standard errors.
@@ -16,6 +19,8 @@ standard errors.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,13 +28,17 @@ from pyspark.sql import functions as F
 
 from featureflow.llm.graph import components
 from featureflow.llm.words import Words, map_runs, mix, multipliers, words_of
-from featureflow.session import Scratch
+from featureflow.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS
+from featureflow.session import Scratch, input_bytes
 
 BANDS, ROWS = 24, 4
 BITS = 4
 LANES = 64 // BITS
 HASHES = BANDS * ROWS
 MARGIN = 0.22
+# Rows that are compared with each other in one piece, and rows whose full sets are read off at once.
+BLOCK = 2048
+LINK_ROWS = 256
 
 
 def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,8 +148,12 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """(node, shingles: sorted hashes as bytes) of the nodes in ``wanted`` (node, first_id, fp)."""
-    rows = docs.select(F.col(key).alias("first_id"), F.col(text).alias("__text")).join(wanted, "first_id")
+    """(node, shingles: sorted hashes as bytes) of the nodes in ``wanted`` (node, first_id, fp; a written table).
+
+    The texts stay where they are if ``wanted`` is small enough to be broadcast.
+    """
+    side = F.broadcast(wanted) if input_bytes(wanted) <= BROADCAST_BYTES and wanted.count() <= BROADCAST_ROWS else wanted
+    rows = docs.select(F.col(key).alias("first_id"), F.col(text).alias("__text")).join(side, "first_id")
 
     def gather(run: pa.RecordBatch) -> pa.RecordBatch:
         values, bounds = shingle_sets(words_of(run.column(0), lower=True), n)
@@ -150,8 +163,13 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, n: int, key: str, text: str)
         out = pa.RecordBatch.from_arrays([run.column(1), sets], names=["node", "shingles"])
         return out.filter(pa.array(same, type=pa.bool_()))
 
-    sets = map_runs(rows.select("__text", "node", "fp"), "__text", gather, "node bigint, shingles binary")
-    return sets
+    return map_runs(rows.select("__text", "node", "fp"), "__text", gather, "node bigint, shingles binary")
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    merged = np.concatenate([x, y])
+    merged.sort(kind="stable")
+    return int((merged[1:] == merged[:-1]).sum())
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -165,29 +183,109 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                merged = np.concatenate([x, y])
-                merged.sort(kind="stable")
-                shared = int((merged[1:] == merged[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(merged) - shared))
+                shared = _shared(x, y)
+                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             out = batch.select([0, 1]).rename_columns(["a", "b"])
             yield out.filter(pa.array(keep, type=pa.bool_()))
 
     return both.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _stragglers(members: DataFrame, comps: DataFrame, star: DataFrame) -> DataFrame:
-    """Pairs of a band that lie in different components and that the comparison with its first member left out.
+def _in_blocks(rows: DataFrame, key: str, function: Callable[[pa.Table], list[tuple[int, int]]], block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that ``function`` finds among the rows of each ``key``.
 
-    In every band the members outside its largest component meet all those of other components.
+    A key with over ``block`` rows is cut into blocks by a hash of ``node``, and every pair of blocks is
+    looked at by itself, so ``function`` never gets more than about twice ``block`` rows.
     """
-    placed = members.join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    open_ = placed.join(split, "key")
-    largest = open_.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    few = open_.join(largest, "key").where("root <> main").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"))
-    met = few.join(open_.select("key", "node", "root"), "key").where("x_root <> root")
-    pairs = met.select(F.greatest("x", "node").alias("node"), F.least("x", "node").alias("hub")).distinct()
-    return pairs.join(star.select("node", "hub"), ["node", "hub"], "left_anti")
+    sizes = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("__n"))
+    cut = rows.join(sizes, key).withColumn("__own", F.pmod(F.xxhash64("node"), F.col("__n")).cast("int"))
+    met = cut.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
+    group = [key, "__lo", "__hi"]
+    placed = met.withColumns({"__lo": F.least("__own", "__other"), "__hi": F.greatest("__own", "__other")}).drop("__own", "__other", "__n")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def found() -> pa.RecordBatch:
+            edges = function(pa.Table.from_batches(held).combine_chunks())
+            return pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], type=pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            ids = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in group], axis=1)
+            edges = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                if held and any(held[-1].column(held[-1].schema.get_field_index(c))[0].as_py() != int(v) for c, v in zip(group, ids[a], strict=True)):
+                    yield found()
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield found()
+
+    return placed.repartition(*group).sortWithinPartitions(*group).mapInArrow(each, "a bigint, b bigint")
+
+
+class _Group:
+    """Nodes of a block with their components, merged further as links are found."""
+
+    def __init__(self, table: pa.Table, threshold: float) -> None:
+        self.threshold = threshold
+        self.node, self.n = table["node"].to_numpy(), table["n"].to_numpy()
+        self.root = table["root"].to_numpy()
+        _, self.label = np.unique(self.root, return_inverse=True)
+        self.sig = table["sig"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(self.node), -1)
+
+    def outside(self) -> np.ndarray:
+        """Rows outside the largest component."""
+        return np.flatnonzero(self.label != np.bincount(self.label).argmax())
+
+    def likely(self, i: int) -> np.ndarray:
+        """Rows of other components that may reach the threshold with row ``i``."""
+        n, own = self.n, self.n[i]
+        rows = np.flatnonzero((self.label != self.label[i]) & (np.minimum(n, own) >= (self.threshold - 1e-9) * np.maximum(n, own)))
+        x = self.sig[rows] ^ self.sig[i]
+        x |= x >> np.uint64(1)
+        x |= x >> np.uint64(2)
+        equal = 1 - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1) / HASHES
+        chance = 1 / 2**BITS
+        return rows[(equal - chance) / (1 - chance) >= self.threshold - MARGIN]
+
+    def merge(self, i: int, j: int) -> None:
+        self.label[self.label == self.label[j]] = self.label[i]
+
+
+def _families(table: pa.Table, threshold: float) -> list[tuple[int, int]]:
+    """Components of a band that hold likely pairs, as edges that span them."""
+    group, edges = _Group(table, threshold), []
+    for i in group.outside():
+        for j in group.likely(i):
+            if group.label[i] != group.label[j]:
+                edges.append((int(group.root[i]), int(group.root[j])))
+                group.merge(i, j)
+    return edges
+
+
+def _links(table: pa.Table, threshold: float, percent: int) -> list[tuple[int, int]]:
+    """Links on full sets that join components of a family."""
+    group, edges = _Group(table, threshold), []
+    column = table["shingles"].combine_chunks()
+    sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in column]
+    for i in group.outside():
+        rows = group.likely(i)
+        while len(rows):
+            # Shingles shared with many others at once; then one link to each component is enough.
+            some, rows = rows[:LINK_ROWS], rows[LINK_ROWS:]
+            flat = np.concatenate([sets[j] for j in some])
+            at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
+            shared = np.add.reduceat(sets[i][at] == flat, np.cumsum([0, *(len(sets[j]) for j in some[:-1])]))
+            union = len(sets[i]) + np.array([len(sets[j]) for j in some]) - shared
+            for j in some[100 * shared >= percent * union]:
+                if group.label[i] != group.label[j]:
+                    edges.append((int(group.node[i]), int(group.node[j])))
+                    group.merge(i, j)
+            rows = rows[group.label[rows] != group.label[i]]
+    return edges
 
 
 def near_duplicates(
@@ -213,38 +311,33 @@ def near_duplicates(
         keyed = nodes.select("node", F.explode("bands").alias("key"))
         shared = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
         members = scratch.write(keyed.join(shared.select("key", "hub"), "key"), "members")
-        star = scratch.write(members.where("node <> hub").select("node", "hub").distinct(), "star")
-        likely = scratch.write(_estimated(star, nodes, threshold), "likely")
+        star = members.where("node <> hub").select("node", "hub").distinct()
+        best = _estimated(star, nodes, threshold).groupBy("node").agg(F.max_by("hub", F.struct("est", "hub")).alias("hub"))
+        best = scratch.write(best, "best")
 
-        def sets_of(pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
-            ends = pairs.select("node").union(pairs.select("hub")).distinct()
+        def sets_of(wanted: DataFrame, known: DataFrame | None = None) -> DataFrame:
             if known is not None:
-                ends = ends.join(known.select("node"), "node", "left_anti")
-            wanted = nodes.select("node", "first_id", "fp").join(ends, "node")
+                wanted = wanted.join(known.select("node"), "node", "left_anti")
+            wanted = scratch.write(nodes.select("node", "first_id", "fp").join(wanted, "node"), "wanted")
             return scratch.write(_full_sets(docs, wanted, n, key, text).dropDuplicates(["node"]), "sets")
 
-        sets = sets_of(likely)
-        best = scratch.write(likely.groupBy("node").agg(F.max_by("hub", F.struct("est", "hub")).alias("hub")), "best")
-        edges = scratch.write(_confirmed(best, sets, percent), "links")
-        comps = components(edges, scratch)
-
-        def apart(pairs: DataFrame) -> DataFrame:
-            """Pairs whose ends are not connected yet."""
-            a = comps.select("node", F.col("root").alias("r_a"))
-            b = comps.select(F.col("node").alias("hub"), F.col("root").alias("r_b"))
-            joined = pairs.join(a, "node", "left").join(b, "hub", "left")
-            return joined.where(F.coalesce("r_a", "node") != F.coalesce("r_b", "hub")).select("node", "hub")
-
-        rest = scratch.write(apart(likely.join(best, ["node", "hub"], "left_anti")), "rest")
-        if not rest.isEmpty():
-            edges = scratch.write(edges.union(_confirmed(rest, sets, percent)), "links")
-            comps = components(edges, scratch)
-
-        late = scratch.write(_estimated(_stragglers(members, comps, star), nodes, threshold), "late")
-        if not late.isEmpty():
-            sets = sets.unionByName(sets_of(late, sets))
-            edges = scratch.write(edges.union(_confirmed(late, sets, percent)), "links")
-            comps = components(edges, scratch)
+        sets = sets_of(best.select("node").union(best.select("hub")).distinct())
+        links = scratch.write(_confirmed(best, sets, percent), "links")
+        comps = components(links, scratch)
+
+        # Bands that hold several components.
+        placed = members.select("key", "node").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+        signed_nodes = nodes.select("node", "n", "sig")
+        open_ = placed.join(split, "key").join(signed_nodes, "node")
+        related = scratch.write(_in_blocks(open_, "key", lambda t: _families(t, threshold)), "related")
+        families = components(related, scratch).select(F.col("node").alias("root"), F.col("root").alias("family"))
+        roots = nodes.select("node").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        kin = scratch.write(roots.join(families, "root"), "kin")
+        if not kin.isEmpty():
+            sets = sets.unionByName(sets_of(kin.select("node"), sets))
+            late = _in_blocks(kin.join(signed_nodes, "node").join(sets, "node"), "family", lambda t: _links(t, threshold, percent))
+            comps = components(scratch.write(links.unionByName(late), "links"), scratch)
 
         placed = nodes.select("node", "fp", "first_id").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
         smallest = placed.groupBy("root").agg(F.min("first_id").alias("smallest"))
