@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from featureflow.llm import minhash, rules
+from featureflow.llm import licenses, minhash, mixing, packing, rules, suffixes
 from featureflow.llm.ship import ship
 from featureflow.plans import registry
 
@@ -29,6 +31,66 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+OP1_SQL = """
+WITH sizes AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source
+), sources AS (
+    SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS idx, 3 * source_size AS cap FROM totals
+), weighted AS (
+    SELECT *, [5, 2, 1][idx % 3 + 1] AS weight FROM sources
+), running AS (
+    SELECT *, cap / weight AS ratio,
+        sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS free,
+        sum(weight) OVER (ORDER BY cap / weight, idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+    FROM weighted
+), level AS (
+    SELECT first(free::BIGINT / open_weight::BIGINT ORDER BY ratio, idx) AS v FROM running WHERE free::BIGINT / open_weight::BIGINT <= ratio
+), targets AS (
+    SELECT source, source_size, idx, cap, least(cap::DOUBLE, weight * v) AS target FROM weighted, level
+), whole AS (
+    SELECT sum(target) AS t, sum(source_size)::BIGINT AS words FROM targets
+), sized AS (
+    SELECT t, words, least(4096, greatest(1, words // 65536)) AS block FROM whole
+), line AS (
+    SELECT idx, floor(target / t * 2147483648)::BIGINT AS units FROM targets, sized
+), placed AS (
+    SELECT idx, (sum(units) OVER (ORDER BY idx) - units)::BIGINT AS lo, (sum(units) OVER (ORDER BY idx))::BIGINT AS hi FROM line
+), points AS (
+    SELECT i AS slot, ((i * 2654435769::BIGINT) % 4294967296) AS p
+    FROM (SELECT unnest(range((SELECT (words + block - 1) // block FROM sized)::BIGINT)) AS i)
+), stretched AS (
+    SELECT slot, (p * (SELECT max(hi) FROM placed)) >> 32 AS y FROM points
+), slots AS (
+    SELECT slot, idx, row_number() OVER (PARTITION BY idx ORDER BY slot) - 1 AS rank FROM stretched JOIN placed ON lo <= y AND y < hi
+), draws AS (
+    SELECT s.idx, rank % ((source_size + block - 1) // block) AS block_no, count(*) AS draws
+    FROM slots s JOIN targets t ON t.idx = s.idx, sized
+    WHERE rank < 3 * ((source_size + block - 1) // block) GROUP BY ALL
+), laid AS (
+    SELECT doc_id, size, t.source_size, t.target, t.idx,
+        (sum(size) OVER (PARTITION BY t.idx ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+    FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), cut AS (
+    SELECT l.*, unnest(range(start // block, CASE WHEN size = 0 THEN start // block ELSE (start + size - 1) // block + 1 END)) AS block_no, block FROM laid l, sized
+), met AS (
+    SELECT c.doc_id, c.idx, c.start, sum((least(start + size, (c.block_no + 1) * block) - greatest(start, c.block_no * block)) * coalesce(draws, 0)) AS taken
+    FROM cut c LEFT JOIN draws d ON d.idx = c.idx AND d.block_no = c.block_no GROUP BY ALL
+)
+SELECT l.doc_id, l.size, l.source_size, l.target, coalesce(m.taken, 0)::BIGINT AS taken
+FROM laid l LEFT JOIN met m ON l.size > 0 AND m.doc_id = l.doc_id AND m.idx = l.idx AND m.start = l.start
+"""
+
+
+@query(OP1_SQL)
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed: weights 5, 2, 1 in turn, no source more than three times."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 OP2_SQL = """
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -64,6 +126,47 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), n=2, percent=80)
 
 
+@query()
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.summary(licenses.scan(_table(spark, sf_dir, "documents")))
+
+
+@query()
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces in sequences of at most 2048 tokens."""
+    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), TOKENIZER, 2048, end_id=0)
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+OP6_SQL = """
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), places AS (
+    SELECT doc_id, w, unnest(range(len(w))) AS i FROM words WHERE len(w) >= 50
+), windows AS (
+    SELECT doc_id, i, CASE WHEN i + 50 <= len(w) THEN hash(array_to_string(w[i + 1 : i + 50], ' ')) END AS h FROM places
+), counted AS (
+    SELECT *, CASE WHEN h IS NULL THEN 0 WHEN row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 THEN 2
+        WHEN count(*) OVER (PARTITION BY h) > 1 THEN 1 ELSE 0 END AS s
+    FROM windows
+), covered AS (
+    SELECT doc_id, i, max(s) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS s FROM counted
+), runs AS (
+    SELECT doc_id, i, s, i - row_number() OVER (PARTITION BY doc_id, s ORDER BY i) AS run FROM covered WHERE s > 0
+)
+SELECT doc_id, min(i)::BIGINT AS first_word, count(*)::BIGINT AS n_words, s = 2 AS removed FROM runs GROUP BY doc_id, s, run
+"""
+
+
+@query(OP6_SQL)
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in passages of 50 words or more that stand in the documents twice."""
+    return suffixes.repeated_spans(_table(spark, sf_dir, "documents"), least=50)
+
+
 @query()
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document; the decision list is learned from ``labels.quality``."""
