@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import licenses, minhash, mixing, packing, rules, suffixes
+from featureflow.llm import ann, licenses, minhash, mixing, packing, rules, separators, suffixes, toxicity, urls
 from featureflow.llm.ship import ship
 from featureflow.plans import registry
 
@@ -132,6 +132,12 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(_table(spark, sf_dir, "documents")))
 
 
+@query()
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every vector with an id divisible by 20."""
+    return ann.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, nearest=20)
+
+
 @query()
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces in sequences of at most 2048 tokens."""
@@ -167,6 +173,24 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_spans(_table(spark, sf_dir, "documents"), least=50)
 
 
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document from its nearest labelled ones."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query()
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: fixed rules, then association rules mined from the documents' labels."""
+    return urls.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
+@query()
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files by their separators alone."""
+    return separators.document_tokens(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 @query()
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document; the decision list is learned from ``labels.quality``."""

@@ -12,7 +12,9 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 250_000
+# Entries of the two caches, about 200 bytes each: pieces as they stand, and the lower-case words in them.
+CACHE_PIECES = 300_000
+CACHE_PARTS = 700_000
 
 _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
@@ -28,14 +30,14 @@ def _byte_alphabet() -> list[str]:
 
 
 class _Cache(dict):
-    """Keeps what ``make`` returns for a key; emptied when it holds ``CACHE_PIECES``."""
+    """Keeps what ``make`` returns for a key; emptied when it holds ``most`` of them."""
 
-    def __init__(self, make) -> None:
+    def __init__(self, make, most: int) -> None:
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= CACHE_PIECES:
+        if len(self) >= self.most:
             self.clear()
         found = self[key] = self.make(key)
         return found
@@ -49,8 +51,8 @@ class PieceTokenizer:
         self.model = self.tokenizer.model
         self.alphabet = _byte_alphabet()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts = _Cache(self._part)
-        self.pieces = _Cache(self._piece)
+        self.parts = _Cache(self._part, CACHE_PARTS)
+        self.pieces = _Cache(self._piece, CACHE_PIECES)
 
     def _part(self, part: str) -> bytes:
         symbols = part if part.isascii() else "".join(self.alphabet[b] for b in part.encode())
