@@ -347,3 +347,16 @@ def near_duplicates(
     found = F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("doc_id"))
     out = rows.select("doc_id", "n_shingles", found.alias(min_id))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col(min_id), F.lit(False)))
+
+
+def without_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each class of ``near_duplicates``, the one with the smallest id; columns unchanged.
+
+    Rows with the same id stay or go together, but of rows with the same id and text one stays. Rows without
+    an id stay.
+    """
+    found = near_duplicates(docs.where(F.col(key).isNotNull()), n, percent, key, text)
+    kept = found.where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
+    hashed = docs.where(F.col(key).isNotNull()).withColumn("__text_hash", F.xxhash64(text))
+    one = hashed.join(kept, hashed[key] == kept["__kept_id"], "left_semi").dropDuplicates([key, "__text_hash"])
+    return one.drop("__text_hash").unionByName(docs.where(F.col(key).isNull()))

@@ -245,3 +245,13 @@ def judge(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text: str
     rules = fit_rules(docs, labels, rows, text)
     judged = with_statistics(docs, text).withColumn("base_failed", base_failed()).withColumn("rule", decision(rules))
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, columns unchanged whatever their names."""
+    into = "stats"
+    while into in docs.columns:
+        into += "_"
+    learned = fit_rules(docs, labels, rows, text)
+    kept = with_statistics(docs, text, into).where(~base_failed(into) & decision(learned, into).isNull())
+    return kept.drop(into)

@@ -86,15 +86,15 @@ def _places(docs: DataFrame, wanted: DataFrame, least: int, key: str, text: str)
         windows = rolling(words.hashes, least, 7)
         text_of = words.doc_of()[starts]
         node = run.column(1).to_numpy()
-        wanted_seeds, counts = run.column(3).values.to_numpy().view(np.uint64), run.column(3).value_lengths().to_numpy()
-        first = run.column(3).offsets.to_numpy()
+        # Offsets of a slice count from the start of the whole array of values.
+        wanted_seeds, offsets = run.column(3).values.to_numpy().view(np.uint64), run.column(3).offsets.to_numpy()
         keep, hot = np.zeros(len(starts), dtype=bool), np.zeros(len(starts), dtype=bool)
         hot_lists = run.column(4)
         cuts = np.searchsorted(text_of, np.arange(run.num_rows + 1))
         for d in np.flatnonzero(same):
             a, b = cuts[d], cuts[d + 1]
             found = hashes[owners[a:b]]
-            keep[a:b] = np.isin(found, wanted_seeds[first[d] - first[0] : first[d] - first[0] + counts[d]])
+            keep[a:b] = np.isin(found, wanted_seeds[offsets[d] : offsets[d + 1]])
             if len(hot_lists[d]):
                 hot[a:b] = np.isin(found, hot_lists[d].values.to_numpy().view(np.uint64))
         starts, owners, text_of, hot = starts[keep], owners[keep], text_of[keep], hot[keep]
@@ -212,9 +212,9 @@ def _merged(least: int):
 SPANS = "array<struct<first_word:bigint,end_word:bigint,removed:boolean>>"
 
 
-def _text_spans(docs: DataFrame, least: int, key: str, text: str, scratch: Scratch) -> DataFrame:
-    """(doc_id, fp, spans) of every text with repeated words; a text equal to an earlier one is removed whole."""
-    table = scratch.write(_seed_table(docs, least, key, text), "seeds")
+def _text_spans(docs: DataFrame, least: int, key: str, text: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(fp, first_id, n_words, copies, spans) per distinct text, and (doc_id, fp) of the documents that hold them."""
+    table = scratch.write(_seed_table(docs, least, key, text), "seeds", keep=True)
     texts = table.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.max("n_words").alias("n_words"), F.count_distinct("doc_id").alias("copies"))
     # Numbers in the order of precedence: the earliest document first.
     texts = scratch.write(texts.orderBy("first_id", "fp").withColumn("node", F.monotonically_increasing_id()), "texts", keep=True)
@@ -230,7 +230,7 @@ def _text_spans(docs: DataFrame, least: int, key: str, text: str, scratch: Scrat
     runs = runs.unionByName(_hot_runs(places.where("hot")))
     gathered = runs.groupBy("node").agg(F.collect_list(F.struct("lo", "hi", "later")).alias("runs"))
     spans = gathered.mapInArrow(_merged(least), f"node bigint, spans {SPANS}")
-    return scratch.write(texts.join(spans, "node", "left").drop("node"), "spans", keep=True)
+    return scratch.write(texts.join(spans, "node", "left").drop("node"), "spans", keep=True), table.select("doc_id", "fp")
 
 
 def repeated_spans(docs: DataFrame, least: int = LEAST_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,10 +243,8 @@ def repeated_spans(docs: DataFrame, least: int = LEAST_WORDS, key: str = "doc_id
     document; documents without an id are left out; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    known = docs.where(F.col(key).isNotNull())
     with Scratch(spark) as scratch:
-        spans = _text_spans(known, least, key, text, scratch)
-        held = scratch.write(_fingerprints(known, least, key, text), "held", keep=True)
+        spans, held = _text_spans(docs.where(F.col(key).isNotNull()), least, key, text, scratch)
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("first_word"), F.col("n_words").alias("end_word"), F.lit(True).alias("removed")))
     rest = F.coalesce("spans", F.array().cast(SPANS))
     # The first of several copies is repeated as a whole, too.
@@ -256,10 +254,6 @@ def repeated_spans(docs: DataFrame, least: int = LEAST_WORDS, key: str = "doc_id
     return each.select("doc_id", "first_word", (F.col("end_word") - F.col("first_word")).alias("n_words"), "removed")
 
 
-def _fingerprints(docs: DataFrame, least: int, key: str, text: str) -> DataFrame:
-    return _seed_table(docs, least, key, text).select("doc_id", "fp")
-
-
 def _whole_cover():
     """The removed runs, and between them what stays, over all words of a text."""
     gone = F.filter(F.coalesce("spans", F.array().cast(SPANS)), lambda s: s["removed"])
@@ -281,11 +275,14 @@ def without_repeats(docs: DataFrame, least: int = LEAST_WORDS, key: str = "doc_i
     """
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
-        spans = _text_spans(docs.where(F.col(key).isNotNull()), least, key, text, scratch)
+        spans, held = _text_spans(docs.where(F.col(key).isNotNull()), least, key, text, scratch)
     cuts = spans.select("fp", "first_id", F.filter("spans", lambda s: s["removed"]).alias("cuts"))
     places = cuts.where("size(cuts) > 0").select(F.col("first_id").alias("__id"), F.struct("fp", "cuts").alias("__cut"))
     per_doc = places.groupBy("__id").agg(F.collect_list("__cut").alias("__cuts"))
-    copies = _copies(docs, spans, least, key, text)
+    # Documents that hold the whole text of an earlier one.
+    several = spans.where("copies > 1").select("fp", "first_id")
+    later = held.join(several, "fp").where("doc_id <> first_id")
+    copies = later.groupBy(F.col("doc_id").alias("__copy_id")).agg(F.collect_set("fp").alias("__gone"))
     joined = docs.join(per_doc, docs[key] == per_doc["__id"], "left").drop("__id")
     joined = joined.join(copies, joined[key] == copies["__copy_id"], "left").drop("__copy_id")
     names, at = docs.columns, {c: i for i, c in enumerate(docs.columns)}
@@ -327,10 +324,3 @@ def without_repeats(docs: DataFrame, least: int = LEAST_WORDS, key: str = "doc_i
 
     return map_runs(joined, text, cut, docs.schema)
 
-
-def _copies(docs: DataFrame, spans: DataFrame, least: int, key: str, text: str) -> DataFrame:
-    """(__copy_id, __gone: fingerprints): documents that hold the whole text of an earlier one."""
-    several = spans.where("copies > 1").select("fp", "first_id")
-    held = _fingerprints(docs.where(F.col(key).isNotNull()), least, key, text)
-    later = held.join(several, "fp").where("doc_id <> first_id")
-    return later.groupBy(F.col("doc_id").alias("__copy_id")).agg(F.collect_set("fp").alias("__gone"))
