@@ -30,6 +30,10 @@ TERMS = 1_024
 LEAST_TEXTS = 5
 # G statistic of a term; 30 is passed by chance once in 20 million terms.
 LEAST_G = 30.0
+# A telling term is this many times as frequent, or as rare, in toxic texts as elsewhere; common words are not.
+LEAST_LIFT = 2.0
+# Results of equal vectors that a worker keeps.
+MEMORY = 50_000
 NEAREST = 15
 BLOCK = 64
 BINS = 10
@@ -89,7 +93,9 @@ def telling_terms(sample: DataFrame, most: int = TERMS, least: int = LEAST_TEXTS
     a, n = F.col("a").cast("double"), F.col("n").cast("double")
     g = part(a, n * bad / total) + part(n - a, n * (total - bad) / total)
     g = g + part(F.lit(bad) - a, (total - n) * bad / total) + part(F.lit(total - bad) - (n - a), (total - n) * (total - bad) / total)
-    top = counts.withColumn("g", 2 * g).where(F.col("g") > LEAST_G).orderBy(F.desc("g"), "term").limit(most)
+    rate = (a / F.lit(bad)) / ((n - a + 0.5) / F.lit(total - bad))
+    telling = (rate >= LEAST_LIFT) | (rate <= 1 / LEAST_LIFT)
+    top = counts.withColumn("g", 2 * g).where(telling & (F.col("g") > LEAST_G)).orderBy(F.desc("g"), "term").limit(most)
     return np.sort(np.array([r["term"] for r in top.select("term").collect()], dtype=np.int64).view(np.uint64))
 
 
@@ -259,16 +265,22 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
     """(doc_id, score, evidence) per row; evidence: ids and cosines of the nearest examples, nearest first."""
     # One copy per executor; its size is bounded by INDEX_ROWS and TERMS.
     held = docs.sparkSession.sparkContext.broadcast(index)
+    known: dict[bytes, tuple[float, list[dict]]] = {}
 
     def rate(run: pa.RecordBatch) -> pa.RecordBatch:
         own = held.value
+        if len(known) > MEMORY:
+            known.clear()
         scores = np.full(run.num_rows, own.probability(-1.0))
         evidence: list[list[dict]] = [[] for _ in range(run.num_rows)]
         for row, at, value in own.vectors(run, text):
-            vote, best = own.vote(at, value)
-            scores[row] = own.probability(vote)
-            cosine = value @ own.weights[at[:, None], best[:3]] if len(best) else []
-            evidence[row] = [{"doc_id": own.ids[b], "cosine": float(c)} for b, c in zip(best[:3], cosine, strict=True)]
+            same = at.tobytes() + value.tobytes()  # texts with the same known terms share their neighbours
+            if same not in known:
+                vote, best = own.vote(at, value)
+                cosine = value @ own.weights[at[:, None], best[:3]] if len(best) else []
+                nearest = [{"doc_id": own.ids[b], "cosine": float(c)} for b, c in zip(best[:3], cosine, strict=True)]
+                known[same] = own.probability(vote), nearest
+            scores[row], evidence[row] = known[same]
         item = pa.struct([("doc_id", run.schema.field(0).type), ("cosine", pa.float64())])
         return pa.RecordBatch.from_arrays([run.column(0), pa.array(scores), pa.array(evidence, type=pa.list_(item))], names=["doc_id", "score", "evidence"])
 
