@@ -10,13 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from featureflow.operators.lookup import attach_pinned, known_hot, pin, with_row
+from featureflow.operators.lookup import attach, attach_pinned, known_hot, pin, with_row
 from featureflow.operators.order import running_totals
 
 # Values of one key that may go through one window task.
 WINDOW_ROWS = 50_000
-# Distinct values per key up to which a value -> count table per key is small.
-TALLY_VALUES = 100_000
 
 
 def global_avg(df: DataFrame, *columns: str) -> DataFrame:
@@ -143,10 +141,26 @@ def approx_median(
     )
 
 
-def few_values(df: DataFrame, value: str, by: Sequence[str] = (), limit: int = TALLY_VALUES) -> bool:
-    """Whether no key has clearly more than ``limit`` distinct values (one pass, fixed-size sketches)."""
-    per_key = df.groupBy(*by).agg(F.approx_count_distinct(value).alias("__d"))
-    return (per_key.agg(F.max("__d")).first()[0] or 0) <= limit
+def middle_tally(
+    df: DataFrame, value: str, by: Sequence[str], count: str = "n", accuracy: int = 10_000
+) -> DataFrame:
+    """(by, value, count): per key the distinct values near the middle and how often each occurs.
+
+    What lies below is one row with the smallest value, what lies above one with the largest, so every
+    rank near the middle is where it was. Null values are left out. The sketch's bound on its error
+    keeps the middle ranks inside; counts combine map-side.
+    """
+    keys, margin, v = list(by), 3.0 / accuracy, F.col(value)
+    rows = df.where(v.isNotNull()).select(*keys, value)
+    ends = F.percentile_approx(v, F.array(F.lit(0.5 - margin), F.lit(0.5 + margin)), F.lit(accuracy))
+    bracketed = attach(rows, rows.groupBy(*keys).agg(ends.alias("__ends")), keys)
+    zone = F.when(v < F.col("__ends")[0], 0).when(v > F.col("__ends")[1], 2).otherwise(1)
+    zoned = bracketed.withColumn("__zone", zone).withColumn("__inside", F.when(F.col("__zone") == 1, v))
+    tallied = zoned.groupBy(*keys, "__zone", "__inside").agg(
+        F.min(v).alias("__low"), F.max(v).alias("__high"), F.count(F.lit(1)).alias(count)
+    )
+    shown = F.when(F.col("__zone") == 0, F.col("__low")).when(F.col("__zone") == 2, F.col("__high"))
+    return tallied.select(*keys, shown.otherwise(F.col("__inside")).alias(value), count)
 
 
 def tally(df: DataFrame, value: str, by: Sequence[str] = (), count: str = "n") -> DataFrame:
@@ -158,7 +172,7 @@ def register_middle(spark: SparkSession, name: str = "middle") -> str:
     """Register the median as a SQL aggregate ``name(value, count)`` over tallied values.
 
     A Python aggregate holds the input of one key in one task, so it is meant for the output of
-    ``tally`` where ``few_values`` holds; ``exact_median`` has no such limit.
+    ``middle_tally``, or of ``tally`` where values repeat; ``exact_median`` has no such limit.
     """
 
     # Nested and self-contained: executors need no copy of this package to run it.

@@ -17,10 +17,17 @@ def _count(test: Column) -> Column:
     return F.count(F.when(test, 1))
 
 
+def _present(column: str) -> Column:
+    """The column; a null in it stops the job, since a row without a score has no place in a curve."""
+    missing = F.raise_error(F.lit(f"null in {column}")).cast("double")
+    return F.when(F.col(column).isNull(), missing).otherwise(F.col(column).cast("double"))
+
+
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: tp, fp, fn, tn."""
-    positive, predicted = F.col(label) == 1, F.col(prediction) == 1
-    negative, rejected = F.col(label) == 0, F.col(prediction) == 0
+    """One row: tp, fp, fn, tn. A null prediction raises."""
+    given = _present(prediction)
+    positive, predicted = F.col(label) == 1, given == 1
+    negative, rejected = F.col(label) == 0, given == 0
     return df.agg(
         _count(positive & predicted).alias("tp"),
         _count(negative & predicted).alias("fp"),
@@ -51,7 +58,7 @@ def pr_area_of_classes(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 def _points(df: DataFrame, label: str, score: str) -> DataFrame:
     """Per distinct score: pos, neg, and tp, fp reached when scores down to it count as positive."""
-    tallies = df.groupBy(F.col(score).alias("score")).agg(
+    tallies = df.groupBy(_present(score).alias("score")).agg(
         _count(F.col(label) == 1).alias("pos"), _count(F.col(label) == 0).alias("neg")
     )
     return running_totals(

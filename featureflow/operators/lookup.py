@@ -106,11 +106,11 @@ def attach_pinned(
     hot: list[int] | None = None,
 ) -> DataFrame:
     """``attach`` for statistics that went through ``pin``. ``hot``: the hot keys, where known."""
-    if small:
-        return _left_join(df, F.broadcast(held), keys)
     for k in keys:
         if df.schema[k].dataType != held.schema[k].dataType:
             raise TypeError(f"{k!r} is {df.schema[k].dataType} in the rows, {held.schema[k].dataType} in the statistics")
+    if small:
+        return _left_join(df, F.broadcast(held), keys)
     return _spread_join(df, held, keys, salt_by, find_hot(df, keys) if hot is None else hot)
 
 

@@ -13,8 +13,10 @@ from featureflow.session import spread
 
 
 def tokens(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
-    """Lower-cased words of the whole text, split at single whitespace characters."""
-    return Tokenizer(inputCol=text, outputCol=out).transform(df)
+    """Lower-cased words of the whole text, split at single whitespace characters; none for null."""
+    split = Tokenizer(inputCol="__text", outputCol=out).transform(df.withColumn("__text", F.coalesce(text, F.lit(""))))
+    none = F.array().cast("array<string>")
+    return split.withColumn(out, F.when(F.col(text).isNull(), none).otherwise(F.col(out))).drop("__text")
 
 
 def _words(df: DataFrame, words: str, *keys: str) -> DataFrame:

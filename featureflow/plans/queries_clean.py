@@ -18,10 +18,9 @@ from featureflow.functions.derive import (
 from featureflow.operators.aggregate import (
     approx_median,
     exact_median,
-    few_values,
     global_avg,
+    middle_tally,
     register_middle,
-    tally,
 )
 from featureflow.operators.encode import vector_slots
 from featureflow.operators.impute import (
@@ -321,28 +320,21 @@ def agg_approx_median_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_returnflag, median(l_quantity) AS median_quantity FROM lineitem GROUP BY l_returnflag")
 def sql_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The built-in median by name in SQL.
+    """The built-in exact percentile by name in SQL, over the tallied values near the middle.
 
-    It keeps a value -> count table per group, which is small where values repeat; otherwise the
-    bracketed median takes over.
+    It keeps a value -> count table per group, which the tally keeps small for any input.
     """
-    rows = table(spark, sf_dir, "lineitem")
-    if not few_values(rows, "l_quantity", ["l_returnflag"]):
-        return exact_median(rows, "l_quantity", ["l_returnflag"], out="median_quantity")
-    view = register_view(rows, "ff_lineitem")
+    view = register_view(middle_tally(table(spark, sf_dir, "lineitem"), "l_quantity", ["l_returnflag"]), "ff_middle")
     return spark.sql(
-        f"SELECT l_returnflag, median(l_quantity) AS median_quantity FROM {view} GROUP BY l_returnflag"
+        f"SELECT l_returnflag, percentile(l_quantity, 0.5, n) AS median_quantity FROM {view} GROUP BY l_returnflag"
     )
 
 
 @query("SELECT l_returnflag, median(l_quantity) AS median_quantity FROM lineitem GROUP BY l_returnflag")
 def udaf_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A registered aggregate by name in SQL, over rows tallied per distinct value."""
-    rows = table(spark, sf_dir, "lineitem")
-    if not few_values(rows, "l_quantity", ["l_returnflag"]):
-        return exact_median(rows, "l_quantity", ["l_returnflag"], out="median_quantity")
+    """A registered aggregate by name in SQL, at every size: over the tallied values near the middle."""
     name = register_middle(spark)
-    view = register_view(tally(rows, "l_quantity", ["l_returnflag"]), "ff_tallies")
+    view = register_view(middle_tally(table(spark, sf_dir, "lineitem"), "l_quantity", ["l_returnflag"]), "ff_tallies")
     return spark.sql(
         f"SELECT l_returnflag, {name}(l_quantity, n) AS median_quantity FROM {view} GROUP BY l_returnflag"
     )

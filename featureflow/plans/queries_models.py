@@ -88,7 +88,7 @@ def _points_scored(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     points = labelled_points(rows, fit_means(rows, "Age"))
     parted = points.withColumn("part", hash_part(ID, {"train": 80, "test": 20}))
     train = written_table(spread(parted.where("part = 'train'").select("label", "features")), "points")
-    model = fit_points(kind, train, max_iter=20)
+    model = fit_points(kind, train)
     return model.transform(parted.where("part = 'test'")).select(ID, "label", "prediction")
 
 

@@ -19,8 +19,12 @@ def read_csv(
 
     Doubled quotes inside quoted fields are read as one quote; ``escape="\\\\"`` gives Spark's
     default instead. Give a schema for large inputs: inference reads them twice.
+
+    A header that does not name the schema's columns in their order raises, as does a cell that is not
+    of its column's type; ``mode="PERMISSIVE"`` makes such a cell null.
     """
-    reader = spark.read.options(header=header, escape=escape, **options)
+    checks = {"enforceSchema": False} if header and schema is not None else {}
+    reader = spark.read.options(**{"header": header, "escape": escape, "mode": "FAILFAST", **checks, **options})
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 

@@ -9,7 +9,7 @@ from featureflow.operators.evaluate import (
     roc_area_of_classes,
     roc_area_of_scores,
 )
-from tests.conftest import rows
+from tests.conftest import SPARK_ERRORS, rows
 
 HARD = [(1, 1), (1, 1), (1, 0), (0, 0), (0, 0), (0, 1), (0, 0)]
 
@@ -63,3 +63,10 @@ def test_perfect_order_one_score_one_class(spark):
     assert roc_area_of_scores(frame(spark, [(0, 1), (1, 1)]), "label", "score").first()[0] == 0.5
     assert roc_area_of_scores(frame(spark, [(1, 1), (1, 2)]), "label", "score").first()[0] is None
     assert pr_area_of_scores(frame(spark, [(0, 1), (0, 2)]), "label", "score").first()[0] is None
+
+
+def test_null_scores_raise(spark):
+    df = spark.createDataFrame([(1.0, 0.5, 1.0), (0.0, None, None)], "label double, score double, prediction double")
+    for area, column in ((roc_area_of_scores, "score"), (pr_area_of_scores, "score"), (roc_area_of_classes, "prediction")):
+        with pytest.raises(SPARK_ERRORS):
+            area(df, "label", column).collect()

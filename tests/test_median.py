@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from featureflow.operators.aggregate import (
     approx_median,
     exact_median,
-    few_values,
+    middle_tally,
     register_middle,
     tally,
 )
@@ -85,9 +85,15 @@ def test_approx_rank_error(spark):
 
 def test_registered_aggregate(spark):
     df = spark.createDataFrame([("a", 1.0)] * 3 + [("a", 9.0)] * 3 + [("b", 2.0), ("b", None)], "g string, x double")
-    assert few_values(df, "x", ["g"])
-    assert not few_values(df, "x", ["g"], limit=1)
     name = register_middle(spark, "middle_test")
     tally(df, "x", ["g"]).createOrReplaceTempView("tallied")
     found = spark.sql(f"SELECT g, {name}(x, n) FROM tallied GROUP BY g")
     assert rows(found) == [("a", 5.0), ("b", 2.0)]
+
+
+def test_middle_tally_is_small_and_keeps_the_middle(spark):
+    df = spark.range(200_001).select((F.col("id") % 2).alias("g"), F.pmod(F.col("id") * 7919, F.lit(200_003)).cast("double").alias("x"))
+    tallied = middle_tally(df, "x", ["g"])
+    assert tallied.count() < 500
+    found = tallied.groupBy("g").agg(F.percentile("x", F.lit(0.5), F.col("n")).alias("m"))
+    assert rows(found) == rows(df.groupBy("g").agg(F.median("x")))

@@ -59,3 +59,9 @@ def test_parameters_of_the_classifier():
     *_, model = text.text_classifier().getStages()
     assert model.getMaxIter() == 10 and model.getRegParam() == 0.001
     assert text.hashed_features()[1].getNumFeatures() == 1000
+
+
+def test_a_null_text_has_no_words(spark):
+    df = spark.createDataFrame([(1, None), (2, "a b")], "doc_id bigint, text string")
+    assert rows(text.tokens(df).select("doc_id", F.size("words"))) == [(1, 0), (2, 2)]
+    assert text.term_counts(df, "doc_id").count() == 2
