@@ -13,8 +13,8 @@ import numpy as np
 from tokenizers import Tokenizer
 
 # Entries of the two caches, about 200 bytes each: pieces as they stand, and the lower-case words in them.
-CACHE_PIECES = 300_000
-CACHE_PARTS = 700_000
+CACHE_PIECES = 250_000
+CACHE_PARTS = 250_000
 
 _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
