@@ -33,7 +33,7 @@ from featureflow.operators.impute import (
 from featureflow.operators.models import categorical_pipeline, classifier
 from featureflow.operators.search import grid_search
 from featureflow.operators.split import stack_by_name
-from featureflow.session import spread, written_table
+from featureflow.session import TRAIN_PARTS, training_table
 
 ID, LABEL = "passenger_id", "survived"
 
@@ -194,25 +194,36 @@ def flow_pipeline(flow: Flow, **params) -> Pipeline:
     )
 
 
-def fit_flow(name: str, train: DataFrame, search: str = "none", fitted_on: DataFrame | None = None, **params):
+def fit_flow(
+    name: str,
+    train: DataFrame,
+    search: str = "none",
+    fitted_on: DataFrame | None = None,
+    parts: int = TRAIN_PARTS,
+    search_rows: int | None = None,
+    **params,
+):
     """Fit a flow on raw training rows.
 
     ``search``: "full" and "quick" run the cross-validated grid, "none" fits the model as it is.
-    ``fitted_on`` is the table the means come from (default: the training rows).
+    ``fitted_on`` is the table the means come from (default: the training rows). ``parts`` is the number of
+    pieces the training rows are dealt into; fitted models depend on it and on nothing of the cluster.
+    ``search_rows`` bounds the rows the search reads (default: all); the model found is fitted on all.
     """
     flow = FLOWS[name]
     rows = records(flow, train, train if fitted_on is None else fitted_on)
     if search == "none" or not flow.folds:
         # Written once: label counts, widths and the model's own passes read columnar files.
-        return flow_pipeline(flow, **params).fit(written_table(spread(rows, ID), "train"))
+        return flow_pipeline(flow, **params).fit(training_table(rows, "train", ID, parts=parts))
     if search == "quick":
         return grid_search(
             flow_pipeline(flow, **{**flow.quick_params, **params}),
-            flow.quick_grid, rows, LABEL, ID, folds=2, metric=flow.metric,
+            flow.quick_grid, rows, LABEL, ID, folds=2, metric=flow.metric, parts=parts, search_rows=search_rows,
         )
     return grid_search(
-        flow_pipeline(flow, **params), flow.grid, rows, LABEL, ID, folds=flow.folds, metric=flow.metric
-    )
+        flow_pipeline(flow, **params), flow.grid, rows, LABEL, ID, folds=flow.folds, metric=flow.metric,
+        parts=parts, search_rows=search_rows,
+    )
 
 
 def fit_points(kind: str, points: DataFrame, max_iter: int = 100):

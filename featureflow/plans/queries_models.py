@@ -19,7 +19,11 @@ from featureflow.operators.split import below, from_cutoff, hash_part
 from featureflow.plans.passengers import ID, LABEL, fit_points, labelled_points, run_flow
 from featureflow.plans.registry import query
 from featureflow.plans.standin import base, id_cutoff, split_base
-from featureflow.session import spread, written_table
+from featureflow.session import training_table, written_table
+
+
+# The whole searches read at most this many labelled rows; the model found is fitted on all.
+SEARCH_ROWS = 5_000
 
 
 def _scored(spark: SparkSession, sf_dir: str, flow: str, search: str = "none", **params) -> DataFrame:
@@ -87,7 +91,7 @@ def _points_scored(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     rows = rows.withColumn("Fare", F.coalesce("Fare", F.lit(0.0)))
     points = labelled_points(rows, fit_means(rows, "Age"))
     parted = points.withColumn("part", hash_part(ID, {"train": 80, "test": 20}))
-    train = written_table(spread(parted.where("part = 'train'").select("label", "features")), "points")
+    train = training_table(parted.where("part = 'train'").select(ID, "label", "features"), "points", ID)
     model = fit_points(kind, train)
     return model.transform(parted.where("part = 'test'")).select(ID, "label", "prediction")
 
@@ -127,32 +131,32 @@ def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cv_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decision tree, best depth."""
-    return _scored(spark, sf_dir, "tree", "quick")
+    """Decision tree, best of its grid."""
+    return _scored(spark, sf_dir, "tree", "full", search_rows=SEARCH_ROWS)
 
 
 @query()
 def cv_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random forest, best depth."""
+    """Random forest, better of two depths."""
     return _scored(spark, sf_dir, "forest", "quick")
 
 
 @query()
 def cv_rf_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random forest on the banded record, best depth, means from all rows."""
+    """Random forest on the banded record, better of two depths, means from all rows."""
     return _scored(spark, sf_dir, "forest_union", "quick", fit_on="all")
 
 
 @query()
 def cv_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gradient-boosted trees, best depth."""
+    """Gradient-boosted trees, better of two depths."""
     return _scored(spark, sf_dir, "boosted", "quick")
 
 
 @query()
 def cv_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logistic regression, best regularisation."""
-    return _scored(spark, sf_dir, "logistic", "quick")
+    """Logistic regression, best of its grid."""
+    return _scored(spark, sf_dir, "logistic", "full", search_rows=SEARCH_ROWS)
 
 
 @query()

@@ -83,6 +83,20 @@ def written_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Pieces of a training table unless the caller names another number.
+TRAIN_PARTS = 8
+
+
+def training_table(df: DataFrame, label: str, *keys: str, parts: int = TRAIN_PARTS, scratch: Scratch | None = None) -> DataFrame:
+    """Write ``df`` and read it in ``parts`` pieces hashed by ``keys``, each sorted by them.
+
+    Bagging and random starts depend on which rows share a partition and in which order; here that follows
+    from the rows and ``parts`` alone, not from cores, file sizes or the shuffle setting. ``keys`` should tell
+    rows apart; rows equal in all of them may swap places.
+    """
+    written = (scratch.write if scratch else written_table)(df, label)
+    return written.repartition(parts, *keys).sortWithinPartitions(*keys)
+
 
 class Scratch:
     """Written intermediate tables with an owner: leaving the ``with`` block removes them.

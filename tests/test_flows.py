@@ -14,6 +14,7 @@ from featureflow.plans.passengers import (
     PASSENGER_SCHEMA,
     SCORING_SCHEMA,
     banded_record,
+    fit_flow,
     labelled_points,
     plain_record,
     run_flow,
@@ -110,6 +111,36 @@ def test_search(halves, search):
     assert run_flow("tree", *halves, search=search).count() == 200
 
 
+def test_search_reports_every_combination(halves):
+    model = fit_flow("tree", halves[0], "full", search_rows=300)
+    areas = model.avgMetrics
+    assert len(areas) == len(model.getEstimatorParamMaps()) == 3
+    assert all(0.5 < a <= 1 for a in areas)
+    best = model.getEstimatorParamMaps()[areas.index(max(areas))]
+    tree = model.bestModel.stages[-1]
+    assert {p.name: v for p, v in best.items()} == {"maxDepth": tree.getOrDefault("maxDepth")}
+
+
+def test_fit_does_not_depend_on_the_cluster(spark, halves):
+    """The same forest, whatever the splits of the scans and the partitions of the shuffles."""
+    train, score = halves
+    settings = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "1", "spark.sql.shuffle.partitions": "7"}
+
+    def probabilities(df):
+        scored = run_flow("forest", df, score)
+        return rows(scored.select("passenger_id", vector_to_array("probability")[1]))
+
+    want = probabilities(train)
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert probabilities(train.repartition(5, "Fare")) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_full_grids():
     sizes = {
         name: len(param_maps(classifier(flow.model, "survived"), flow.grid)) for name, flow in FLOWS.items() if flow.folds
