@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from featureflow.operators.aggregate import exact_median
 from featureflow.operators.text import text_classifier
-from featureflow.plans.passengers import FLOWS, ID, PASSENGER_SCHEMA, SCORING_SCHEMA, run_flow
+from featureflow.plans.passengers import FLOWS, ID, PASSENGER_SCHEMA, SCORING_SCHEMA, Cleaning, run_flow
 from featureflow.plans.positions import POSITION_SCHEMA, cluster_positions
 from featureflow.session import build_session, training_table
 from featureflow.sources.files import read_csv, write_csv, write_predictions
@@ -24,7 +24,8 @@ from featureflow.sources.files import read_csv, write_csv, write_predictions
 def survival(spark: SparkSession, args: argparse.Namespace) -> None:
     train = read_csv(spark, args.train, schema=PASSENGER_SCHEMA)
     score = read_csv(spark, args.score, schema=PASSENGER_SCHEMA if args.score_has_label else SCORING_SCHEMA)
-    scored = run_flow(args.model, train, score, args.search, args.fit_on)
+    cleaning = Cleaning(args.match, args.zero_is_null, args.age_from)
+    scored = run_flow(args.model, train, score, args.search, args.fit_on, cleaning)
     write_predictions(scored, args.out, key=ID)
 
 
@@ -64,6 +65,9 @@ def parser() -> argparse.ArgumentParser:
     flow.add_argument("--search", choices=("none", "quick", "full"), default="none")
     flow.add_argument("--score-has-label", action="store_true", help="the scoring file has a Survived column")
     flow.add_argument("--fit-on", choices=("train", "all"), default="train")
+    flow.add_argument("--match", choices=("substring", "word"), default="substring", help="how title keywords are found")
+    flow.add_argument("--zero-is-null", action="store_true", help="age 0 is unknown")
+    flow.add_argument("--age-from", choices=("constants", "median"), default="constants", help="for the banded flows")
     add(positions, "input", "out").add_argument("--k", type=int, default=2)
     add(median, "input", "column", "out").add_argument("--by", nargs="*", default=[])
     add(text, "train", "score", "out")

@@ -26,15 +26,14 @@ TITLE_AGES = {
 }
 
 
-def fit_means(df: DataFrame, *columns: str) -> DataFrame:
-    """One row: a struct ``means`` with the average of each column."""
-    return df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("means"))
+def fit_means(df: DataFrame, *columns: str) -> dict[str, float | None]:
+    """The average of each column, computed once: one row, held as numbers so that every later use fills the same."""
+    return df.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
 
 
-def fill_means(df: DataFrame, means: DataFrame, *columns: str) -> DataFrame:
-    """Null -> fitted mean. A scalar subquery: one small job, no join, no value on the driver."""
-    fitted = means.select("means").scalar()
-    return df.withColumns({c: F.coalesce(F.col(c), fitted[c]) for c in columns})
+def fill_means(df: DataFrame, means: Mapping[str, float | None], *columns: str) -> DataFrame:
+    """Null -> fitted mean; stays null where the fitted column had no value at all."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(means[c]).cast("double")) for c in columns})
 
 
 def fill_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:
@@ -54,10 +53,13 @@ def zero_as_null(column: str | Column) -> Column:
 
 def lookup_value(category: Column, values: Mapping[str, float], default: float | None = None) -> Column:
     """The constant of the category, ``default`` for one that is not listed."""
+    rest = F.lit(default).cast("double")
+    if not values:
+        return rest
     chain = F
     for name, value in values.items():
         chain = chain.when(category == name, F.lit(value))
-    return chain.otherwise(F.lit(default).cast("double"))
+    return chain.otherwise(rest)
 
 
 def fit_group_medians(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:

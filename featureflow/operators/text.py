@@ -44,6 +44,13 @@ def idf_table(documents: DataFrame, text: str = "text") -> DataFrame:
     return frequency.withColumn("idf", F.log((total + 1) / (F.col("df") + 1)))
 
 
+def idf_of_counts(counts: DataFrame, documents: DataFrame) -> DataFrame:
+    """``idf_table`` from written term counts of ``documents``, without splitting the texts again."""
+    total = documents.agg(F.count(F.lit(1))).scalar()
+    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return frequency.withColumn("idf", F.log((total + 1) / (F.col("df") + 1)))
+
+
 def tfidf(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
     """(key, term, tf, idf, tfidf). Common words are hot keys of this join; ``df`` tells which."""
     held, small = pin(idf)

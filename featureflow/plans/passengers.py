@@ -26,6 +26,7 @@ from featureflow.operators.impute import (
     TITLE_AGES,
     fill_constants,
     fill_means,
+    fit_group_medians,
     fit_means,
     lookup_value,
     zero_as_null,
@@ -50,7 +51,7 @@ def _label(df: DataFrame, absent: int):
     return (F.col("Survived") if present else F.lit(absent)).cast("int").alias(LABEL)
 
 
-def plain_record(df: DataFrame, means: DataFrame, match: str = "substring") -> DataFrame:
+def plain_record(df: DataFrame, means: Mapping[str, float | None], match: str = "substring") -> DataFrame:
     """Cleaned record: mean age of ``means``, constants elsewhere, families of 2 to 4 in the middle."""
     filled = fill_constants(df, {"Embarked": "S", "Cabin": "Unknown", "Fare": 0.0})
     filled = fill_means(filled, means, "Age")
@@ -68,12 +69,24 @@ def plain_record(df: DataFrame, means: DataFrame, match: str = "substring") -> D
     )
 
 
+def title_medians(df: DataFrame, match: str = "substring") -> dict[str, float]:
+    """Exact median age of each title group that has one; there are no more groups than title rules."""
+    titled = df.select("Age", title_of("Name", match).alias("title"))
+    found = fit_group_medians(titled, "Age", ["title"]).collect()
+    return {r["title"]: r["group_median"] for r in found if r["group_median"] is not None}
+
+
 def banded_record(
-    df: DataFrame, means: DataFrame, match: str = "substring", zero_is_null: bool = False
+    df: DataFrame,
+    means: Mapping[str, float | None],
+    match: str = "substring",
+    zero_is_null: bool = False,
+    ages: Mapping[str, float] = TITLE_AGES,
 ) -> DataFrame:
     """Banded record: age from the title where missing, mean fare, families of 2 or 3 in the middle.
 
-    ``zero_is_null`` treats age 0 as missing, for files that were written that way.
+    ``zero_is_null`` treats age 0 as missing, for files that were written that way. ``ages`` are the ages by
+    title: fixed ones, or those of ``title_medians``.
     """
     filled = fill_means(fill_constants(df, {"Embarked": "S"}), means, "Fare")
     title = title_of("Name", match)
@@ -84,7 +97,7 @@ def banded_record(
         title.alias("title"),
         F.col("Pclass").alias("pclass"),
         F.col("Sex").alias("sex"),
-        age_band(F.coalesce(age, lookup_value(title, TITLE_AGES))).alias("age_band"),
+        age_band(F.coalesce(age, lookup_value(title, ages))).alias("age_band"),
         size_band(F.col("SibSp") + F.col("Parch"), 3).alias("family_band"),
         fare_band("Fare").alias("fare_band"),
         code_initial("Cabin").alias("cabin"),
@@ -92,7 +105,7 @@ def banded_record(
     )
 
 
-def labelled_points(df: DataFrame, means: DataFrame) -> DataFrame:
+def labelled_points(df: DataFrame, means: Mapping[str, float | None]) -> DataFrame:
     """(passenger_id, label double, features vector of 6)."""
     filled = fill_means(df, means, "Age")
     return filled.select(
@@ -170,13 +183,50 @@ FLOWS = {
 }
 
 
-def records(flow: Flow, df: DataFrame, fitted_on: DataFrame) -> DataFrame:
-    """The flow's record of ``df`` with means fitted on another table."""
-    means = fit_means(fitted_on, "Age", "Fare")
+@dataclass(frozen=True)
+class Cleaning:
+    """How a flow reads names and ages.
+
+    ``match``: title keywords as "substring" or whole "word". ``zero_is_null``: age 0 is unknown. ``age_from``: ages
+    that the banded record fills come from the "constants" per title or the "median" of the title's fitted rows.
+    """
+
+    match: str = "substring"
+    zero_is_null: bool = False
+    age_from: str = "constants"
+
+    def __post_init__(self) -> None:
+        if self.age_from not in ("constants", "median"):
+            raise ValueError(f"age_from must be 'constants' or 'median', not {self.age_from!r}")
+
+    def ages_of(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("Age", zero_as_null("Age")) if self.zero_is_null else df
+
+
+@dataclass(frozen=True)
+class Statistics:
+    """What records take from the rows they are fitted on, held as numbers."""
+
+    means: Mapping[str, float | None]
+    ages: Mapping[str, float]
+
+
+def fit_statistics(flow: Flow, df: DataFrame, cleaning: Cleaning = Cleaning()) -> Statistics:  # noqa: B008
+    """Means of age and fare, and the ages by title."""
+    if cleaning.age_from == "median" and flow.record != "banded":
+        raise ValueError("only the banded record takes ages from titles")
+    df = cleaning.ages_of(df)
+    ages = title_medians(df, cleaning.match) if cleaning.age_from == "median" else TITLE_AGES
+    return Statistics(fit_means(df, "Age", "Fare"), ages)
+
+
+def records(flow: Flow, df: DataFrame, fitted: Statistics, cleaning: Cleaning = Cleaning()) -> DataFrame:  # noqa: B008
+    """The flow's record of ``df`` with statistics fitted before."""
+    df, means = cleaning.ages_of(df), fitted.means
     if flow.record == "plain":
-        return plain_record(df, means)
+        return plain_record(df, means, cleaning.match)
     if flow.record == "banded":
-        return banded_record(df, means)
+        return banded_record(df, means, cleaning.match, ages=fitted.ages)
     used = df.select(F.col("PassengerId").alias(ID), _label(df, 0), "Sex", "Age", "SibSp", "Parch", "Fare")
     return fill_means(used, means, "Age", "Fare")
 
@@ -198,20 +248,21 @@ def fit_flow(
     name: str,
     train: DataFrame,
     search: str = "none",
-    fitted_on: DataFrame | None = None,
+    fitted: Statistics | None = None,
     parts: int = TRAIN_PARTS,
     search_rows: int | None = None,
+    cleaning: Cleaning = Cleaning(),  # noqa: B008
     **params,
 ):
     """Fit a flow on raw training rows.
 
     ``search``: "full" and "quick" run the cross-validated grid, "none" fits the model as it is.
-    ``fitted_on`` is the table the means come from (default: the training rows). ``parts`` is the number of
+    ``fitted`` are the statistics of the records (default: those of the training rows). ``parts`` is the number of
     pieces the training rows are dealt into; fitted models depend on it and on nothing of the cluster.
     ``search_rows`` bounds the rows the search reads (default: all); the model found is fitted on all.
     """
     flow = FLOWS[name]
-    rows = records(flow, train, train if fitted_on is None else fitted_on)
+    rows = records(flow, train, fitted or fit_statistics(flow, train, cleaning), cleaning)
     if search == "none" or not flow.folds:
         # Written once: label counts, widths and the model's own passes read columnar files.
         return flow_pipeline(flow, **params).fit(training_table(rows, "train", ID, parts=parts))
@@ -237,16 +288,17 @@ def run_flow(
     score: DataFrame,
     search: str = "none",
     fit_on: str = "train",
+    cleaning: Cleaning = Cleaning(),  # noqa: B008
     **params,
 ) -> DataFrame:
     """Fit on ``train`` and return ``score`` with prediction columns.
 
-    ``fit_on="all"`` takes the means from training and scoring rows together.
+    ``fit_on="all"`` takes means and medians from training and scoring rows together. They are computed once.
     """
-    together = None
-    if fit_on == "all":
-        together = stack_by_name(train.select("Age", "Fare"), score.select("Age", "Fare"))
-    elif fit_on != "train":
+    if fit_on not in ("train", "all"):
         raise ValueError(f"fit_on must be 'train' or 'all', not {fit_on!r}")
-    model = fit_flow(name, train, search, together, **params)
-    return model.transform(records(FLOWS[name], score, train if together is None else together))
+    used = ["Age", "Fare", *(["Name"] if cleaning.age_from == "median" else [])]
+    fitted_on = train if fit_on == "train" else stack_by_name(train.select(*used), score.select(*used))
+    fitted = fit_statistics(FLOWS[name], fitted_on, cleaning)
+    model = fit_flow(name, train, search, fitted, cleaning=cleaning, **params)
+    return model.transform(records(FLOWS[name], score, fitted, cleaning))

@@ -35,7 +35,7 @@ from featureflow.operators.impute import (
 )
 from featureflow.operators.lookup import attach
 from featureflow.operators.split import below
-from featureflow.plans.passengers import banded_record, labelled_points, plain_record
+from featureflow.plans.passengers import banded_record, labelled_points, plain_record, title_medians
 from featureflow.plans.registry import query
 from featureflow.plans.standin import BASE_SQL, base, id_cutoff, table
 from featureflow.sources.files import register_view
@@ -230,14 +230,17 @@ def feature_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_record(base(spark, sf_dir), means).withColumn("age", F.round("age", 6))
 
 
-@query(
-    f"""WITH {BASE_SQL}, {MEANS_SQL}, titled AS (
-      SELECT *, {TITLE_SQL} AS title FROM base, means),
-    filled AS (SELECT *, coalesce(Age, {TITLE_AGE_SQL}) AS a, coalesce(Fare, mean_fare) AS f FROM titled)
-    SELECT PassengerId AS passenger_id, Survived AS survived, title, Pclass AS pclass, Sex AS sex,
+TITLED_SQL = f"{BASE_SQL}, {MEANS_SQL}, titled AS (SELECT *, {TITLE_SQL} AS title FROM base, means)"
+BANDED_SQL = f"""SELECT PassengerId AS passenger_id, Survived AS survived, title, Pclass AS pclass, Sex AS sex,
            {AGE_BAND_SQL.format(x="a")} AS age_band, {SIZE_BAND_SQL.format(top=3)} AS family_band,
            {FARE_BAND_SQL.format(x="f")} AS fare_band, coalesce(substr(Cabin, 1, 1), 'U') AS cabin,
            coalesce(Embarked, 'S') AS embarked FROM filled"""
+
+
+@query(
+    f"""WITH {TITLED_SQL},
+    filled AS (SELECT *, coalesce(Age, {TITLE_AGE_SQL}) AS a, coalesce(Fare, mean_fare) AS f FROM titled)
+    {BANDED_SQL}"""
 )
 def feature_record_banded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The banded record of every row."""
@@ -245,6 +248,29 @@ def feature_record_banded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return banded_record(base(spark, sf_dir), means)
 
 
+@query(
+    f"""WITH {TITLED_SQL},
+    filled AS (SELECT *, coalesce(nullif(Age, 0.0), {TITLE_AGE_SQL}) AS a, coalesce(Fare, mean_fare) AS f FROM titled)
+    {BANDED_SQL}"""
+)
+def feature_record_zero_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The banded record of every row, age 0 taken as unknown."""
+    means = fit_means(_train(spark, sf_dir, "Fare"), "Fare")
+    return banded_record(base(spark, sf_dir), means, zero_is_null=True)
+
+
+@query(
+    f"""WITH {TITLED_SQL},
+    medians AS (SELECT title, median(Age) AS m FROM titled, cut WHERE PassengerId < cutoff GROUP BY title),
+    filled AS (SELECT *, coalesce(Age, m) AS a, coalesce(Fare, mean_fare) AS f FROM titled LEFT JOIN medians USING (title))
+    {BANDED_SQL}"""
+)
+def feature_record_median_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The banded record of every row, unknown ages from the title's median in the training rows."""
+    train = _train(spark, sf_dir, "Name", "Age", "Fare")
+    return banded_record(base(spark, sf_dir), fit_means(train, "Fare"), ages=title_medians(train))
+
+
 @query(
     f"""WITH {BASE_SQL}, {MEANS_SQL}
     SELECT PassengerId AS passenger_id, Survived::DOUBLE AS label, Pclass::DOUBLE AS x0,

@@ -15,10 +15,11 @@ from featureflow.operators.evaluate import (
     roc_area_of_scores,
 )
 from featureflow.operators.impute import fit_means
+from featureflow.operators.models import categorical_pipeline, classifier
 from featureflow.operators.split import below, from_cutoff, hash_part
 from featureflow.plans.passengers import ID, LABEL, fit_points, labelled_points, run_flow
 from featureflow.plans.registry import query
-from featureflow.plans.standin import base, id_cutoff, split_base
+from featureflow.plans.standin import BASE_SQL, base, id_cutoff, split_base
 from featureflow.session import training_table, written_table
 
 
@@ -86,6 +87,54 @@ def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {BASE_SQL} SELECT PassengerId AS passenger_id, true AS probability_fits, true AS class_fits
+    FROM base, cut WHERE PassengerId >= cutoff"""
+)
+def batch_score_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scored row's probability is the logistic function of its margin, its class the margin's sign."""
+    logistic = 1 / (1 + F.exp(-F.col("margin")))
+    return batch_score(spark, sf_dir).select(
+        ID,
+        (F.abs(F.col("probability") - logistic) < 1e-9).alias("probability_fits"),
+        (F.col("prediction") == (F.col("margin") > 0).cast("double")).alias("class_fits"),
+    )
+
+
+def _fitted_on_one(spark: SparkSession, sf_dir: str, column: str, pipeline) -> DataFrame:
+    """Scoring rows under a pipeline fitted on one column of the training rows."""
+    train, score = split_base(spark, sf_dir, "PassengerId", "Survived", column)
+    rows = train.select(F.col("PassengerId").alias(ID), F.col("Survived").alias(LABEL), column)
+    return pipeline.fit(training_table(rows, "train", ID)).transform(score.withColumnRenamed("PassengerId", ID))
+
+
+GROUP_SHARE_SQL = """shares AS (SELECT {column}, avg(Survived) AS share FROM base, cut WHERE PassengerId < cutoff
+  GROUP BY {column})"""
+
+
+@query(
+    f"""WITH {BASE_SQL}, {GROUP_SHARE_SQL.format(column="Sex")}
+    SELECT PassengerId AS passenger_id, round(share, 4) AS probability
+    FROM base JOIN cut ON PassengerId >= cutoff JOIN shares USING (Sex)"""
+)
+def model_lr_group_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression on one category: its probabilities are the shares of positives per group."""
+    model = classifier("logistic", LABEL, tol=1e-10)
+    scored = _fitted_on_one(spark, sf_dir, "Sex", categorical_pipeline(model, LABEL, strings=("Sex",), keep=False))
+    return scored.select(ID, F.round(vector_to_array("probability")[1], 4).alias("probability"))
+
+
+@query(
+    f"""WITH {BASE_SQL}, {GROUP_SHARE_SQL.format(column="Pclass")}
+    SELECT PassengerId AS passenger_id, CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0 END AS prediction
+    FROM base JOIN cut ON PassengerId >= cutoff JOIN shares USING (Pclass)"""
+)
+def model_dt_group_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decision tree on one category: it predicts the majority of each group."""
+    pipeline = categorical_pipeline(classifier("tree", LABEL), LABEL, codes=("Pclass",))
+    return _fitted_on_one(spark, sf_dir, "Pclass", pipeline).select(ID, "prediction")
+
+
 def _points_scored(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     rows = base(spark, sf_dir, "PassengerId", "Survived", "Pclass", "Sex", "Age", "SibSp", "Parch", "Fare")
     rows = rows.withColumn("Fare", F.coalesce("Fare", F.lit(0.0)))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from featureflow.operators.split import hash_part
 from featureflow.operators.text import (
     hashed_features,
+    idf_of_counts,
     idf_table,
     term_counts,
     text_classifier,
@@ -18,7 +19,7 @@ from featureflow.operators.text import (
 )
 from featureflow.plans.registry import query
 from featureflow.plans.standin import table
-from featureflow.session import scratch_path, spread, training_table
+from featureflow.session import scratch_path, spread, training_table, written_table
 from featureflow.sources.files import load_model, load_pipeline, save_pipeline
 
 WORDS_SQL = r"string_split_regex(lower(regexp_replace(text, '\s+$', '')), '\s')"
@@ -53,8 +54,8 @@ def idf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight of every word in every document."""
     documents = table(spark, sf_dir, "documents")
-    counts = term_counts(documents, "doc_id")
-    weighted = tfidf(counts, idf_table(documents), "doc_id")
+    counts = written_table(term_counts(documents, "doc_id"), "counts")
+    weighted = tfidf(counts, idf_of_counts(counts, documents), "doc_id")
     return weighted.select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 

@@ -13,11 +13,15 @@ from featureflow.plans.passengers import (
     FLOWS,
     PASSENGER_SCHEMA,
     SCORING_SCHEMA,
+    Cleaning,
     banded_record,
     fit_flow,
+    fit_statistics,
     labelled_points,
     plain_record,
+    records,
     run_flow,
+    title_medians,
 )
 from featureflow.sources.files import read_csv, write_csv, write_predictions
 from featureflow.sources.profile import table_profile
@@ -76,6 +80,45 @@ def test_zero_is_null(passengers):
     assert banded_record(zeroed, means, zero_is_null=True).where("passenger_id = 18").first()["age_band"] == 3
 
 
+def test_ages_from_medians(passengers):
+    ages = sorted(r["Age"] for r in passengers.where("Name LIKE '%Dr.%' AND Age IS NOT NULL").collect())
+    middle = (ages[(len(ages) - 1) // 2] + ages[len(ages) // 2]) / 2
+    found = title_medians(passengers)
+    assert found["Officer"] == middle
+    record = banded_record(passengers, {"Fare": 1.0}, ages={**found, "Officer": 15.0})
+    assert record.where("passenger_id = 18").first()["age_band"] == 1
+    # A title group without any age has no median; its ages stay unknown.
+    assert title_medians(passengers.where("Age IS NULL")) == {}
+    assert banded_record(passengers, {"Fare": 1.0}, ages={}).where("passenger_id = 18").first()["age_band"] == 7
+
+
+def test_switches_reach_the_flow(passengers, halves):
+    zeroed = passengers.na.fill({"Age": 0.0})
+    flow, cleaning = FLOWS["logistic"], Cleaning(zero_is_null=True)
+    assert fit_statistics(flow, zeroed, cleaning) == fit_statistics(flow, passengers)
+    fitted = fit_statistics(flow, passengers)
+    assert rows(records(flow, zeroed, fitted, cleaning)) == rows(records(flow, passengers, fitted))
+    words = passengers.withColumn("Name", F.lit("Colvin, Mr. A"))
+    for match, title in (("substring", "Officer"), ("word", "Mr")):
+        assert records(flow, words, fitted, Cleaning(match)).first()["title"] == title
+    train, score = halves
+    assert run_flow("forest_union", train, score, fit_on="all", cleaning=Cleaning(age_from="median")).count() == 200
+    with pytest.raises(ValueError, match="banded"):
+        run_flow("logistic", train, score, cleaning=Cleaning(age_from="median"))
+    with pytest.raises(ValueError, match="age_from"):
+        Cleaning(age_from="mode")
+
+
+def test_means_are_held_still(spark, tmp_path):
+    """A mean fitted once stays, also when its table has other rows later."""
+    path = str(tmp_path / "ages")
+    spark.createDataFrame([(1.0,), (3.0,)], "Age double").write.parquet(path)
+    means = fit_means(spark.read.parquet(path), "Age")
+    spark.createDataFrame([(100.0,)], "Age double").write.mode("append").parquet(path)
+    assert means == {"Age": 2.0}
+    assert fit_means(spark.createDataFrame([], "Age double"), "Age") == {"Age": None}
+
+
 def test_labelled_points(passengers):
     first = labelled_points(passengers, fit_means(passengers, "Age")).where("passenger_id = 1")
     assert first.select("label", vector_to_array("features")).first() == (0.0, [2.0, 1.0, 13.5, 1.0, 1.0, 7 / 1.5])

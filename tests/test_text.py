@@ -42,6 +42,7 @@ def test_tfidf_both_ways(spark, monkeypatch):
     real_pin = lookup.pin
     monkeypatch.setattr(text, "pin", lambda frame: real_pin(frame, rows=10))
     assert rows(text.tfidf(counts, idf, "doc_id")) == small
+    assert rows(text.idf_of_counts(counts, df)) == rows(idf)
     assert len(small) == 6_000
 
 
