@@ -1,16 +1,20 @@
 """Toxicity scores from the nearest labelled texts by exact TF-IDF cosine.
 
-The index holds a bounded sample of labelled texts as vectors over the terms that tell their labels apart,
-with inverse document frequencies counted over all documents. Postings are dense blocks of examples per term
-with the largest weight of each block. A text is scored against the blocks in the order of their upper
-bounds, and search ends with the first block that cannot hold a nearer example: the nearest are exact.
+The index holds a bounded sample of labelled texts as vectors over all their terms, with inverse document
+frequencies counted over all documents. Terms that tell the labels apart count more, by the root of their G
+statistic in the examples; none counts less, and none is left out. A term that no labelled text holds is in no example and lengthens a
+text's vector only; it weighs as if one document held it. Rare terms have postings, the most frequent ones a
+dense row per example with the largest weight of each block. A text's rare terms are scored in full, its
+frequent ones only for examples whose upper bound reaches the nearest found: the nearest are exact.
 
 Their votes, weighted by similarity, are brought to probabilities on labelled texts that are not in the
-index. Texts without any of the terms have no neighbour and get the rate of toxic ones among such texts.
+index. Texts that share no term with an example have no neighbour and get the rate of toxic ones among such
+texts.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,12 +30,8 @@ from featureflow.session import Scratch
 # Bounds on what is learned from; they do not depend on the size of the corpus.
 INDEX_ROWS = 16_000
 CALIBRATION_ROWS = 8_000
-TERMS = 1_024
-LEAST_TEXTS = 5
-# G statistic of a term; 30 is passed by chance once in 20 million terms.
-LEAST_G = 30.0
-# A telling term is this many times as frequent, or as rare, in toxic texts as elsewhere; common words are not.
-LEAST_LIFT = 2.0
+# Terms with dense rows, those in the most examples; it moves work between the two layouts, never a result.
+FREQUENT = 64
 # Results of equal vectors that a worker keeps.
 MEMORY = 50_000
 NEAREST = 15
@@ -39,21 +39,6 @@ BLOCK = 64
 BINS = 10
 
 
-def _distinct(run: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, count) of every distinct word of a run of texts; rows ascend."""
-    words = words_of(run.column(run.schema.get_field_index(text)), table=ALNUM, lower=True)
-    rows, terms, counts = [], [], []
-    edges = words.bounds.tolist()
-    for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-        found, n = np.unique(words.hashes[a:b], return_counts=True)
-        rows.append(np.full(len(found), i))
-        terms.append(found)
-        counts.append(n)
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(rows), np.concatenate(terms), np.concatenate(counts)
-
-
 def labelled(docs: DataFrame, labels: DataFrame, rows: int, label: str = "toxic", key: str = "doc_id") -> DataFrame:
     """Distinct texts with a label outside the held-out fold, from at most ``rows`` ids, those with the smallest hash.
 
@@ -72,112 +57,159 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def telling_terms(sample: DataFrame, most: int = TERMS, least: int = LEAST_TEXTS) -> np.ndarray:
-    """Hashes of the terms with the largest association (G statistic) with either label, ascending."""
-
-    def count(run: pa.RecordBatch) -> pa.RecordBatch:
-        row, term, _ = _distinct(run, "text")
-        toxic = run.column(1).to_numpy()[row]
-        found, at = np.unique(term, return_inverse=True)
-        bad = np.bincount(at, weights=toxic, minlength=len(found)).astype(np.int64)
-        every = np.bincount(at, minlength=len(found)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(bad), pa.array(every)], names=["term", "bad", "n"])
-
-    counts = map_runs(sample.select("text", "__toxic"), "text", count, "term bigint, bad bigint, n bigint")
-    counts = counts.groupBy("term").agg(F.sum("bad").alias("a"), F.sum("n").alias("n")).where(F.col("n") >= least)
+def vocabulary(sample: DataFrame) -> np.ndarray:
+    """Hashes of all terms of the sample's texts, ascending; none without labels of both kinds."""
     whole = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("__toxic").alias("bad")).first()
-    total, bad = float(whole["n"] or 0), float(whole["bad"] or 0)
-    if not bad or bad == total:
+    if not whole["bad"] or whole["bad"] == whole["n"]:
         return np.zeros(0, dtype=np.uint64)
-    part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
-    a, n = F.col("a").cast("double"), F.col("n").cast("double")
-    g = part(a, n * bad / total) + part(n - a, n * (total - bad) / total)
-    g = g + part(F.lit(bad) - a, (total - n) * bad / total) + part(F.lit(total - bad) - (n - a), (total - n) * (total - bad) / total)
-    rate = (a / F.lit(bad)) / ((n - a + 0.5) / F.lit(total - bad))
-    telling = (rate >= LEAST_LIFT) | (rate <= 1 / LEAST_LIFT)
-    top = counts.withColumn("g", 2 * g).where(telling & (F.col("g") > LEAST_G)).orderBy(F.desc("g"), "term").limit(most)
-    return np.sort(np.array([r["term"] for r in top.select("term").collect()], dtype=np.int64).view(np.uint64))
+
+    def distinct(run: pa.RecordBatch) -> pa.RecordBatch:
+        found = np.unique(words_of(run.column(0), table=ALNUM, lower=True).hashes)
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["term"])
+
+    found = map_runs(sample.select("text"), "text", distinct, "term bigint").distinct().toArrow()
+    return np.sort(found["term"].to_numpy().view(np.uint64))
 
 
 def document_frequencies(docs: DataFrame, terms: np.ndarray, text: str = "text") -> tuple[np.ndarray, int]:
     """Documents that hold each term, and documents in all: one pass over the corpus."""
+    held = docs.sparkSession.sparkContext.broadcast(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, rows = np.zeros(len(terms) + 1, dtype=np.int64), 0
+        own = held.value
+        found, rows = np.zeros(len(own) + 1, dtype=np.int64), 0
         for batch in batches:
             for run in runs(batch, text):
-                at, row, _ = _known(run, text, terms)
-                found[:-1] += np.bincount(at, minlength=len(terms))
+                at, _, _ = _counted(run, text, own)
+                found[:-1] += np.bincount(at[at < len(own)], minlength=len(own))
                 rows += run.num_rows
         found[-1] = rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(found))), pa.array(found)], names=["at", "n"])
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], names=["at", "n"])
 
-    sums = docs.select(text).mapInArrow(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect()
+    sums = docs.select(text).mapInArrow(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(terms) + 1, dtype=np.int64)
-    for r in sums:
-        out[r["at"]] = r["n"]
+    out[sums["at"].to_numpy()] = sums["n"].to_numpy()
     return out[:-1], int(out[-1])
 
 
-def _known(run: pa.RecordBatch, text: str, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(term's place in ``terms``, row, count) of the known terms of every text, by row and place."""
+def _counted(run: pa.RecordBatch, text: str, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, row, count) of the distinct terms of every text, by row and place.
+
+    The place is that in ``terms``; terms outside it have places from ``len(terms)`` on, good for this run only.
+    """
     words = words_of(run.column(run.schema.get_field_index(text)), table=ALNUM, lower=True)
-    if not len(terms) or not len(words.hashes):
+    if not len(words.hashes):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(terms, words.hashes), len(terms) - 1)
-    hit = np.flatnonzero(terms[at] == words.hashes)
-    pairs, counts = np.unique(words.doc_of()[hit] * len(terms) + at[hit], return_counts=True)
-    return pairs % len(terms), pairs // len(terms), counts
+    found, which = np.unique(words.hashes, return_inverse=True)
+    place = len(terms) + np.arange(len(found))
+    if len(terms):
+        at = np.minimum(np.searchsorted(terms, found), len(terms) - 1)
+        place = np.where(terms[at] == found, at, place)
+    span = len(terms) + len(found)
+    pairs, counts = np.unique(words.doc_of() * span + place[which], return_counts=True)
+    return pairs % span, pairs // span, counts
+
+
+def _emphasis(at: np.ndarray, toxic: np.ndarray, texts: int, bad: int, terms: int) -> np.ndarray:
+    """Factor per term: the root of the G statistic between term and label, 1 at least.
+
+    ``at`` and ``toxic`` are the term and the label of each term of each example.
+    """
+    n, a = np.bincount(at, minlength=terms), np.bincount(at, weights=toxic, minlength=terms)
+    part = lambda x, e: np.where(x > 0, x * np.log(np.maximum(x, 1) / np.maximum(e, 1e-300)), 0.0)
+    rate = bad / max(1, texts)
+    g = part(a, n * rate) + part(n - a, n * (1 - rate)) + part(bad - a, (texts - n) * rate) + part(texts - bad - n + a, (texts - n) * (1 - rate))
+    return np.sqrt(np.maximum(1.0, 2 * g))
+
+
+def _weights(count: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    return (1 + np.log(count)) * idf
 
 
 @dataclass
 class Index:
-    """Block-max inverted index of the examples, and what turns votes into probabilities."""
+    """Inverted index of the examples, and what turns votes into probabilities.
+
+    Without ``dense`` every term has a row of ``weights``.
+    """
 
     terms: np.ndarray
-    idf: np.ndarray
+    idf: np.ndarray  # with the terms' emphasis
     ids: np.ndarray  # of examples, in the order of the blocks
     toxic: np.ndarray
-    weights: np.ndarray  # term x example, rows of unit-length examples
-    largest: np.ndarray  # term x block
+    weights: np.ndarray  # frequent term x example, of unit-length examples
+    largest: np.ndarray  # frequent term x block
     edges: np.ndarray  # votes -> probabilities
     rates: np.ndarray
-    nothing: float  # rate of texts without known terms
+    nothing: float  # rate of texts without neighbours
+    dense: np.ndarray | None = None  # term -> row of weights, -1 for terms with postings
+    heads: np.ndarray | None = None  # term -> first posting; one more at the end
+    posted: np.ndarray | None = None  # example of each posting
+    posted_weights: np.ndarray | None = None
+    unseen: float = 1.0  # idf of terms in no labelled text
+
+    def __post_init__(self) -> None:
+        # Lengths of the examples' frequent parts, which bound these parts' products.
+        self.lengths = np.sqrt((self.weights.astype(np.float64) ** 2).sum(axis=0))
 
     def vectors(self, run: pa.RecordBatch, text: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(row, term places, unit-length weights) of texts with known terms."""
-        at, row, count = _known(run, text, self.terms)
-        value = (1 + np.log(count)) * self.idf[at] if len(at) else count
+        """(row, places of known terms, their weights) of texts with known terms; all terms make up the unit length."""
+        at, row, count = _counted(run, text, self.terms)
+        known = at < len(self.terms)
+        value = _weights(count, np.where(known, np.append(self.idf, self.unseen)[np.minimum(at, len(self.terms))], self.unseen))
         for first, last in zip(*_runs(row), strict=True):
-            v = value[first:last]
-            norm = np.sqrt((v * v).sum())
-            if norm > 0:
-                yield int(row[first]), at[first:last], v / norm
+            v, own = value[first:last], known[first:last]
+            if own.any():
+                yield int(row[first]), at[first:last][own], v[own] / np.sqrt((v * v).sum())
+
+    def _parts(self, at: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Products of the rare terms with every example, and the rows and weights of the frequent ones."""
+        if self.dense is None:
+            return np.zeros(len(self.ids)), at, value
+        row = self.dense[at]
+        rare = row < 0
+        first, size = self.heads[at[rare]], self.heads[at[rare] + 1] - self.heads[at[rare]]
+        ends = np.cumsum(size)
+        which = np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+        products = self.posted_weights[which] * np.repeat(value[rare], size)
+        return np.bincount(self.posted[which], weights=products, minlength=len(self.ids)), row[~rare], value[~rare]
 
     def nearest(self, at: np.ndarray, value: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of largest cosine above 0 and their cosines, exactly; ties to the smaller id's place."""
-        bounds = value @ self.largest[at]
-        order = np.argsort(-bounds, kind="stable")
-        best, score, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 4
-        while done < len(order) and bounds[order[done]] > 0 and (len(best) < k or bounds[order[done]] >= score[-1] - 1e-12):
-            blocks = order[done : done + step]
-            done, step = done + step, step * 2
-            rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-            rows = rows[rows < len(self.ids)]
-            found = value @ self.weights[at[:, None], rows]
-            keep = found > 0
-            best, score = np.concatenate([best, rows[keep]]), np.concatenate([score, found[keep]])
-            top = np.lexsort((best, -np.round(score, 12)))[:k]
-            best, score = best[top], score[top]
-        return best, score
-
-    def vote(self, at: np.ndarray, value: np.ndarray) -> tuple[float, np.ndarray]:
+        part, row, v = self._parts(at, value)
+        if not len(part):
+            return np.zeros(0, np.int64), np.zeros(0)
+        block = np.repeat(v @ self.largest[row], BLOCK)[: len(part)] if len(row) else np.zeros(len(part))
+        bounds = part + np.minimum(block, np.sqrt(v @ v) * self.lengths)
+        full = np.zeros(len(self.weights), dtype=np.float32)
+        full[row] = v
+        # Products in single precision, off by less than the slack, choose which examples are scored in double.
+        slack = 1e-5
+        near = lambda rows: part[rows] + np.einsum("ij,j->i", self.weights.T[rows], full)
+        # The examples with the largest bounds first: what they score rules out most of the others.
+        first = np.argpartition(-bounds, k * 2)[: k * 2] if len(bounds) > k * 2 else np.arange(len(bounds))
+        found = near(first)
+        least = np.sort(found)[-k] if len(found) >= k else 0.0
+        rest = (bounds >= least - slack) & (bounds > 0)
+        rest[first] = False
+        rest = np.flatnonzero(rest)
+        best, found = np.concatenate([first, rest]), np.concatenate([found, near(rest)])
+        least = np.partition(found, -k)[-k] if len(found) >= k else 0.0
+        best = best[found >= least - 2 * slack]
+        score = part[best] + self.weights.T[best][:, row].astype(np.float64) @ v
+        best, score = best[score > 0], score[score > 0]
+        top = np.lexsort((best, -np.round(score, 12)))[:k]
+        return best[top], score[top]
+
+    def vote(self, at: np.ndarray, value: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The neighbours' vote, -1 without any, and their places and cosines."""
         best, score = self.nearest(at, value)
         if not len(best):
-            return -1.0, best
+            return -1.0, best, score
         weight = score * score  # nearer examples count more
         # One clean vote of weight 0.1 keeps a single distant neighbour from deciding alone.
-        return float((weight * self.toxic[best]).sum() / (weight.sum() + 0.1)), best
+        return float((weight * self.toxic[best]).sum() / (weight.sum() + 0.1)), best, score
 
     def probability(self, vote: float) -> float:
         if vote < 0:
@@ -211,51 +243,72 @@ def _isotonic(votes: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndar
 def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> Index:
     """Learn the index from labelled rows outside the held-out fold.
 
-    The driver gets the examples' weights on the chosen terms, at most ``INDEX_ROWS`` times ``TERMS`` numbers
-    of which few are not zero; never texts.
+    The driver gets the terms and counts of at most ``INDEX_ROWS + CALIBRATION_ROWS`` texts as numbers; never texts.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     sample = scratch.write(labelled(rows, labels, INDEX_ROWS + CALIBRATION_ROWS), "labelled")
-    terms = telling_terms(sample)
-    found, size = document_frequencies(rows, terms)
+    terms = vocabulary(sample)
+    found, size = document_frequencies(rows, terms) if len(terms) else (np.zeros(0, np.int64), 0)
     idf = np.log((1 + size) / (1 + found)) + 1
+    held = docs.sparkSession.sparkContext.broadcast(terms)
 
     def gather(run: pa.RecordBatch) -> pa.RecordBatch:
-        at, row, count = _known(run, "text", terms)
+        at, row, count = _counted(run, "text", held.value)
+        known = at < len(held.value)  # all of them, unless nothing is learned
+        at, row, count = at[known], row[known], count[known]
         bounds = np.searchsorted(row, np.arange(run.num_rows + 1)).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x)) for x in (at, count)]
+        lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x.astype(np.int32))) for x in (at, count)]
         return pa.RecordBatch.from_arrays([run.column(1), run.column(2), run.column(3), *lists], names=["doc_id", "toxic", "place", "at", "n"])
 
     kind = sample.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, toxic int, place bigint, at array<bigint>, n array<bigint>"
+    schema = f"doc_id {kind}, toxic int, place bigint, at array<int>, n array<int>"
     table = map_runs(sample.select("text", "doc_id", "__toxic", "__place"), "text", gather, schema).orderBy("doc_id").toArrow()
     toxic, place = table["toxic"].to_numpy(), table["place"].to_numpy()
-    at = [np.asarray(x, dtype=np.int64) for x in table["at"].to_pylist()]
-    n = [np.asarray(x, dtype=np.int64) for x in table["n"].to_pylist()]
-    indexed = [i for i in np.flatnonzero(place < INDEX_ROWS) if len(at[i])]
-    # Examples with the same strongest term stand together, so that blocks differ in their largest weights.
-    strongest = [int(at[i][np.argmax((1 + np.log(n[i])) * idf[at[i]])]) for i in indexed]
-    indexed = [indexed[j] for j in np.argsort(strongest, kind="stable")]
-    weights = np.zeros((len(terms), len(indexed)), dtype=np.float32)
-    for j, i in enumerate(indexed):
-        v = (1 + np.log(n[i])) * idf[at[i]]
-        weights[at[i], j] = v / np.sqrt((v * v).sum())
+    at, n = (table[c].combine_chunks().flatten().to_numpy() for c in ("at", "n"))
+    lengths = np.array([len(x) for x in table["at"]], dtype=np.int64)
+    ends = np.cumsum(lengths)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    example = place < INDEX_ROWS
+    own = example[owner]
+    idf = idf * _emphasis(at[own], toxic[owner[own]], int(example.sum()), int(toxic[example].sum()), len(terms))
+    value = _weights(n, idf[at])
+    value /= np.sqrt(np.bincount(owner, weights=value * value, minlength=len(lengths)))[owner]
+
+    indexed = np.flatnonzero(example & (lengths > 0))
+    spots = np.flatnonzero(own)  # what the examples hold
+    popular = np.bincount(at[spots], minlength=len(terms))
+    frequent = np.argsort(-popular, kind="stable")[:FREQUENT]
+    dense = np.full(len(terms), -1, dtype=np.int64)
+    dense[frequent] = np.arange(len(frequent))
+    # Examples with the same strongest frequent term stand together, so that blocks differ in their largest weights.
+    common = spots[dense[at[spots]] >= 0]
+    common = common[np.lexsort((value[common], owner[common]))]
+    strongest = np.full(len(lengths), -1, dtype=np.int64)
+    strongest[owner[common]] = dense[at[common]]  # the last one of an owner stays
+    indexed = indexed[np.argsort(strongest[indexed], kind="stable")]
+    rank = np.full(len(lengths), -1, dtype=np.int64)
+    rank[indexed] = np.arange(len(indexed))
     blocks = -(-len(indexed) // BLOCK)
-    padded = np.zeros((len(terms), blocks * BLOCK), dtype=np.float32)
-    padded[:, : len(indexed)] = weights
-    largest = padded.reshape(len(terms), blocks, BLOCK).max(axis=2) if blocks else np.zeros((len(terms), 0), dtype=np.float32)
-    index = Index(terms, idf, table["doc_id"].take(pa.array(indexed, type=pa.int64())).to_numpy() if indexed else np.zeros(0), toxic[indexed], weights, largest, np.zeros(0), np.zeros(0), 0.0)
+    padded = np.zeros((blocks * BLOCK, len(frequent)), dtype=np.float32)
+    padded[rank[owner[common]], dense[at[common]]] = value[common]
+    largest = np.ascontiguousarray(padded.reshape(blocks, BLOCK, len(frequent)).max(axis=1).T)
+    rare = spots[dense[at[spots]] < 0]
+    rare = rare[np.argsort(at[rare], kind="stable")]
+    heads = np.searchsorted(at[rare], np.arange(len(terms) + 1))
+    index = Index(
+        terms, idf, table["doc_id"].take(pa.array(indexed, type=pa.int64())).to_numpy() if len(indexed) else np.zeros(0), toxic[indexed], padded[: len(indexed)].T, largest,
+        np.zeros(0), np.zeros(0), 0.0, dense, heads, rank[owner[rare]].astype(np.int32), value[rare].astype(np.float32), float(np.log((1 + size) / 2) + 1),
+    )
 
     votes, truth, without = [], [], []
     for i in np.flatnonzero(place >= INDEX_ROWS):
-        if not len(at[i]):
-            without.append(toxic[i])
-            continue
-        v = (1 + np.log(n[i])) * idf[at[i]]
-        vote, best = index.vote(at[i], v / np.sqrt((v * v).sum()))
-        (votes if vote >= 0 else without).append(vote if vote >= 0 else toxic[i])
+        span = slice(ends[i] - lengths[i], ends[i])
+        vote = index.vote(at[span], value[span])[0]
         if vote >= 0:
+            votes.append(vote)
             truth.append(toxic[i])
+        else:
+            without.append(toxic[i])
     index.edges, index.rates = _isotonic(np.array(votes), np.array(truth, dtype=float))
     index.nothing = (sum(without) + 0.01) / (len(without) + 1)
     return index
@@ -263,7 +316,7 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id
 
 def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score, evidence) per row; evidence: ids and cosines of the nearest examples, nearest first."""
-    # One copy per executor; its size is bounded by INDEX_ROWS and TERMS.
+    # Its size is that of the labelled sample's distinct terms per text.
     held = docs.sparkSession.sparkContext.broadcast(index)
     known: dict[bytes, tuple[float, list[dict]]] = {}
 
@@ -274,11 +327,11 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
         scores = np.full(run.num_rows, own.probability(-1.0))
         evidence: list[list[dict]] = [[] for _ in range(run.num_rows)]
         for row, at, value in own.vectors(run, text):
-            same = at.tobytes() + value.tobytes()  # texts with the same known terms share their neighbours
+            # Texts with the same terms share their neighbours; 128 bits stand for the vector.
+            same = hashlib.blake2b(at.tobytes() + value.tobytes(), digest_size=16).digest()
             if same not in known:
-                vote, best = own.vote(at, value)
-                cosine = value @ own.weights[at[:, None], best[:3]] if len(best) else []
-                nearest = [{"doc_id": own.ids[b], "cosine": float(c)} for b, c in zip(best[:3], cosine, strict=True)]
+                vote, best, cosine = own.vote(at, value)
+                nearest = [{"doc_id": own.ids[b], "cosine": float(c)} for b, c in zip(best[:3], cosine[:3], strict=True)]
                 known[same] = own.probability(vote), nearest
             scores[row], evidence[row] = known[same]
         item = pa.struct([("doc_id", run.schema.field(0).type), ("cosine", pa.float64())])

@@ -505,6 +505,44 @@ def test_toxicity_without_labels_and_with_awkward_rows(spark, awkward, labels):
     assert toxicity.toxicity(empty(awkward), labels).count() == 0
 
 
+def test_toxicity_vectors_hold_all_terms(spark):
+    """Neighbours and cosines of a plain search over all terms, also of words in one labelled text or in none."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join([*(f"common{j}" for j in rng.integers(0, 150, 12)), f"rare{i // 2}", f"only{i}"]) for i in range(240)]
+    ship(spark)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 < 2)) for i in range(160)], "doc_id bigint, toxic int")
+    with Scratch(spark) as scratch:
+        index = toxicity.fit(docs, labels, scratch)
+        examples = sorted(index.ids.tolist())
+        found = {r.doc_id: r.evidence for r in toxicity.score(docs, index).collect()}
+    assert (index.dense < 0).any() and (index.dense >= 0).any()
+    counts = [Counter(t.split()) for t in texts]
+    df = Counter(w for c in counts for w in c)
+    known = {w for i in range(160) if zlib.crc32(str(i).encode()) % 5 for w in counts[i]}
+    toxic, n, a = [i for i in examples if i % 8 < 2], Counter(), Counter()
+    for i in examples:
+        n.update(counts[i].keys())
+    for i in toxic:
+        a.update(counts[i].keys())
+
+    def weight(w):
+        if w not in known:
+            return np.log(241 / 2) + 1
+        table = np.array([[a[w], n[w] - a[w]], [len(toxic) - a[w], len(examples) - len(toxic) - n[w] + a[w]]], dtype=float)
+        expected = table.sum(1, keepdims=True) * table.sum(0) / table.sum()
+        g = 2 * sum(x * np.log(x / e) for x, e in zip(table.flat, expected.flat, strict=True) if x)
+        return (np.log(241 / (1 + df[w])) + 1) * max(1.0, g) ** 0.5
+
+    vectors = [{w: (1 + np.log(k)) * weight(w) for w, k in c.items()} for c in counts]
+    norms = [sum(x * x for x in v.values()) ** 0.5 for v in vectors]
+    for i, v in enumerate(vectors):
+        plain = sorted((sum(x * vectors[e].get(w, 0.0) for w, x in v.items()) / norms[i] / norms[e] for e in examples), reverse=True)
+        assert [r.cosine for r in found[i]] == pytest.approx(plain[:3], abs=1e-5)
+        if i in examples:
+            assert found[i][0].doc_id == i and found[i][0].cosine == pytest.approx(1, abs=1e-5)
+
+
 # --- 8: URLs ----------------------------------------------------------------------------------------
 
 
