@@ -186,20 +186,20 @@ def cv_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cv_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random forest, better of two depths."""
-    return _scored(spark, sf_dir, "forest", "quick")
+    """Random forest, best of its grid."""
+    return _scored(spark, sf_dir, "forest", "full", search_rows=SEARCH_ROWS)
 
 
 @query()
 def cv_rf_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random forest on the banded record, better of two depths, means from all rows."""
-    return _scored(spark, sf_dir, "forest_union", "quick", fit_on="all")
+    """Random forest on the banded record, best of its grid, means from all rows."""
+    return _scored(spark, sf_dir, "forest_union", "full", fit_on="all", search_rows=SEARCH_ROWS)
 
 
 @query()
 def cv_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gradient-boosted trees, better of two depths."""
-    return _scored(spark, sf_dir, "boosted", "quick")
+    """Gradient-boosted trees, best of their grid."""
+    return _scored(spark, sf_dir, "boosted", "full", search_rows=SEARCH_ROWS)
 
 
 @query()
@@ -210,5 +210,5 @@ def cv_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cv_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Linear support vector machine, with or without intercept."""
-    return _scored(spark, sf_dir, "svm", "quick")
+    """Linear support vector machine, best of its grid."""
+    return _scored(spark, sf_dir, "svm", "full", search_rows=SEARCH_ROWS)

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from featureflow.operators.lookup import find_hot
+from featureflow.plans import passengers
 from tests.conftest import SF_DIR, SMALL_SF_DIR
 from tests.oracle import compare, duck
 
@@ -74,3 +75,24 @@ def test_large_dimension(spark, connection, monkeypatch, name):
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+SEARCHES = {"cv_dt": "tree", "cv_rf": "forest", "cv_rf_union": "forest_union", "cv_gbt": "boosted", "cv_lr": "logistic", "cv_svc": "svm"}
+
+
+@pytest.mark.parametrize("name", sorted(SEARCHES))
+def test_searches_run_the_whole_grid_and_the_whole_model(spark, monkeypatch, name):
+    """The search of a registered query gets every combination and fold, and a model with its defaults."""
+    seen = {}
+
+    def search(pipeline, grid, rows, label, key, **rest):
+        seen.update(rest, model=pipeline.getStages()[-1], grid=grid)
+        raise StopIteration
+
+    monkeypatch.setattr(passengers, "grid_search", search)
+    with pytest.raises(StopIteration):
+        QUERIES[name](spark, SMALL_SF_DIR)
+    flow = passengers.FLOWS[SEARCHES[name]]
+    assert (seen["grid"], seen["folds"]) == (flow.grid, flow.folds)
+    default = passengers.flow_pipeline(flow).getStages()[-1]
+    assert {p.name: v for p, v in seen["model"].extractParamMap().items()} == {p.name: v for p, v in default.extractParamMap().items()}
