@@ -1,6 +1,6 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-The mix is a series of slots of ``block`` words. Slot ``i`` takes the point of the golden-ratio sequence at
+The mix is a series of slots, each a block of words of one source. Slot ``i`` takes the point of the golden-ratio sequence at
 ``i``, in 32-bit integers, and the source in whose stretch of the cumulative targets the point falls. Slots
 are ranked within their source, and rank ``r`` takes block ``r`` of the source's documents, shuffled by a
 hash and laid end to end; after the last block the source starts again, at most ``repeats`` times in all.
@@ -11,6 +11,8 @@ partitions, and ranks are counted within runs of slots first.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -24,6 +26,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 # A block is a 65,536th of all words, as long as that is within these bounds.
 SLOTS = 1 << 16
 LARGEST_BLOCK = 4096
+# A source has about this many blocks at least, or one per word: small sources have smaller blocks and more slots.
+LEAST_BLOCKS = 256
 # Slots whose ranks are counted in one window.
 RUN = 1 << 16
 
@@ -94,12 +98,15 @@ def schedule(spark: SparkSession, sources: DataFrame, slots: int) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, seed: str = "", key: str = "doc_id", text: str = "text", source: str = "source"
-) -> DataFrame:
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, seed: str = "", key: str = "doc_id", text: str = "text", source: str = "source",
+    one_block: bool = False,
+) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, copies) per row of ``docs``.
 
     ``size`` is the row's words, ``taken`` how many of them the mix takes, repeats counted, and ``copies`` how
     often it takes the block in which the document begins: the whole-document form of the mix.
+    ``one_block`` gives all sources blocks of one size and counts short last blocks as whole ones, so that sources
+    of a few blocks miss their targets.
 
     Defined results: null and empty texts have size 0 and are never taken; null is a source like others; rows
     of one ``doc_id`` are rows of their own; the shuffle depends on ``seed`` and ``doc_id`` only, so that
@@ -112,20 +119,24 @@ def mix(
         table = scratch.write(targets(sizes, weights, repeats, scratch), "targets", keep=True)
     words = table.agg(F.sum("source_size")).first()[0] or 0
     block = min(LARGEST_BLOCK, max(1, words // SLOTS))
-    slots = -(-words // block)
+    own = F.lit(block) if one_block else F.least(F.lit(block), F.greatest(F.lit(1), F.expr(f"source_size div {LEAST_BLOCKS}L")))
+    table = table.withColumn("block", own.cast("bigint"))
+    blocks = F.ceil(F.col("source_size") / F.col("block"))
+    # Slots are shared by the words that a source's blocks hold on average, the short last one included.
+    shares = table.select("idx", "target") if one_block else table.where("source_size > 0").select("idx", (F.col("target") * blocks / F.col("source_size")).alias("target"))
+    slots = -(-words // block) if one_block else math.ceil((shares.agg(F.sum("target")).first()[0] or 0) - 1e-6)
 
     known = attach(sizes, table, ["source"], salt_by=["doc_id", "size"])
     order = [F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).asc(), F.col("doc_id").asc(), F.col("size").asc()]
     laid = running_totals(known.where("size > 0"), order, {"end": F.col("size")}, by=["idx"])
     laid = laid.withColumn("start", F.col("end") - F.col("size"))
 
-    blocks = F.ceil(F.col("source_size") / F.lit(block))
-    ranked = schedule(spark, table.select("idx", "target"), slots).join(table.select("idx", blocks.alias("blocks")), "idx")
+    ranked = schedule(spark, shares, slots).join(table.select("idx", blocks.alias("blocks")), "idx")
     drawn = ranked.where(F.col("rank") < repeats * F.col("blocks")).groupBy("idx", F.pmod("rank", "blocks").alias("block")).agg(F.count(F.lit(1)).alias("draws"))
 
-    first = F.expr(f"start div {block}L")
-    cut = laid.withColumn("block", F.explode(F.sequence(first, F.expr(f"(end - 1) div {block}L"))))
-    inside = F.least(F.col("end"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
+    first = F.expr("start div length")
+    cut = laid.withColumnRenamed("block", "length").withColumn("block", F.explode(F.sequence(first, F.expr("(end - 1) div length"))))
+    inside = F.least(F.col("end"), (F.col("block") + 1) * F.col("length")) - F.greatest(F.col("start"), F.col("block") * F.col("length"))
     met = cut.withColumn("words", inside).join(drawn, ["idx", "block"], "left").withColumn("draws", F.coalesce("draws", F.lit(0)))
     columns = ["doc_id", "source", "size", "source_size", "target"]
     # Within a source a start belongs to one row.

@@ -87,8 +87,8 @@ FROM laid l LEFT JOIN met m ON l.size > 0 AND m.doc_id = l.doc_id AND m.idx = l.
 
 @query(OP1_SQL)
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed: weights 5, 2, 1 in turn, no source more than three times."""
-    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """All documents mixed: weights 5, 2, 1 in turn, no source more than three times; blocks as the SQL has them."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), one_block=True).select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP2_SQL = """

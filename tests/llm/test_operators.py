@@ -149,6 +149,25 @@ def test_mixing_meets_its_targets(request, table):
     assert Counter(tuple(r) for r in again) == Counter(tuple(r) for r in found)
 
 
+def test_small_sources_of_a_large_corpus_meet_their_targets(spark, monkeypatch):
+    """Blocks of 4,096 words, a large source and sources of 100 to 10,000 words."""
+    monkeypatch.setattr(mixing, "SLOTS", 64)
+    ship(spark)
+    sizes = {"a": 300_000, "b": 400, "c": 1_000, "d": 100, "e": 4_097, "f": 10_000, "g": 2_500}
+    rows = [(f"{s}{i}", s, "w " * min(50, n - 50 * i)) for s, n in sizes.items() for i in range(-(-n // 50))]
+    df = spark.createDataFrame(rows, "doc_id string, source string, text string")
+    assert sum(sizes.values()) // mixing.SLOTS >= mixing.LARGEST_BLOCK
+    target, taken, copies = plain_targets(sizes), Counter(), Counter()
+    for r in mixing.mix(df).collect():
+        assert r.taken <= 3 * r["size"]
+        assert r.target == pytest.approx(target[r["source"]])
+        taken[r["source"]] += r.taken
+        copies[r["source"]] += r.copies * r["size"]
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= 0.02 * t + 4 * min(mixing.LARGEST_BLOCK, max(1, sizes[s] // mixing.LEAST_BLOCKS))
+        assert abs(copies[s] - t) <= 0.05 * t + 50 * 3
+
+
 def test_mixing_nothing(awkward):
     assert mixing.mix(empty(awkward)).count() == 0
     zero = mixing.mix(awkward.where("doc_id in (3, 4, 7)")).collect()
