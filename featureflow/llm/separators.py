@@ -24,6 +24,8 @@ from featureflow.session import scratch_path
 
 BLOCK_TOKENS = 1 << 21
 SEPARATOR = 49_407
+# Stands for the separator's own id inside a text; the vocabulary ends below it.
+QUOTED = 0xFFFF
 WIDTH = 2
 
 
@@ -35,7 +37,9 @@ def write_token_files(docs: DataFrame, folder: str, path: str, separator: int =
     """Write each partition's documents as one flat file in ``folder``; lazily returns (file, ordinal, doc_id).
 
     ``folder`` must be reachable by all executors. A file takes its name from the partition and its place by a
-    rename, so that an attempt after a lost executor replaces the earlier one. A null text has no tokens.
+    rename, so that an attempt after a lost executor replaces the earlier one. A null text has no tokens. The
+    separator's id inside a text is written as ``QUOTED``, so that it is counted and cuts nothing; a token whose own
+    id does not fit below ``QUOTED`` raises.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,8 +54,9 @@ def write_token_files(docs: DataFrame, folder: str, path: str, separator: int =
                 for run in runs(batch, text):
                     for t in run.column(1).to_pylist():
                         ids = np.frombuffer(coder.encode(t), dtype="<u4")
-                        # A separator inside a text would cut it in two.
-                        out.write(ids[ids != separator].astype("<u2").tobytes() + end)
+                        if len(ids) and ids.max() >= QUOTED:
+                            raise ValueError(f"token ids must be below {QUOTED}")
+                        out.write(np.where(ids == separator, QUOTED, ids).astype("<u2").tobytes() + end)
                     places = pa.array(np.arange(ordinal, ordinal + run.num_rows))
                     ordinal += run.num_rows
                     yield pa.RecordBatch.from_arrays([pa.array([name] * run.num_rows), places, run.column(0)], names=["file", "ordinal", "doc_id"])
@@ -116,7 +121,10 @@ def count_tokens(files: DataFrame, separator: int = SEPARATOR, block: int = BLOC
 
 
 def document_tokens(docs: DataFrame, path: str, separator: int = SEPARATOR, block: int = BLOCK_TOKENS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens) per row of ``docs``: written as flat files, then counted from the files alone."""
+    """(doc_id, n_tokens) per row of ``docs``: written as flat files, then counted from the files alone.
+
+    Defined result: all tokens of the text count, the separator's own id too where a text quotes it.
+    """
     spark = docs.sparkSession
     folder = scratch_path(spark, "tokens")
     listed = scratch_path(spark, "listed")

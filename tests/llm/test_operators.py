@@ -616,6 +616,17 @@ def test_counts_from_flat_files(request, table, block):
     assert Counter((r.doc_id, r.n_tokens) for r in found) == plain
 
 
+def test_a_quoted_separator_is_counted(spark):
+    ship(spark)
+    texts = ["<|endoftext|>", "one <|endoftext|> two <|endoftext|>", "plain words", None]
+    coder = PieceTokenizer(TOKENIZER)
+    ids = [np.frombuffer(coder.encode(t), dtype="<u4") for t in texts]
+    assert sum((x == separators.SEPARATOR).sum() for x in ids) == 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = separators.document_tokens(df, TOKENIZER).collect()
+    assert {r.doc_id: r.n_tokens for r in found} == {i: len(x) for i, x in enumerate(ids)}
+
+
 def test_a_file_of_any_shape(spark, tmp_path):
     ship(spark)
     end = separators.SEPARATOR
