@@ -1,6 +1,7 @@
 """URL filtering: fixed host and path rules, then association rules mined from labelled pages.
 
-A page's URL is a set of tokens: its host's labels, domain endings and path segments. FP-growth finds token sets that
+A page's URL is a set of tokens: its host's labels, domain endings, path segments other than numbers, and the query's
+keys and values. FP-growth finds token sets that
 come with the label ``block``; those with enough support and confidence that beat every smaller rule they
 contain are kept. They match by an inverted index: page tokens are joined to rule tokens, and a rule holds
 where all of its tokens were met.
@@ -43,18 +44,31 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def tokens_of(host: Column, path: Column) -> Column:
-    """Distinct tokens: labels of the host, its endings, and path segments without digits."""
+def query_of(url: Column) -> Column:
+    """What follows the first ``?`` after the host, to ``#`` or the end."""
+    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^?#]*\?([^#]*)", 1), F.lit(""))
+
+
+def tokens_of(host: Column, path: Column, query: Column) -> Column:
+    """Distinct tokens: labels of the host, its endings, path segments, and keys and ``key=value`` pairs of the query.
+
+    Segments that are numbers, with or without a file ending, are ids and no tokens. Other rare tokens are left to
+    the support that mining asks for.
+    """
     labels = F.array_remove(F.split(host, r"\."), "")
     endings = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(labels), F.lit(1))),
         lambda i: F.array_join(F.slice(labels, i, F.greatest(F.size(labels), F.lit(1))), "."),
     )
-    segments = F.filter(F.split(path, "/"), lambda s: (s != "") & ~s.rlike("[0-9]"))
+    segments = F.filter(F.split(path, "/"), lambda s: (s != "") & ~s.rlike(r"^[0-9]+(\.[A-Za-z]\w*)?$"))
+    pairs = F.filter(F.split(query, "[&;]"), lambda s: s != "")
+    keys = F.filter(F.transform(pairs, lambda s: F.substring_index(s, "=", 1)), lambda s: s != "")
     tagged = F.concat(
         F.transform(labels, lambda t: F.concat(F.lit("host:"), t)),
         F.transform(F.filter(endings, lambda t: t != ""), lambda t: F.concat(F.lit("under:"), t)),
         F.transform(segments, lambda t: F.concat(F.lit("path:"), t)),
+        F.transform(keys, lambda t: F.concat(F.lit("key:"), t)),
+        F.transform(F.filter(pairs, lambda s: s.contains("=")), lambda t: F.concat(F.lit("query:"), t)),
     )
     return F.array_distinct(tagged)
 
@@ -68,12 +82,27 @@ def fixed_rule(host: Column, path: Column, rules: tuple[tuple[str, str, str], ..
     return out
 
 
+def classes_of(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tokens that stand in the same baskets, as (first, members), and baskets with one token of each class, as (tokens, kept)."""
+    sets = labelled.select(F.sort_array("tokens").alias("tokens")).distinct()
+    each = sets.select("tokens", F.explode("tokens").alias("token"))
+    marks = [F.bit_xor(F.xxhash64("tokens", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    seen = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), *marks)
+    classes = seen.groupBy("n", "mark0", "mark1").agg(F.sort_array(F.collect_list("token")).alias("members"))
+    classes = classes.select(F.col("members")[0].alias("first"), "members")
+    firsts = classes.select(F.col("first").alias("token"))
+    return classes, each.join(firsts, "token").groupBy("tokens").agg(F.sort_array(F.collect_list("token")).alias("kept"))
+
+
 def mine(labelled: DataFrame, support: float = LEAST_SUPPORT, confidence: float = LEAST_CONFIDENCE, tokens: int = MOST_TOKENS) -> DataFrame:
     """(rule, tokens, confidence, support) from ``labelled`` (tokens, blocked).
 
-    Kept are rules of at most ``tokens`` tokens that are more confident than each rule on a part of them.
+    Kept are rules of at most ``tokens`` tokens that are more confident than each rule on a part of them. Two tokens
+    that stand in the same baskets are never in one such rule and replace each other in all: one is mined for both.
     """
-    baskets = labelled.select(F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(LABEL)))).otherwise(F.col("tokens")).alias("items"))
+    classes, kept = classes_of(labelled)
+    single = labelled.select(F.sort_array("tokens").alias("tokens"), "blocked").join(kept, "tokens")
+    baskets = single.select(F.when(F.col("blocked"), F.concat("kept", F.array(F.lit(LABEL)))).otherwise(F.col("kept")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     found = model.associationRules.where((F.size("antecedent") <= tokens) & (F.col("consequent")[0] == LABEL))
     found = found.select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
@@ -84,7 +113,11 @@ def mine(labelled: DataFrame, support: float = LEAST_SUPPORT, confidence: float
         (F.size("p_tokens") < F.size("tokens")) & (F.size(F.array_except("p_tokens", "tokens")) == 0) & (F.col("p_confidence") >= F.col("confidence"))
     )
     kept = found.join(beaten.select("tokens").distinct(), "tokens", "left_anti")
-    return kept.select(F.xxhash64("tokens").alias("rule"), "tokens", "confidence", "support")
+    lists = kept.withColumn("first", F.explode("tokens")).join(classes, "first").groupBy("tokens", "confidence", "support").agg(F.collect_list("members").alias("lists"))
+    longer = lambda done, members: F.flatten(F.transform(done, lambda d: F.transform(members, lambda m: F.concat(d, F.array(m)))))
+    every = F.aggregate("lists", F.array(F.array().cast("array<string>")), longer)
+    each = lists.select(F.explode(every).alias("tokens"), "confidence", "support").withColumn("tokens", F.sort_array("tokens"))
+    return each.select(F.xxhash64("tokens").alias("rule"), "tokens", "confidence", "support")
 
 
 def match(pages: DataFrame, rules: DataFrame, small: bool) -> DataFrame:
@@ -107,7 +140,7 @@ def page_labels(pages: DataFrame, labels: DataFrame, key: str = "page_id", rows:
     """
     url = F.col("url")
     number = F.try_to_number(F.regexp_extract(path_of(url), r"/([0-9]{1,15})[^/]*/?$", 1), F.lit("999999999999999"))
-    named = pages.select(F.col(key).alias("key"), tokens_of(host_of(url), path_of(url)).alias("tokens"), number.cast("bigint").alias("doc_id"))
+    named = pages.select(F.col(key).alias("key"), tokens_of(host_of(url), path_of(url), query_of(url)).alias("tokens"), number.cast("bigint").alias("doc_id"))
     bad = labels.groupBy("doc_id").agg(F.max(F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False))).alias("blocked"))
     joined = named.where("doc_id is not null and size(tokens) > 0").join(bad, "doc_id")
     return joined.orderBy(F.xxhash64("key"), "key").limit(rows).select("key", "tokens", "blocked")
@@ -125,10 +158,10 @@ def judge(
     """
     mined, small = pin(mine(page_labels(pages, labels, key), support, confidence))
     url = F.col("url")
-    split = pages.select(F.col(key).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    split = pages.select(F.col(key).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), query_of(url).alias("query"))
     judged = split.withColumn("fixed", fixed_rule(F.col("host"), F.col("path"), rules))
     # Pages without numbers have the same tokens as many others: each set is matched once.
-    with_tokens = judged.withColumn("tokens", F.sort_array(tokens_of(F.col("host"), F.col("path")))).withColumn("key", F.xxhash64("tokens"))
+    with_tokens = judged.withColumn("tokens", F.sort_array(tokens_of(F.col("host"), F.col("path"), F.col("query")))).withColumn("key", F.xxhash64("tokens"))
     sets = with_tokens.where("fixed is null").groupBy("key").agg(F.first("tokens").alias("tokens"))
     found = match(sets, mined, small)
     out = with_tokens.join(found, "key", "left")

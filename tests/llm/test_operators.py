@@ -593,6 +593,18 @@ def test_url_rules(spark):
     assert urls.judge(empty(df), labels).count() == 0
 
 
+def test_segments_with_digits_and_queries_are_tokens(spark):
+    """/top10/ and ?cat=adult alone tell the pages apart; numbers are ids, and named ids are too rare to matter."""
+    bad = ["http://x.io/top10/{}", "http://x.io/a/{}?s=1&cat=adult#f", "http://x.io/mp3/{}.html"]
+    good = ["http://x.io/a/{}", "http://x.io/a/{}?s=1&cat=news", "http://x.io/a/{}#?cat=adult"]
+    pages = [(6 * i + j, u.format(6 * i + j)) for i in range(40) for j, u in enumerate(bad + good)]
+    labels = spark.createDataFrame([(n, 0 if n % 6 < 3 else 1, 0) for n, _ in pages if n % 5], "doc_id bigint, quality int, toxic int")
+    found = urls.judge(spark.createDataFrame(pages, "page_id bigint, url string"), labels, support=0.02).collect()
+    assert {r.page_id: r.verdict for r in found} == {n: "block" if n % 6 < 3 else "allow" for n, _ in pages}
+    tokens = urls.tokens_of(F.lit(""), F.lit("/12/3.html/v2/4x"), F.lit("k&a=1&&=z"))
+    assert set(spark.range(1).select(tokens).first()[0]) == {"path:v2", "path:4x", "key:k", "key:a", "query:a=1", "query:=z"}
+
+
 def test_mined_rules_find_a_planted_combination(spark):
     rows = [(i, ["under:x.org", f"path:{p}"], p == "spam" and i % 10 > 0) for i in range(300) for p in ("spam", "ham")]
     rows += [(i, ["under:y.org", "path:spam"], False) for i in range(300)]
