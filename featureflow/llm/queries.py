@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import ann, licenses, minhash, mixing, packing, rules, separators, suffixes, toxicity, urls
+from featureflow.llm import ann, collocations, licenses, minhash, mixing, packing, rules, separators, suffixes, toxicity, urls
 from featureflow.llm.ship import ship
 from featureflow.plans import registry
 
@@ -197,3 +197,44 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     counts = [f"stats.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return judged.select("doc_id", *counts, "base_failed", "kept", "rule")
+
+
+OP12_SQL = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang
+), grams AS (
+    SELECT lang, w[i : i + k - 1] AS w, count(*) AS f
+    FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split), (SELECT unnest([1, 2, 3, 4]) AS k)
+    WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 30
+), candidates AS (
+    SELECT lang, w, f AS a FROM grams WHERE len(w) > 1
+), taken AS (
+    SELECT DISTINCT c.lang, c.w
+    FROM (SELECT lang, a, w, unnest([2, 3]) AS k FROM candidates) q, (SELECT unnest([1, 2, 3]) AS i) p, candidates c
+    WHERE k < len(q.w) AND i + k - 1 <= len(q.w) AND c.lang = q.lang AND c.w = q.w[i : i + k - 1] AND 100 * q.a::HUGEINT >= 80 * c.a::HUGEINT
+), cuts AS (
+    SELECT c.lang, c.w, c.a, k, l.f AS l, r.f AS r, 2000000 * c.a::HUGEINT // (l.f + r.f) AS score
+    FROM (SELECT *, unnest(range(1, len(w))) AS k FROM candidates ANTI JOIN taken USING (lang, w)) c
+    JOIN grams l ON l.lang = c.lang AND l.w = c.w[1 : k] JOIN grams r ON r.lang = c.lang AND r.w = c.w[k + 1 :]
+), best AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, w ORDER BY score, k) AS place FROM cuts
+), ranked AS (
+    SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, score,
+        row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank
+    FROM best WHERE place = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query(OP12_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of two to four words in every language."""
+    found = collocations.collocations(_table(spark, sf_dir, "documents"), most=4, least=30, percent=80)
+    return collocations.strongest(found, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
