@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import ann, collocations, licenses, minhash, mixing, packing, rules, separators, suffixes, toxicity, urls
+from featureflow.llm import ann, collocations, licenses, minhash, mixing, packing, rules, separators, sharding, suffixes, toxicity, urls
 from featureflow.llm.ship import ship
 from featureflow.plans import registry
 
@@ -238,3 +238,33 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2000 strongest phrases of two to four words in every language."""
     found = collocations.collocations(_table(spark, sf_dir, "documents"), most=4, least=30, percent=80)
     return collocations.strongest(found, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+OP13_SQL = """
+WITH bytes AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, b)) AS crc
+), rows AS (
+    SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+        xor(4294967295, list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT),
+            lambda x, y: xor(x >> 8, crc[(xor(x, y) & 255) + 1]), 4294967295::BIGINT)) AS text_crc32
+    FROM documents, bytes
+), ranked AS (
+    SELECT *, count(*) OVER (PARTITION BY source) AS n,
+        row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST, text_crc32, size) - 1 AS rank
+    FROM rows
+), placed AS (
+    SELECT *, row_number() OVER (ORDER BY (2 * rank + 1)::DOUBLE / (2 * n)::DOUBLE, source NULLS LAST, rank) - 1 AS place, count(*) OVER () AS n_rows FROM ranked
+), cut AS (
+    SELECT *, place * 40 // n_rows AS shard FROM placed
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+    (place - (shard * n_rows + 39) // 40)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM cut
+"""
+
+
+@query(OP13_SQL)
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of equal counts that hold the sources in proportion."""
+    dealt = sharding.shard(_table(spark, sf_dir, "documents"), shards=40)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
