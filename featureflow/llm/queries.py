@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import ann, collocations, licenses, minhash, mixing, packing, rules, separators, sharding, suffixes, toxicity, urls
+from featureflow.llm import alignment, ann, collocations, licenses, minhash, mixing, packing, rules, separators, sharding, suffixes, toxicity, urls
 from featureflow.llm.ship import ship
 from featureflow.plans import registry
 
@@ -199,6 +199,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "rule")
 
 
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids of two tokenizers aligned, with corpus-wide counts of the linked ids."""
+    path_a, path_b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.alignments(_table(spark, sf_dir, "documents"), path_a, path_b)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    aligned = aligned.withColumn("groups_sha256", digest).drop("groups")
+    scored = alignment.scored(aligned, alignment.Pieces(path_b).size)
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
 OP12_SQL = """
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang,

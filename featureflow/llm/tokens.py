@@ -22,7 +22,7 @@ _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
 _PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
 
 
-def _byte_alphabet() -> list[str]:
+def byte_alphabet() -> list[str]:
     """The printable character that byte-level BPE writes for each byte."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in printable]
@@ -49,7 +49,7 @@ class PieceTokenizer:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.alphabet = _byte_alphabet()
+        self.alphabet = byte_alphabet()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts = _Cache(self._part, CACHE_PARTS)
         self.pieces = _Cache(self._piece, CACHE_PIECES)
