@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.llm.graph import components
+from featureflow.llm.tables import free_names, met
 from featureflow.llm.words import Words, map_runs, mix, multipliers, words_of
 from featureflow.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS
 from featureflow.session import Scratch, input_bytes
@@ -355,8 +356,16 @@ def without_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, key:
     Rows with the same id stay or go together, but of rows with the same id and text one stays. Rows without
     an id stay.
     """
-    found = near_duplicates(docs.where(F.col(key).isNotNull()), n, percent, key, text)
-    kept = found.where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    hashed = docs.where(F.col(key).isNotNull()).withColumn("__text_hash", F.xxhash64(text))
-    one = hashed.join(kept, hashed[key] == kept["__kept_id"], "left_semi").dropDuplicates([key, "__text_hash"])
-    return one.drop("__text_hash").unionByName(docs.where(F.col(key).isNull()))
+    known = docs.where(F.col(key).isNotNull())
+    own, hashed = free_names(docs, "kept_id", "text_hash")
+    found = near_duplicates(known, n, percent, key, text)
+    kept = met(known, found.where("kept").select(F.col("doc_id").alias(own)).distinct(), [key], "left_semi")
+    # Only rows whose id occurs again are looked at for copies.
+    several = known.groupBy(F.col(key).alias(own)).agg(F.count(F.lit(1)).alias(hashed)).where(F.col(hashed) > 1).select(own)
+    with Scratch(docs.sparkSession) as scratch:
+        several = scratch.write(several, "several", keep=True)
+    if several.isEmpty():
+        return kept.unionByName(docs.where(F.col(key).isNull()))
+    single, again = met(kept, several, [key], "left_anti"), met(kept, several, [key], "left_semi")
+    one = again.withColumn(hashed, F.xxhash64(text)).dropDuplicates([key, hashed]).drop(hashed)
+    return single.unionByName(one).unionByName(docs.where(F.col(key).isNull()))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from featureflow.llm.tables import free_names, met
 from featureflow.operators.lookup import attach
 from featureflow.operators.order import running_totals
 from featureflow.session import Scratch
@@ -98,15 +99,12 @@ def schedule(spark: SparkSession, sources: DataFrame, slots: int) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, seed: str = "", key: str = "doc_id", text: str = "text", source: str = "source",
-    one_block: bool = False,
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, seed: str = "", key: str = "doc_id", text: str = "text", source: str = "source"
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, copies) per row of ``docs``.
 
     ``size`` is the row's words, ``taken`` how many of them the mix takes, repeats counted, and ``copies`` how
     often it takes the block in which the document begins: the whole-document form of the mix.
-    ``one_block`` gives all sources blocks of one size and counts short last blocks as whole ones, so that sources
-    of a few blocks miss their targets.
 
     Defined results: null and empty texts have size 0 and are never taken; null is a source like others; rows
     of one ``doc_id`` are rows of their own; the shuffle depends on ``seed`` and ``doc_id`` only, so that
@@ -119,12 +117,12 @@ def mix(
         table = scratch.write(targets(sizes, weights, repeats, scratch), "targets", keep=True)
     words = table.agg(F.sum("source_size")).first()[0] or 0
     block = min(LARGEST_BLOCK, max(1, words // SLOTS))
-    own = F.lit(block) if one_block else F.least(F.lit(block), F.greatest(F.lit(1), F.expr(f"source_size div {LEAST_BLOCKS}L")))
+    own = F.least(F.lit(block), F.greatest(F.lit(1), F.expr(f"source_size div {LEAST_BLOCKS}L")))
     table = table.withColumn("block", own.cast("bigint"))
     blocks = F.ceil(F.col("source_size") / F.col("block"))
     # Slots are shared by the words that a source's blocks hold on average, the short last one included.
-    shares = table.select("idx", "target") if one_block else table.where("source_size > 0").select("idx", (F.col("target") * blocks / F.col("source_size")).alias("target"))
-    slots = -(-words // block) if one_block else math.ceil((shares.agg(F.sum("target")).first()[0] or 0) - 1e-6)
+    shares = table.where("source_size > 0").select("idx", (F.col("target") * blocks / F.col("source_size")).alias("target"))
+    slots = math.ceil((shares.agg(F.sum("target")).first()[0] or 0) - 1e-6)
 
     known = attach(sizes, table, ["source"], salt_by=["doc_id", "size"])
     order = [F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).asc(), F.col("doc_id").asc(), F.col("size").asc()]
@@ -153,7 +151,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats
     Rows with the same ``doc_id`` and ``source`` share the largest of their copies.
     """
     counts = mix(docs, weights, repeats, "", key, text, source).where("copies > 0")
-    counts = counts.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source")).agg(F.max("copies").alias("__copies"))
-    joined = docs.join(counts, docs[key].eqNullSafe(counts["__id"]) & docs[source].eqNullSafe(counts["__source"]))
-    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
-    return repeated.select(*[repeated[c] for c in docs.columns])
+    own, home, copies, copy = free_names(docs, "mixed_id", "mixed_source", "copies", "copy")
+    counts = counts.groupBy(F.col("doc_id").alias(own), F.col("source").alias(home)).agg(F.max("copies").alias(copies))
+    joined = met(docs, counts, [key, source], "inner")
+    repeated = joined.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))))
+    return repeated.drop(copies, copy)

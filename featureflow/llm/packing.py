@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featureflow.llm.tables import free_names
 from featureflow.llm.tokens import tokenizer
 from featureflow.llm.words import map_runs
 from featureflow.session import Scratch
@@ -110,19 +111,20 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), length: str = "leng
     Rows with equal values are packed as rows of their own. ``pieces`` should be narrow: leave the ids out
     and join them, or read them again, afterwards. An empty table gives an empty result.
     """
+    row, group = free_names(pieces, "__row", "__group")
     with Scratch(pieces.sparkSession) as scratch:
-        numbered = scratch.write(pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces", keep=True)
+        numbered = scratch.write(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces", keep=True)
         groups = max(1, -(-numbered.count() // GROUP_ROWS))
-    dealt = numbered.withColumn("__group", F.pmod(F.xxhash64("__row"), F.lit(groups))).drop("__row")
+    dealt = numbered.withColumn(group, F.pmod(F.xxhash64(row), F.lit(groups))).drop(row)
 
     def fill(table: pa.Table) -> pa.Table:
         sequence, offset = best_fit(table[length].to_numpy(), capacity, rule)
-        sequence += np.int64(table["__group"][0].as_py()) * GROUP_STEP
-        kept = table.drop_columns(["__group"])
+        sequence += np.int64(table[group][0].as_py()) * GROUP_STEP
+        kept = table.drop_columns([group])
         return kept.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return dealt.groupBy("__group").applyInArrow(fill, f"{fields}, sequence_id bigint, offset bigint")
+    return dealt.groupBy(group).applyInArrow(fill, f"{fields}, sequence_id bigint, offset bigint")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.llm import alignment, ann, collocations, licenses, minhash, mixing, packing, rules, separators, sharding, suffixes, toxicity, urls
-from featureflow.llm.ship import ship
+from featureflow.llm.ship import bound_batches, ship
 from featureflow.plans import registry
 
 
@@ -52,30 +52,34 @@ WITH sizes AS (
 ), targets AS (
     SELECT source, source_size, idx, cap, least(cap::DOUBLE, weight * v) AS target FROM weighted, level
 ), whole AS (
-    SELECT sum(target) AS t, sum(source_size)::BIGINT AS words FROM targets
+    SELECT sum(source_size)::BIGINT AS words FROM targets
 ), sized AS (
-    SELECT t, words, least(4096, greatest(1, words // 65536)) AS block FROM whole
+    SELECT least(4096, greatest(1, words // 65536)) AS block FROM whole
+), parts AS (
+    SELECT source, source_size, idx, target, least(block, greatest(1, source_size // 256)) AS block FROM targets, sized
+), shares AS (
+    SELECT idx, target * ((source_size + block - 1) // block) / source_size AS share FROM parts WHERE source_size > 0
 ), line AS (
-    SELECT idx, floor(target / t * 2147483648)::BIGINT AS units FROM targets, sized
+    SELECT idx, floor(share / (SELECT sum(share) FROM shares) * 2147483648)::BIGINT AS units FROM shares
 ), placed AS (
     SELECT idx, (sum(units) OVER (ORDER BY idx) - units)::BIGINT AS lo, (sum(units) OVER (ORDER BY idx))::BIGINT AS hi FROM line
 ), points AS (
     SELECT i AS slot, ((i * 2654435769::BIGINT) % 4294967296) AS p
-    FROM (SELECT unnest(range((SELECT (words + block - 1) // block FROM sized)::BIGINT)) AS i)
+    FROM (SELECT unnest(range((SELECT ceil(sum(share) - 1e-6) FROM shares)::BIGINT)) AS i)
 ), stretched AS (
     SELECT slot, (p * (SELECT max(hi) FROM placed)) >> 32 AS y FROM points
 ), slots AS (
     SELECT slot, idx, row_number() OVER (PARTITION BY idx ORDER BY slot) - 1 AS rank FROM stretched JOIN placed ON lo <= y AND y < hi
 ), draws AS (
     SELECT s.idx, rank % ((source_size + block - 1) // block) AS block_no, count(*) AS draws
-    FROM slots s JOIN targets t ON t.idx = s.idx, sized
+    FROM slots s JOIN parts t ON t.idx = s.idx
     WHERE rank < 3 * ((source_size + block - 1) // block) GROUP BY ALL
 ), laid AS (
-    SELECT doc_id, size, t.source_size, t.target, t.idx,
+    SELECT doc_id, size, t.source_size, t.target, t.idx, t.block,
         (sum(size) OVER (PARTITION BY t.idx ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
-    FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    FROM sizes s JOIN parts t ON s.source IS NOT DISTINCT FROM t.source
 ), cut AS (
-    SELECT l.*, unnest(range(start // block, CASE WHEN size = 0 THEN start // block ELSE (start + size - 1) // block + 1 END)) AS block_no, block FROM laid l, sized
+    SELECT l.*, unnest(range(start // block, CASE WHEN size = 0 THEN start // block ELSE (start + size - 1) // block + 1 END)) AS block_no FROM laid l
 ), met AS (
     SELECT c.doc_id, c.idx, c.start, sum((least(start + size, (c.block_no + 1) * block) - greatest(start, c.block_no * block)) * coalesce(draws, 0)) AS taken
     FROM cut c LEFT JOIN draws d ON d.idx = c.idx AND d.block_no = c.block_no GROUP BY ALL
@@ -87,8 +91,8 @@ FROM laid l LEFT JOIN met m ON l.size > 0 AND m.doc_id = l.doc_id AND m.idx = l.
 
 @query(OP1_SQL)
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed: weights 5, 2, 1 in turn, no source more than three times; blocks as the SQL has them."""
-    return mixing.mix(_table(spark, sf_dir, "documents"), one_block=True).select("doc_id", "size", "source_size", "target", "taken")
+    """All documents mixed: weights 5, 2, 1 in turn, no source more than three times."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP2_SQL = """
@@ -203,6 +207,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids of two tokenizers aligned, with corpus-wide counts of the linked ids."""
+    bound_batches(spark)
     path_a, path_b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     aligned = alignment.alignments(_table(spark, sf_dir, "documents"), path_a, path_b)
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
@@ -247,6 +252,7 @@ SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN t
 @query(OP12_SQL)
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2000 strongest phrases of two to four words in every language."""
+    bound_batches(spark)
     found = collocations.collocations(_table(spark, sf_dir, "documents"), most=4, least=30, percent=80)
     return collocations.strongest(found, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 

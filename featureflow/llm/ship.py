@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+DEFAULT_BYTES = "67108864b"
 PACKAGE = Path(__file__).resolve().parents[1]
 
 
@@ -22,3 +23,17 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(PACKAGE.rglob("*.py")):
             z.write(f, f"{PACKAGE.name}/{f.relative_to(PACKAGE)}")
     context.addPyFile(path)
+
+
+# Bytes of rows that go to Python at a time; Spark's own bound is eight times as large.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of texts hold about ``BATCH_BYTES`` bytes, unless the session has a setting of its own.
+
+    Batches lie outside the JVM's heap, several times over on their way, for every task that runs.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == DEFAULT_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))

@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featureflow.llm.tables import free_names, met
 from featureflow.llm.words import Words, map_runs, rolling, window_starts, words_of
 from featureflow.session import Scratch
 
@@ -276,15 +277,15 @@ def without_repeats(docs: DataFrame, least: int = LEAST_WORDS, key: str = "doc_i
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
         spans, held = _text_spans(docs.where(F.col(key).isNotNull()), least, key, text, scratch)
-    cuts = spans.select("fp", "first_id", F.filter("spans", lambda s: s["removed"]).alias("cuts"))
-    places = cuts.where("size(cuts) > 0").select(F.col("first_id").alias("__id"), F.struct("fp", "cuts").alias("__cut"))
-    per_doc = places.groupBy("__id").agg(F.collect_list("__cut").alias("__cuts"))
+    own, cuts, gone = free_names(docs, "cut_id", "cuts", "gone")
+    removed = spans.select("fp", F.col("first_id").alias(own), F.filter("spans", lambda s: s["removed"]).alias("cuts")).where("size(cuts) > 0")
     # Documents that hold the whole text of an earlier one.
     several = spans.where("copies > 1").select("fp", "first_id")
     later = held.join(several, "fp").where("doc_id <> first_id")
-    copies = later.groupBy(F.col("doc_id").alias("__copy_id")).agg(F.collect_set("fp").alias("__gone"))
-    joined = docs.join(per_doc, docs[key] == per_doc["__id"], "left").drop("__id")
-    joined = joined.join(copies, joined[key] == copies["__copy_id"], "left").drop("__copy_id")
+    touched = removed.select(own, F.struct("fp", "cuts").alias(cuts), F.lit(None).cast("binary").alias(gone))
+    touched = touched.unionByName(later.select(F.col("doc_id").alias(own), F.lit(None).cast(touched.schema[cuts].dataType).alias(cuts), F.col("fp").alias(gone)))
+    touched = touched.groupBy(own).agg(F.collect_list(cuts).alias(cuts), F.collect_set(gone).alias(gone))
+    joined = met(docs, touched, [key], "left")
     names, at = docs.columns, {c: i for i, c in enumerate(docs.columns)}
 
     def cut(run: pa.RecordBatch) -> pa.RecordBatch:
