@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from featureflow.llm.words import LOWER, Words, mix, multipliers, runs, words_of
+from featureflow.llm.words import Words, map_runs, mix, multipliers, words_of
 from featureflow.operators.lookup import attach, local_copy
 from featureflow.session import Scratch
 
@@ -46,8 +46,6 @@ BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 WORD = ~BREAK
 WORD[[0x20, 0x09]] = False
 
-# Text that is counted at a time.
-RUN_BYTES = 4 << 20
 # Bits of the bitmap per frequent phrase, and the most and least there are in all.
 BITS_EACH = 16
 MOST_BITS = 28
@@ -153,12 +151,7 @@ def _counted(docs: DataFrame, orders: range, least: int, bitmap: np.ndarray | No
     """(lang, n, phrase, f) over all of ``docs`` (lang, text): phrases with ``least`` occurrences, and totals."""
     held = docs.sparkSession.sparkContext.broadcast(bitmap)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for run in runs(batch, "text", RUN_BYTES):
-                yield from _count(run, orders, held.value)
-
-    found = docs.mapInArrow(count, COUNTS).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
+    found = map_runs(docs, "text", lambda run: _count(run, orders, held.value), COUNTS).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
     return found.where(F.col("phrase").isNull() | (F.col("f") >= least))
 
 
