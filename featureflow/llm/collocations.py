@@ -261,6 +261,12 @@ def collocations(
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     with Scratch(docs.sparkSession) as scratch:
         grams, totals = frequent_phrases(rows, scratch, most, least)
+    return scored_phrases(grams, totals, most, percent, scale)
+
+
+def scored_phrases(grams: DataFrame, totals: DataFrame, most: int, percent: int, scale: int) -> DataFrame:
+    """``collocations`` from the frequent phrases (lang, words, f) and the languages' words (lang, n)."""
+    with Scratch(grams.sparkSession) as scratch:
         left = _stream(grams, "words", most, "lefts", scratch)
         both = _stream(left.withColumn("back", F.reverse("words")), "back", most, "rights", scratch).drop("back")
         both = scratch.write(both, "parts", keep=True)
