@@ -1,15 +1,25 @@
-"""Grid search with cross-validation over stable folds."""
+"""Grid search with cross-validation over stable folds, as a table of cells.
+
+A cell is one parameter map on one fold, with the area its model reaches there. All cells of all folds go to one pool,
+the costly ones first. Cells that cannot differ are fitted once: where two maps lead to the same fit (``fit_key``), one
+area stands for both. Finished cells can be kept in a folder, from which a search that was interrupted goes on.
+"""
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.operators.split import fold_of
@@ -18,7 +28,11 @@ from featureflow.session import TRAIN_PARTS, Scratch, training_table
 Grid = Mapping[str, Sequence]
 
 # Rows per piece of a table that ``search_rows`` bounds; many small fits gain nothing from more pieces.
-PIECE_ROWS = 2_500
+PIECE_ROWS = 5_000
+# Up to here a tree's thresholds come from all rows; beyond, from a sample whose size the bins decide.
+EXACT_SPLIT_ROWS = 10_000
+# With so few pieces sums are not added up in levels, whatever the depth.
+FLAT_PIECES = 4
 
 
 def param_maps(estimator: Estimator, grid: Grid) -> list[dict]:
@@ -29,7 +43,181 @@ def param_maps(estimator: Estimator, grid: Grid) -> list[dict]:
     return builder.build()
 
 
-def grid_search(
+@dataclass(frozen=True)
+class Facts:
+    """What decides which maps lead to the same fit: of the encoded rows of one fold."""
+
+    rows: int
+    features: int
+    values: int  # distinct values of the feature that has most
+    pieces: int
+
+
+def fold_facts(rows: DataFrame, pieces: int) -> Facts:
+    """Of rows in so many pieces. ``values`` is not counted beyond ``EXACT_SPLIT_ROWS`` rows, where it decides nothing."""
+    size = rows.count()
+    width = len(rows.first()["features"]) if size else 0
+    values = size
+    if 0 < size <= EXACT_SPLIT_ROWS:
+        each = vector_to_array("features")
+        counted = rows.select(F.posexplode(each)).groupBy("pos").agg(F.count_distinct("col").alias("n"))
+        values = counted.agg(F.max("n")).first()[0]
+    return Facts(size, width, values, pieces)
+
+
+def fit_key(model: Estimator, chosen: Mapping[str, object], facts: Facts) -> tuple:
+    """Equal for parameters with which ``model`` makes the same fit of rows with these ``facts``.
+
+    The number of levels in which sums are added up has no effect on few pieces; bins beyond a feature's distinct values
+    have none on few rows; and a strategy of drawing features counts by the number it draws.
+    """
+    out = []
+    for name, value in sorted(chosen.items()):
+        if name == "aggregationDepth" and facts.pieces <= FLAT_PIECES:
+            value = None
+        elif name == "maxBins" and facts.rows <= EXACT_SPLIT_ROWS:
+            value = min(value, facts.values)
+        elif name == "featureSubsetStrategy":
+            value = drawn_features(model, value, facts.features)
+        out.append((name, value))
+    return tuple(out)
+
+
+def drawn_features(model: Estimator, strategy: str, features: int) -> int | str:
+    """How many features a tree's node draws; other strategies than the three of the grids stand for themselves."""
+    if strategy == "auto":  # trees that grow alone, boosted ones too, see all features
+        strategy = "sqrt" if isinstance(model, RandomForestClassifier) and model.getNumTrees() > 1 else "all"
+    if strategy == "all":
+        return features
+    if strategy == "sqrt":
+        return math.ceil(math.sqrt(features))
+    if strategy == "log2" and features:
+        return max(1, math.ceil(math.log2(features)))
+    return strategy
+
+
+class Finished:
+    """Areas of finished cells in a folder that all attempts can reach: one small file per cell.
+
+    The folder belongs to one search; ``mark`` names it, and another search in the same folder raises.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, mark: str) -> None:
+        self.spark, self.path = spark, path
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        if not self._add("search.json", {"mark": mark}) and self._read()["mark"].dropna().unique().tolist() != [mark]:
+            raise ValueError(f"{path!r} holds the cells of another search")
+
+    def _add(self, name: str, row: dict) -> bool:
+        """Write the file as a whole or, where it exists, leave it."""
+        target, draft = self._path(f"{self.path}/{name}"), self._path(f"{self.path}/_{name}")
+        if self.fs.exists(target):
+            return False
+        stream = self.fs.create(draft, True)
+        stream.write(bytearray(json.dumps(row).encode()))
+        stream.close()
+        return self.fs.rename(draft, target)
+
+    def _read(self):
+        return self.spark.read.schema("mark string, key string, fold int, area double").json(self.path).toPandas()
+
+    def areas(self) -> dict[tuple[str, int], float]:
+        found = self._read().dropna(subset=["key"])
+        return {(r.key, int(r.fold)): float(r.area) for r in found.itertuples()}
+
+    def add(self, number: int, key: str, fold: int, area: float) -> None:
+        self._add(f"cell-{fold}-{number}.json", {"key": key, "fold": fold, "area": area})
+
+
+@dataclass
+class Search:
+    """A finished search: its maps as names and values, the area of every map on every fold, and the fitted model."""
+
+    maps: list[dict[str, object]]
+    areas: list[list[float]]  # by map, then by fold
+    fits: int  # cells that were fitted, not shared or found finished
+    model: CrossValidatorModel | None = None
+
+    @property
+    def means(self) -> list[float]:
+        return [sum(x) / len(x) for x in self.areas]
+
+    @property
+    def best(self) -> int:
+        """The first of the best maps."""
+        means = self.means
+        return max(range(len(means)), key=means.__getitem__)
+
+    def cells(self, spark: SparkSession) -> DataFrame:
+        """(map, params, fold, area): one row per cell, maps and folds numbered from 0."""
+        rows = [(m, {k: str(v) for k, v in self.maps[m].items()}, f, a) for m, x in enumerate(self.areas) for f, a in enumerate(x)]
+        return spark.createDataFrame(rows, "map int, params map<string,string>, fold int, area double")
+
+
+def _named(chosen: Mapping) -> dict[str, object]:
+    return {p.name: v for p, v in chosen.items()}
+
+
+def search_cells(
+    pipeline: Pipeline,
+    grid: Grid,
+    searched: DataFrame,
+    label: str,
+    folds: int,
+    metric: str,
+    pieces: int,
+    parallelism: int = 8,
+    share: bool = True,
+    finished: str | None = None,
+) -> Search:
+    """The areas of all maps of ``grid`` on all folds; ``searched``, in ``pieces``, holds each row's fold in ``__fold``.
+
+    Encoders are fitted once per fold, on its fitting rows. ``share=False`` fits every cell by itself. ``finished`` is a
+    folder of cells that earlier attempts at the same search have left.
+    """
+    *encoders, model = pipeline.getStages()
+    spark, maps = searched.sparkSession, param_maps(model, grid)
+    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="prediction", metricName=metric)
+    sides, facts = [], []
+    try:
+        for fold in range(folds):
+            fit_rows = searched.where(F.col("__fold") != fold)
+            encoder = Pipeline(stages=encoders).fit(fit_rows)
+            held_out = searched.where(F.col("__fold") == fold)
+            sides.append([encoder.transform(side).select(label, "features").persist() for side in (fit_rows, held_out)])
+            facts.append(fold_facts(sides[-1][0], pieces))
+        key_of = lambda m, fold: repr(fit_key(model, _named(maps[m]), facts[fold]) if share else (m,))
+        cells = {(key_of(m, fold), fold): m for fold in range(folds) for m in reversed(range(len(maps)))}
+        kept = None
+        areas: dict[tuple[str, int], float] = {}
+        if finished is not None:
+            rows = searched.agg(F.sum(F.xxhash64(*searched.columns).cast("decimal(20,0)"))).first()[0]
+            kept = Finished(spark, finished, repr((type(model).__name__, [_named(m) for m in maps], folds, metric, str(rows))))
+            areas = {c: a for c, a in kept.areas().items() if c in cells}
+
+        def area(cell: tuple[str, int]) -> float:
+            (fit_rows, check_rows), m = sides[cell[1]], cells[cell]
+            found = evaluator.evaluate(model.fit(fit_rows, maps[m]).transform(check_rows))
+            if kept is not None:
+                kept.add(m, *cell, found)
+            return found
+
+        # Deep trees and long iterations last longest.
+        cost = lambda cell: [v for k, v in sorted(_named(maps[cells[cell]]).items()) if k in ("maxDepth", "maxIter")]
+        todo = sorted((c for c in cells if c not in areas), key=cost, reverse=True)
+        if todo:
+            with ThreadPool(min(parallelism, len(todo))) as pool:
+                found = pool.map(inheritable_thread_target(spark)(area), todo, chunksize=1)
+            areas |= dict(zip(todo, found, strict=True))
+    finally:
+        for side in (s for pair in sides for s in pair):
+            side.unpersist()
+    by_map = [[areas[key_of(m, fold), fold] for fold in range(folds)] for m in range(len(maps))]
+    return Search([_named(m) for m in maps], by_map, len(todo))
+
+
+def run_search(
     pipeline: Pipeline,
     grid: Grid,
     train: DataFrame,
@@ -40,7 +228,9 @@ def grid_search(
     parallelism: int = 8,
     parts: int = TRAIN_PARTS,
     search_rows: int | None = None,
-) -> CrossValidatorModel:
+    refit: bool = True,
+    finished: str | None = None,
+) -> Search:
     """Best of ``grid`` for the pipeline's last stage by cross-validated area under ``metric``.
 
     The area is taken on the predicted class. No parameter of the grid touches the stages before the
@@ -48,36 +238,26 @@ def grid_search(
     Folds come from the key, pieces from the key and ``parts``: neither depends on the cluster.
 
     ``search_rows`` bounds the rows that the search reads, to those with the smallest hash of the key;
-    the best combination is fitted on all rows. ``avgMetrics`` and ``getEstimatorParamMaps()`` of the
-    result run in parallel; the first of several best combinations wins.
+    the best combination, the first of several, is fitted on all rows (unless ``refit`` is false). ``avgMetrics`` and
+    ``getEstimatorParamMaps()`` of the model run in parallel.
     """
     *encoders, model = pipeline.getStages()
-    maps = param_maps(model, grid)
-    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="prediction", metricName=metric)
-    with Scratch(train.sparkSession) as scratch, ThreadPool(min(parallelism, len(maps))) as pool:
+    with Scratch(train.sparkSession) as scratch:
         rows = training_table(train, "train", key, parts=parts, scratch=scratch)
         searched, pieces = rows, parts
         if search_rows is not None:
             searched = rows.orderBy(F.xxhash64(key), key).limit(search_rows)
-            pieces = min(parts, 1 + search_rows // PIECE_ROWS)
+            pieces = min(parts, -(-search_rows // PIECE_ROWS))
         searched = searched.withColumn("__fold", fold_of(key, folds))
         searched = training_table(searched, "grid", key, parts=pieces, scratch=scratch)
-        areas = [0.0] * len(maps)
-        for fold in range(folds):
-            fit_rows = searched.where(F.col("__fold") != fold)
-            encoder = Pipeline(stages=encoders).fit(fit_rows)
-            fit_rows, check_rows = (
-                encoder.transform(side).select(label, "features").persist()
-                for side in (fit_rows, searched.where(F.col("__fold") == fold))
-            )
-
-            def area(chosen: dict, fit_rows: DataFrame = fit_rows, check_rows: DataFrame = check_rows) -> float:
-                return evaluator.evaluate(model.fit(fit_rows, chosen).transform(check_rows))
-
-            found = pool.map(inheritable_thread_target(train.sparkSession)(area), maps)
-            areas = [a + x / folds for a, x in zip(areas, found, strict=True)]
-            fit_rows.unpersist()
-            check_rows.unpersist()
-        best = maps[max(range(len(maps)), key=areas.__getitem__)]
-        fitted = Pipeline(stages=[*encoders, model.copy(best)]).fit(rows)
-    return CrossValidatorModel(fitted, areas)._set(estimatorParamMaps=maps, numFolds=folds)
+        found = search_cells(pipeline, grid, searched, label, folds, metric, pieces, parallelism, finished=finished)
+        if refit:
+            maps = param_maps(model, grid)
+            fitted = Pipeline(stages=[*encoders, model.copy(maps[found.best])]).fit(rows)
+            found.model = CrossValidatorModel(fitted, found.means)._set(estimatorParamMaps=maps, numFolds=folds)
+    return found
+
+
+def grid_search(*args, **options) -> CrossValidatorModel:
+    """The model of ``run_search``."""
+    return run_search(*args, **options).model

@@ -32,7 +32,7 @@ from featureflow.operators.impute import (
     zero_as_null,
 )
 from featureflow.operators.models import categorical_pipeline, classifier
-from featureflow.operators.search import grid_search
+from featureflow.operators.search import Search, grid_search, run_search
 from featureflow.operators.split import stack_by_name
 from featureflow.session import TRAIN_PARTS, training_table
 
@@ -266,14 +266,38 @@ def fit_flow(
     if search == "none" or not flow.folds:
         # Written once: label counts, widths and the model's own passes read columnar files.
         return flow_pipeline(flow, **params).fit(training_table(rows, "train", ID, parts=parts))
+    pipeline, grid, folds = _searched(flow, search, params)
+    return grid_search(pipeline, grid, rows, LABEL, ID, folds=folds, metric=flow.metric, parts=parts, search_rows=search_rows)
+
+
+def _searched(flow: Flow, search: str, params: Mapping) -> tuple[Pipeline, Mapping[str, Sequence], int]:
+    """Pipeline, grid and folds of a "full" or "quick" search."""
     if search == "quick":
-        return grid_search(
-            flow_pipeline(flow, **{**flow.quick_params, **params}),
-            flow.quick_grid, rows, LABEL, ID, folds=2, metric=flow.metric, parts=parts, search_rows=search_rows,
-        )
-    return grid_search(
-        flow_pipeline(flow, **params), flow.grid, rows, LABEL, ID, folds=flow.folds, metric=flow.metric,
-        parts=parts, search_rows=search_rows,
+        return flow_pipeline(flow, **{**flow.quick_params, **params}), flow.quick_grid, 2
+    return flow_pipeline(flow, **params), flow.grid, flow.folds
+
+
+def search_flow(
+    name: str,
+    train: DataFrame,
+    search: str = "full",
+    fitted: Statistics | None = None,
+    parts: int = TRAIN_PARTS,
+    search_rows: int | None = None,
+    cleaning: Cleaning = Cleaning(),  # noqa: B008
+    finished: str | None = None,
+    **params,
+) -> Search:
+    """The areas that the flow's search reaches, per parameter map and fold, without the final fit.
+
+    ``finished`` is a folder that keeps each area as it is found; the same search goes on from there.
+    """
+    flow = FLOWS[name]
+    rows = records(flow, train, fitted or fit_statistics(flow, train, cleaning), cleaning)
+    pipeline, grid, folds = _searched(flow, search, params)
+    return run_search(
+        pipeline, grid, rows, LABEL, ID, folds=folds, metric=flow.metric, parts=parts, search_rows=search_rows,
+        refit=False, finished=finished,
     )
 
 

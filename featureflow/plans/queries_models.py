@@ -16,8 +16,9 @@ from featureflow.operators.evaluate import (
 )
 from featureflow.operators.impute import fit_means
 from featureflow.operators.models import categorical_pipeline, classifier
+from featureflow.operators.search import run_search
 from featureflow.operators.split import below, from_cutoff, hash_part
-from featureflow.plans.passengers import ID, LABEL, fit_points, labelled_points, run_flow
+from featureflow.plans.passengers import FLOWS, ID, LABEL, TREE_GRID, fit_points, labelled_points, run_flow, search_flow
 from featureflow.plans.registry import query
 from featureflow.plans.standin import BASE_SQL, base, id_cutoff, split_base
 from featureflow.session import training_table, written_table
@@ -212,3 +213,66 @@ def cv_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cv_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear support vector machine, best of its grid."""
     return _scored(spark, sf_dir, "svm", "full", search_rows=SEARCH_ROWS)
+
+
+def _areas(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """(map, params, folds, mean_area, best) of a flow's whole search; the first of the best maps is ``best``."""
+    train, _ = split_base(spark, sf_dir)
+    found = search_flow(name, train, search_rows=SEARCH_ROWS)
+    means = found.cells(spark).groupBy("map", "params").agg(F.count("area").alias("folds"), F.avg("area").alias("mean_area"))
+    params = [F.col("params")[p].alias(p) for p in FLOWS[name].grid]
+    return means.select("map", *params, "folds", "mean_area", (F.col("map") == found.best).alias("best"))
+
+
+@query()
+def cv_dt_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean area of every map of the decision tree's search."""
+    return _areas(spark, sf_dir, "tree")
+
+
+@query()
+def cv_rf_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean area of every map of the random forest's search."""
+    return _areas(spark, sf_dir, "forest")
+
+
+@query()
+def cv_gbt_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean area of every map of the boosted trees' search."""
+    return _areas(spark, sf_dir, "boosted")
+
+
+@query()
+def cv_lr_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean area of every map of the logistic regression's search."""
+    return _areas(spark, sf_dir, "logistic")
+
+
+@query()
+def cv_svc_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean area of every map of the support vector machine's search."""
+    return _areas(spark, sf_dir, "svm")
+
+
+@query(
+    f"""WITH {BASE_SQL}, folds AS (
+      SELECT Sex, coalesce(Age >= 40, false) AS old, CAST('0x' || substr(md5('fold:' || CAST(PassengerId AS VARCHAR)), 1, 7) AS BIGINT) % 3 AS fold
+      FROM base, cut WHERE PassengerId < cutoff
+    ), majorities AS (
+      SELECT f AS fold, Sex, avg(old::INTEGER) > 0.5 AS says FROM folds, (SELECT unnest([0, 1, 2]) AS f) WHERE fold <> f GROUP BY ALL
+    ), rates AS (
+      SELECT fold, avg(says::INTEGER) FILTER (old) AS hit, avg(says::INTEGER) FILTER (NOT old) AS false_alarm
+      FROM folds JOIN majorities USING (fold, Sex) GROUP BY fold
+    )
+    SELECT map, depth::VARCHAR AS "maxDepth", fold::INTEGER AS fold, round((1 + hit - false_alarm) / 2, 6) AS area
+    FROM rates, (SELECT unnest([0, 1, 2]) AS map, unnest([6, 8, 10]) AS depth)"""
+)
+def cv_dt_group_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of the tree's grid on one category, where each fold's area follows from the groups' majorities."""
+    train, _ = split_base(spark, sf_dir, "PassengerId", "Sex", "Age")
+    old = F.coalesce((F.col("Age") >= 40).cast("int"), F.lit(0))
+    rows = train.select(F.col("PassengerId").alias(ID), old.alias(LABEL), "Sex")
+    pipeline = categorical_pipeline(classifier("tree", LABEL), LABEL, strings=("Sex",), keep=False)
+    found = run_search(pipeline, TREE_GRID, rows, LABEL, ID, folds=3, metric="areaUnderROC", refit=False)
+    cells = found.cells(spark)
+    return cells.select("map", F.col("params")["maxDepth"].alias("maxDepth"), "fold", F.round("area", 6).alias("area"))
