@@ -13,6 +13,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql.types import StringType
 
 from featureflow.operators.lookup import attach_pinned, pin
@@ -72,10 +73,12 @@ def encode_strings(columns: Sequence[str]) -> Pipeline:
 def label_index(df: DataFrame, column: str) -> DataFrame:
     """Table (column, label_index): the numbers ``indexer`` gives, for any number of labels.
 
-    Counting combines map-side; the numbering runs over range partitions.
+    Counting combines map-side; the numbering of more labels than may be broadcast runs over range partitions.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    counts, small = pin(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n")))
     order = [F.col("__n").desc(), F.col(column).asc()]
+    if small:
+        return counts.select(column, (F.row_number().over(W.orderBy(*order)) - 1).cast("bigint").alias("label_index"))
     numbered = running_totals(counts, order, {"__row": F.lit(1).cast("bigint")})
     return numbered.select(column, (F.col("__row") - 1).alias("label_index"))
 

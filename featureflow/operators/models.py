@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.operators.encode import assembler, indexer, one_hot
+from featureflow.operators.indexing import TableIndexer
 
 CLASSIFIERS = {
     "tree": (DecisionTreeClassifier, {}),
@@ -40,13 +41,19 @@ def categorical_pipeline(
     numbers: Sequence[str] = (),
     keep: bool = True,
     drop_last: bool = True,
+    wide: Sequence[str] = (),
 ) -> Pipeline:
     """Index strings, one-hot encode them and integer codes, assemble with numbers, fit.
 
-    ``keep`` gives unseen categories a slot of their own instead of failing.
+    ``keep`` gives unseen categories a slot of their own instead of failing. ``wide`` names those of the strings whose
+    labels may be many: they are numbered by a table instead of on the driver, to the same vectors.
     """
     encoded = [*(f"{c}Index" for c in strings), *codes]
-    stages: list = [indexer(strings, keep=keep)] if strings else []
+    few = [c for c in strings if c not in wide]
+    stages: list = [indexer(few, keep=keep)] if few else []
+    many = [c for c in strings if c in wide]
+    if many:
+        stages.append(TableIndexer(inputCols=many, outputCols=[f"{c}Index" for c in many], handleInvalid="keep" if keep else "error"))
     if encoded:
         stages.append(one_hot(encoded, keep=keep, drop_last=drop_last))
     stages.append(assembler([*(f"{c}Encoded" for c in encoded), *numbers], label=label))

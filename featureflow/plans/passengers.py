@@ -128,6 +128,7 @@ class Flow:
     numbers: Sequence[str] = ()
     keep: bool = True
     drop_last: bool = True
+    wide: Sequence[str] = ()
     folds: int = 0
     metric: str = "areaUnderROC"
     grid: Mapping[str, Sequence] = field(default_factory=dict)
@@ -154,11 +155,11 @@ TREE_GRID = {"maxDepth": (6, 8, 10)}
 # regularisation, since aggregationDepth changes the speed and not the model.
 FLOWS = {
     "forest": Flow(
-        "forest", "plain", CATEGORIES, PLAIN_CODES, folds=5, metric="areaUnderPR",
+        "forest", "plain", CATEGORIES, PLAIN_CODES, wide=("cabin",), folds=5, metric="areaUnderPR",
         grid=FOREST_GRID, quick_grid={"maxDepth": (4, 6)},
     ),
     "logistic": Flow(
-        "logistic", "plain", CATEGORIES, PLAIN_CODES, folds=3, metric="areaUnderROC",
+        "logistic", "plain", CATEGORIES, PLAIN_CODES, wide=("cabin",), folds=3, metric="areaUnderROC",
         grid=LOGISTIC_GRID, quick_grid={"regParam": (0.0, 0.1)},
     ),
     "forest_union": Flow(
@@ -241,6 +242,7 @@ def flow_pipeline(flow: Flow, **params) -> Pipeline:
         numbers=flow.numbers,
         keep=flow.keep,
         drop_last=flow.drop_last,
+        wide=flow.wide,
     )
 
 
