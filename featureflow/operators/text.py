@@ -68,6 +68,40 @@ def hashed_features(text: str = "text", buckets: int = 1000) -> list:
     ]
 
 
+def term_buckets(terms: DataFrame, buckets: int = 1000) -> DataFrame:
+    """(term, bucket) of distinct terms, numbered by the hash of the pipeline's own stage."""
+    hashed = HashingTF(inputCol="__words", outputCol="__v", numFeatures=buckets).transform(terms.select("term", F.array("term").alias("__words")))
+    # A vector with one entry; its text names the place, whatever the number of buckets.
+    return hashed.select("term", F.regexp_extract(F.col("__v").cast("string"), r"\[(\d+)\]", 1).cast("int").alias("bucket"))
+
+
+def hashed_counts(counts: DataFrame, key: str, buckets: int = 1000) -> DataFrame:
+    """(key, bucket, tf) from written ``term_counts``: each distinct term is hashed once, and joined to its rows."""
+    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    held, small = pin(term_buckets(frequency, buckets).join(frequency, "term"))
+    hot = [] if small else known_hot(held, ["term"], "df")
+    joined = attach_pinned(counts, held.drop("df"), small, ["term"], salt_by=[key], hot=hot)
+    return joined.groupBy(key, "bucket").agg(F.sum("tf").alias("tf"))
+
+
+def hashed_tfidf(hashed: DataFrame, documents: DataFrame, key: str) -> DataFrame:
+    """(key, bucket, tf, weight) from written ``hashed_counts``: tf * ln((N + 1) / (df + 1)), df the documents of a bucket.
+
+    There are as many frequencies as buckets at most, so they are broadcast.
+    """
+    total = documents.agg(F.count(F.lit(1))).scalar()
+    frequency = hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    weighted = hashed.join(F.broadcast(frequency), "bucket")
+    return weighted.select(key, "bucket", "tf", (F.col("tf") * F.log((total + 1) / (F.col("df") + 1))).alias("weight"))
+
+
+def sparse_vectors(weighted: DataFrame, key: str, value: str = "weight") -> DataFrame:
+    """(key, indices, values): each key's buckets in order; no more entries than there are buckets."""
+    entries = F.sort_array(F.collect_list(F.struct("bucket", F.col(value).alias("value"))))
+    gathered = weighted.groupBy(key).agg(entries.alias("e"))
+    return gathered.select(key, F.col("e.bucket").alias("indices"), F.col("e.value").alias("values"))
+
+
 def text_classifier(label: str = "label", text: str = "text", buckets: int = 1000) -> Pipeline:
     """Hashed TF-IDF and a logistic regression (10 iterations, regularisation 0.001)."""
     model = LogisticRegression(labelCol=label, maxIter=10, regParam=0.001)

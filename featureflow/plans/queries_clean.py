@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.functions.derive import (
+    TITLE_RULES,
     age_band,
     code_initial,
     fare_band,
@@ -15,6 +16,7 @@ from featureflow.functions.derive import (
     size_band,
     title_of,
 )
+from featureflow.functions.sql import register as register_sql
 from featureflow.operators.aggregate import (
     approx_median,
     exact_median,
@@ -34,10 +36,12 @@ from featureflow.operators.impute import (
     lookup_value,
 )
 from featureflow.operators.lookup import attach
+from featureflow.operators.sketches import merged, quantile, rank_bound, store_part, stored
 from featureflow.operators.split import below
 from featureflow.plans.passengers import banded_record, labelled_points, plain_record, title_medians
 from featureflow.plans.registry import query
 from featureflow.plans.standin import BASE_SQL, base, id_cutoff, table
+from featureflow.session import scratch_path
 from featureflow.sources.files import register_view
 
 
@@ -364,3 +368,67 @@ def udaf_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         f"SELECT l_returnflag, {name}(l_quantity, n) AS median_quantity FROM {view} GROUP BY l_returnflag"
     )
+
+
+@query(
+    """SELECT l_returnflag, count(*) AS rows_n, count(DISTINCT l_linenumber) AS parts, true AS within_bound, true AS same_size
+       FROM lineitem GROUP BY l_returnflag"""
+)
+def agg_merged_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of sketches that were stored part by part and merged later, against the exact ranks."""
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linenumber", "l_extendedprice")
+    path = scratch_path(spark, "sketches")
+    numbers = [r[0] for r in rows.select("l_linenumber").distinct().orderBy("l_linenumber").collect()]  # seven at most
+    for number in numbers:
+        store_part(rows.where(F.col("l_linenumber") == number), path, str(number), "l_extendedprice", ["l_returnflag"])
+    parts = stored(spark, path)
+    counts = parts.groupBy("l_returnflag").agg(F.count("part").alias("parts"))
+    medians = merged(parts, ["l_returnflag"]).select("l_returnflag", quantile().alias("sketched"), "n").join(counts, "l_returnflag")
+    compared = attach(rows, medians, ["l_returnflag"])
+    ranks = compared.groupBy("l_returnflag", "parts").agg(
+        F.count(F.lit(1)).alias("rows_n"),
+        F.count_if(F.col("l_extendedprice") < F.col("sketched")).alias("below"),
+        F.count_if(F.col("l_extendedprice") <= F.col("sketched")).alias("up_to"),
+        F.max("n").alias("n"),
+    )
+    slack = F.col("rows_n") * rank_bound() + 1
+    within = (F.col("below") <= F.col("rows_n") / 2 + slack) & (F.col("up_to") >= F.col("rows_n") / 2 - slack)
+    return ranks.select("l_returnflag", "rows_n", "parts", within.alias("within_bound"), (F.col("n") == F.col("rows_n")).alias("same_size"))
+
+
+@query(f"WITH {BASE_SQL} SELECT PassengerId, {TITLE_SQL} AS title, {AGE_BAND_SQL.format(x='Age')} AS age_band FROM base")
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title group and age band by name in SQL."""
+    register_sql(spark)
+    view = register_view(base(spark, sf_dir, "PassengerId", "Name", "Age"), "ff_passengers")
+    return spark.sql(f"SELECT PassengerId, title_group(Name) AS title, age_band(Age) AS age_band FROM {view}")
+
+
+@query("SELECT l_returnflag, median(l_quantity) AS median_quantity FROM lineitem GROUP BY l_returnflag")
+def sql_function_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The median by name in SQL, without Python: over the tallied values near the middle."""
+    register_sql(spark)
+    view = register_view(middle_tally(table(spark, sf_dir, "lineitem"), "l_quantity", ["l_returnflag"]), "ff_tallied")
+    return spark.sql(
+        f"""SELECT l_returnflag, middle(collect_list(named_struct('value', CAST(l_quantity AS DOUBLE), 'count', n))) AS median_quantity
+        FROM {view} GROUP BY l_returnflag"""
+    )
+
+
+def _hits_sql() -> str:
+    keywords = [(i, t, k) for i, (t, words) in enumerate(TITLE_RULES) for k in words]
+    values = ", ".join(f"({i}, '{t}', '{k}')" for i, t, k in keywords)
+    return f"""WITH {BASE_SQL}, rules(place, title, keyword) AS (VALUES {values})
+    SELECT place, title, keyword, count(*) AS hits FROM rules JOIN base ON contains(Name, keyword) GROUP BY ALL"""
+
+
+@query(_hits_sql())
+def sql_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules by name in SQL, as a table function: how many names hold each keyword."""
+    register_sql(spark)
+    view = register_view(base(spark, sf_dir, "PassengerId", "Name"), "ff_names")
+    # One row per keyword, a fixed list, goes to every part of the rows.
+    return spark.sql(
+        f"""SELECT /*+ BROADCAST(rules) */ place, title, keyword, count(*) AS hits
+        FROM {view} JOIN title_keywords() AS rules ON contains(Name, keyword) GROUP BY place, title, keyword"""
+    )

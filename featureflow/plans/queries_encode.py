@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,13 @@ from featureflow.operators.encode import (
     string_columns,
     vector_slots,
 )
+from featureflow.operators.indexing import TableIndexer
 from featureflow.operators.lookup import join_table
 from featureflow.plans.positions import cluster_positions
 from featureflow.plans.registry import query
 from featureflow.plans.standin import BASE_SQL, base, customers, table
+from featureflow.session import scratch_path
+from featureflow.sources.files import load_model, save_pipeline
 
 # Label numbers by falling frequency, ties by label; null is one number more.
 EMBARKED_INDEX_SQL = """idx AS (SELECT Embarked AS label,
@@ -28,6 +32,13 @@ EMBARKED_INDEX_SQL = """idx AS (SELECT Embarked AS label,
   coded AS (SELECT base.*, coalesce(i, (SELECT count(*) FROM idx)) AS i FROM base LEFT JOIN idx ON Embarked = label)"""
 
 
+NAME_INDEX_SQL = """WITH idx AS (SELECT c_name AS label, row_number() OVER (ORDER BY count(*) DESC, c_name) - 1 AS i
+         FROM orders JOIN customer ON o_custkey = c_custkey
+         WHERE o_orderstatus = 'F' GROUP BY c_name)
+       SELECT o_orderkey, coalesce(i, (SELECT count(*) FROM idx)) AS name_index
+       FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN idx ON c_name = label"""
+
+
 def _slots_sql(index: str, width: int, prefix: str = "e") -> str:
     return ", ".join(
         f"CASE WHEN {index} = {s} THEN 1.0::DOUBLE ELSE 0.0 END AS {prefix}{s}" for s in range(width)
@@ -65,13 +76,17 @@ def string_index_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(rows).select("o_orderkey", "o_orderpriorityIndex")
 
 
-@query(
-    """WITH idx AS (SELECT c_name AS label, row_number() OVER (ORDER BY count(*) DESC, c_name) - 1 AS i
-         FROM orders JOIN customer ON o_custkey = c_custkey
-         WHERE o_orderstatus = 'F' GROUP BY c_name)
-       SELECT o_orderkey, coalesce(i, (SELECT count(*) FROM idx)) AS name_index
-       FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN idx ON c_name = label"""
-)
+@query(NAME_INDEX_SQL)
+def string_index_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a pipeline stage whose labels are a table, fitted, saved and loaded again."""
+    named = join_table(table(spark, sf_dir, "orders"), customers(spark, sf_dir), ["o_custkey"], salt_by=["o_orderkey"])
+    indexer_ = TableIndexer(inputCols=["c_name"], outputCols=["name_index"], handleInvalid="keep")
+    path = scratch_path(spark, "indexer")
+    save_pipeline(Pipeline(stages=[indexer_]).fit(named.where("o_orderstatus = 'F'")), path)
+    return load_model(path).transform(named).select("o_orderkey", F.col("name_index").cast("bigint").alias("name_index"))
+
+
+@query(NAME_INDEX_SQL)
 def string_index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same numbering for any number of labels: names of customers with filled orders."""
     orders = table(spark, sf_dir, "orders")

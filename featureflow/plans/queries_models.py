@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featureflow.operators.compiled import compile_pipeline
 from featureflow.operators.evaluate import (
     pr_area_of_classes,
     pr_area_of_scores,
@@ -18,7 +19,7 @@ from featureflow.operators.impute import fit_means
 from featureflow.operators.models import categorical_pipeline, classifier
 from featureflow.operators.search import run_search
 from featureflow.operators.split import below, from_cutoff, hash_part
-from featureflow.plans.passengers import FLOWS, ID, LABEL, TREE_GRID, fit_points, labelled_points, run_flow, search_flow
+from featureflow.plans.passengers import FLOWS, ID, LABEL, TREE_GRID, fit_flow, fit_points, fit_statistics, labelled_points, records, run_flow, search_flow
 from featureflow.plans.registry import query
 from featureflow.plans.standin import BASE_SQL, base, id_cutoff, split_base
 from featureflow.session import training_table, written_table
@@ -179,6 +180,41 @@ def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+COMPILED_SQL = f"""WITH {BASE_SQL} SELECT PassengerId AS passenger_id, true AS same_class, true AS same_probability
+    FROM base, cut WHERE PassengerId >= cutoff"""
+
+
+def _compiled(spark: SparkSession, sf_dir: str, flow: str) -> DataFrame:
+    """Whether the compiled model gives each scored row the class and the probability of the model itself."""
+    train, score = split_base(spark, sf_dir)
+    fitted = fit_statistics(FLOWS[flow], train)
+    model = fit_flow(flow, train, fitted=fitted)
+    # Both score one written table, so that they see the same rows.
+    rows = written_table(records(FLOWS[flow], score, fitted), "records")
+    own = model.transform(rows).select(ID, F.col("prediction").alias("class"), vector_to_array("probability").alias("p"))
+    both = compile_pipeline(spark, model).score(rows).select(ID, "prediction", "probability").join(own, ID)
+    near = F.forall(F.zip_with("p", "probability", lambda a, b: F.abs(a - b) < 1e-12), lambda x: x)
+    return both.select(ID, (F.col("prediction") == F.col("class")).alias("same_class"), near.alias("same_probability"))
+
+
+@query(COMPILED_SQL)
+def compiled_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fitted tree as one expression scores like the model."""
+    return _compiled(spark, sf_dir, "tree")
+
+
+@query(COMPILED_SQL)
+def compiled_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fitted forest as expressions scores like the model."""
+    return _compiled(spark, sf_dir, "forest")
+
+
+@query(COMPILED_SQL)
+def compiled_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted boosted trees as expressions score like the model."""
+    return _compiled(spark, sf_dir, "boosted")
+
+
 @query()
 def cv_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision tree, best of its grid."""

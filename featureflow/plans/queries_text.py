@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from featureflow.operators.split import hash_part
 from featureflow.operators.text import (
+    hashed_counts,
     hashed_features,
+    hashed_tfidf,
     idf_of_counts,
     idf_table,
     term_counts,
@@ -85,6 +87,23 @@ def model_text_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "label", "prediction", vector_to_array("probability")[1].alias("probability"))
 
 
+@query("SELECT doc_id, true AS same_counts, true AS same_weights FROM documents")
+def hashed_tf_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashed counts and weights by joins and sums equal the pipeline's vectors, bucket by bucket in every document."""
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    counts = written_table(term_counts(documents, "doc_id"), "counts")
+    hashed = written_table(hashed_counts(counts, "doc_id"), "hashed")
+    weighted = hashed_tfidf(hashed, documents, "doc_id").select("doc_id", F.col("bucket").alias("pos"), "tf", "weight")
+    fitted = Pipeline(stages=hashed_features()).fit(documents).transform(documents)
+    dense = fitted.select("doc_id", vector_to_array("rawFeatures").alias("a"), vector_to_array("features").alias("w"))
+    entries = dense.select("doc_id", F.posexplode(F.arrays_zip("a", "w")).alias("pos", "e")).where("e.a > 0")
+    both = entries.select("doc_id", "pos", "e.a", "e.w").join(weighted, ["doc_id", "pos"], "full_outer")
+    near = F.coalesce(F.abs(F.col("w") - F.col("weight")) < 1e-9, F.lit(False))
+    return both.groupBy("doc_id").agg(
+        F.bool_and(F.col("a").eqNullSafe(F.col("tf").cast("double"))).alias("same_counts"), F.bool_and(near).alias("same_weights")
+    )
+
+
 @query()
 def pipeline_params_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An unfitted pipeline saved, loaded, fitted and applied to the labelled documents."""
