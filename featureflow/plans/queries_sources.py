@@ -24,6 +24,7 @@ from featureflow.plans.standin import BASE_SQL, SCHEMAS, base, id_cutoff, split_
 from featureflow.session import scratch_path
 from featureflow.sources.files import (
     read_csv,
+    read_csv_set_aside,
     read_libsvm,
     register_view,
     write_csv,
@@ -46,16 +47,14 @@ def scored_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {BASE_SQL}
-    SELECT PassengerId, Survived, Pclass, Name, Age, SibSp, Fare, Cabin FROM base"""
+    SELECT PassengerId, Survived, Pclass, Name, Sex, Age, SibSp, Parch, Ticket, Fare, Cabin, Embarked FROM base"""
 )
 def scan_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written as CSV with header, read back with inferred types; names hold commas and quotes."""
     path = scratch_path(spark, "scan_csv_infer")
     write_csv(base(spark, sf_dir), path, header=True)
     rows = read_csv(spark, path)
-    return rows.select(
-        F.col("PassengerId").cast("bigint"), "Survived", "Pclass", "Name", "Age", "SibSp", "Fare", "Cabin"
-    )
+    return rows.withColumn("PassengerId", F.col("PassengerId").cast("bigint"))
 
 
 @query(
@@ -75,6 +74,34 @@ def scan_csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema=POSITION_SCHEMA, header=False)
 
 
+def _dirty(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as CSV lines, every 50th with a planted fault, read with the faults set aside."""
+    rows, path = table(spark, sf_dir, "orders"), scratch_path(spark, "dirty")
+    key = F.col("o_orderkey")
+    price = F.when(key % 200 == 50, F.lit("12,5 EUR")).otherwise(F.col("o_totalprice").cast("decimal(20,2)").cast("string"))
+    cells = [F.when(key % 200 == 0, F.concat(F.lit("N"), key)).otherwise(key.cast("string")), F.col("o_orderstatus"), price]
+    # A cell with a comma of its own makes a line too long; a missing one makes it too short.
+    line = F.when(key % 200 == 150, cells[0]).otherwise(F.concat_ws(",", *cells))
+    rows.select(line.alias("value")).write.text(path)
+    return read_csv_set_aside(spark, path, "o_orderkey bigint, o_orderstatus string, o_totalprice double", header=False)
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 200 NOT IN (0, 50, 150)")
+def scan_csv_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of CSV files with planted faults that go on: those without one."""
+    return _dirty(spark, sf_dir)[0]
+
+
+@query(
+    """SELECT CASE o_orderkey % 200 WHEN 0 THEN 'N' || o_orderkey || ',' || o_orderstatus || ',' || CAST(o_totalprice AS DECIMAL(20, 2))
+         WHEN 50 THEN o_orderkey || ',' || o_orderstatus || ',12,5 EUR' ELSE CAST(o_orderkey AS VARCHAR) END AS line, true AS has_file
+       FROM orders WHERE o_orderkey % 200 IN (0, 50, 150)"""
+)
+def scan_csv_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty lines as they stand, each with its file."""
+    return _dirty(spark, sf_dir)[1].select("line", F.col("file").contains("/dirty-").alias("has_file"))
+
+
 @query(
     f"""WITH {BASE_SQL}
     SELECT PassengerId, CASE WHEN {MARGIN_SQL} > 0 THEN 1.0::DOUBLE ELSE 0.0 END AS prediction FROM base"""

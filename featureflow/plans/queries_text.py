@@ -22,7 +22,7 @@ from featureflow.operators.text import (
 from featureflow.plans.registry import query
 from featureflow.plans.standin import table
 from featureflow.session import scratch_path, spread, training_table, written_table
-from featureflow.sources.files import load_model, load_pipeline, save_pipeline
+from featureflow.sources.files import load_model, load_pipeline, save_pipeline, stage_parameters
 
 WORDS_SQL = r"string_split_regex(lower(regexp_replace(text, '\s+$', '')), '\s')"
 COUNTS_SQL = f"""words AS (SELECT doc_id, unnest({WORDS_SQL}) AS term FROM documents),
@@ -113,6 +113,30 @@ def pipeline_params_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_pipeline(path).fit(rows).transform(rows).select("doc_id", "label", "prediction")
 
 
+PARAMETERS = (
+    (0, "Tokenizer", "inputCol", "text"), (0, "Tokenizer", "outputCol", "words"),
+    (1, "HashingTF", "inputCol", "words"), (1, "HashingTF", "outputCol", "rawFeatures"), (1, "HashingTF", "numFeatures", "1000"),
+    (2, "IDF", "inputCol", "rawFeatures"), (2, "IDF", "outputCol", "features"), (2, "IDF", "minDocFreq", "0"),
+    (3, "LogisticRegression", "labelCol", "label"), (3, "LogisticRegression", "maxIter", "10"), (3, "LogisticRegression", "regParam", "0.001"),
+)
+
+
+@query(f"SELECT stage, class, parameter, value, true AS kept, true AS in_model FROM (VALUES {', '.join(map(str, PARAMETERS))}) AS t(stage, class, parameter, value)")
+def pipeline_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is set in the saved pipeline, stage by stage, and whether saving the loaded one and the fitted one keeps it."""
+    first, again, fitted = (scratch_path(spark, "pipeline") for _ in range(3))
+    save_pipeline(text_classifier(), first)
+    loaded = load_pipeline(first)
+    save_pipeline(loaded, again)
+    save_pipeline(loaded.fit(training_table(labelled_documents(spark, sf_dir), "texts", "doc_id")), fitted)
+    columns = ["stage", "parameter", "value", "is_default"]
+    rows, kept, model = (stage_parameters(spark, p) for p in (first, again, fitted))
+    both = rows.join(kept.select(*columns, "uid", F.lit(True).alias("kept")), [*columns, "uid"], "left")
+    both = both.join(model.select(*columns, F.lit(True).alias("in_model")), columns, "left")
+    flags = [F.coalesce(c, F.lit(False)).alias(c) for c in ("kept", "in_model")]
+    return both.where("not is_default").select("stage", F.substring_index("class", ".", -1).alias("class"), "parameter", "value", *flags)
+
+
 @query("SELECT doc_id, true AS same_score FROM documents JOIN labels USING (doc_id)")
 def model_roundtrip_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fitted model saved and loaded gives the same probability for every labelled document."""

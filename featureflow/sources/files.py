@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from featureflow.session import written_table
 
 
 def read_csv(
@@ -29,6 +32,27 @@ def read_csv(
     return reader.csv(path)
 
 
+def read_csv_set_aside(
+    spark: SparkSession, path: str, schema: str | StructType, header: bool = True, escape: str = '"', **options
+) -> tuple[DataFrame, DataFrame]:
+    """(good rows, set-aside lines) of CSV files that may hold bad cells.
+
+    A row goes on if it has the schema's number of cells and every cell is of its column's type. The others are set
+    aside as (file, line), the line as it stands in the file, and none is lost or half read. The files are parsed once:
+    both frames read what that pass has written, and what the caller keeps or counts of either has no say in it.
+    """
+    bad, kind = "_set_aside", schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    if bad in kind.names:
+        raise ValueError(f"{bad!r} is taken")
+    checks = {"enforceSchema": False} if header else {}
+    marked = StructType([*(StructField(f.name, f.dataType, True) for f in kind.fields), StructField(bad, StringType(), True)])
+    reader = spark.read.options(**{"header": header, "escape": escape, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad, **checks, **options})
+    # All columns are parsed, so that a bad cell shows whichever column it is in.
+    rows = reader.option("columnPruning", False).schema(marked).csv(path)
+    parsed = written_table(rows.select("*", F.col("_metadata.file_path").alias("_file")), "parsed")
+    return parsed.where(F.col(bad).isNull()).select(*kind.names), parsed.where(F.col(bad).isNotNull()).select(F.col("_file").alias("file"), F.col(bad).alias("line"))
+
+
 def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "error", **options) -> None:
     """A directory of CSV files; fails if it exists unless ``mode`` says otherwise."""
     df.write.mode(mode).options(header=header, escape='"', **options).csv(path)
@@ -64,6 +88,21 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def stage_parameters(spark: SparkSession, path: str) -> DataFrame:
+    """(stage, class, uid, parameter, value, is_default): one row per parameter of the stages of a saved pipeline.
+
+    Read from the metadata files alone, so it shows what is stored, whatever version would load it. Values are JSON
+    text; a parameter that is set has no row for its default.
+    """
+    kind = "class string, uid string, paramMap map<string,string>, defaultParamMap map<string,string>"
+    lines = spark.read.text(f"{path}/stages/*/metadata").select(F.col("_metadata.file_path").alias("file"), F.from_json("value", kind).alias("m"))
+    stages = lines.select(F.regexp_extract("file", r"/stages/0*(\d+)_[^/]*/metadata/", 1).cast("int").alias("stage"), "m.*")
+    of_kind = lambda name, default: stages.select("stage", "class", "uid", "paramMap", F.explode(name).alias("parameter", "value"), F.lit(default).alias("is_default"))
+    both = of_kind("paramMap", False).unionByName(of_kind("defaultParamMap", True))
+    shown = both.where(~F.col("is_default") | ~F.coalesce(F.map_contains_key("paramMap", F.col("parameter")), F.lit(False)))
+    return shown.drop("paramMap")
+
+
 def register_view(df: DataFrame, name: str) -> str:
     """Make ``df`` available to ``spark.sql`` under ``name``."""
     df.createOrReplaceTempView(name)
