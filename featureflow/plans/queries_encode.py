@@ -20,6 +20,7 @@ from featureflow.operators.encode import (
 )
 from featureflow.operators.indexing import TableIndexer
 from featureflow.operators.lookup import join_table
+from featureflow.operators.seeding import inertia, spread_centres
 from featureflow.plans.positions import cluster_positions
 from featureflow.plans.registry import query
 from featureflow.plans.standin import BASE_SQL, base, customers, table
@@ -235,3 +236,23 @@ def kmeans_mllib(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *CLUSTER_COLUMNS)
     _, assigned = cluster_positions(rows, CLUSTER_COLUMNS, key="l_orderkey")
     return assigned.select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("SELECT l_orderkey, l_linenumber, true AS is_nearest FROM lineitem")
+def kmeans_seeded_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's centre, from an oversampled start and four steps, against its distances from all three centres."""
+    rows = table(spark, sf_dir, "lineitem").withColumn("line", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    centres = lloyd(rows, CLUSTER_COLUMNS, spread_centres(rows, CLUSTER_COLUMNS, "line", 3), 4)
+    assigned = assign(rows, CLUSTER_COLUMNS, centres)
+    apart = [sum((F.col(c) - F.lit(x)) ** 2 for c, x in zip(CLUSTER_COLUMNS, centre, strict=True)) for centre in centres]
+    own = F.get(F.array(*apart), F.col("cluster"))
+    return assigned.select("l_orderkey", "l_linenumber", (own <= F.least(*apart) * (1 + 1e-12)).alias("is_nearest"))
+
+
+@query("SELECT count(*) AS rows_n, true AS no_worse FROM lineitem")
+def kmeans_seeded_inertia(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two oversampled starting centres leave no larger inertia than the extreme values do."""
+    rows = table(spark, sf_dir, "lineitem").withColumn("line", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    starts = (spread_centres(rows, CLUSTER_COLUMNS, "line", 2), extreme_centres(rows, CLUSTER_COLUMNS))
+    seeded, extreme = (inertia(rows, CLUSTER_COLUMNS, s) for s in starts)
+    return rows.agg(F.count(F.lit(1)).alias("rows_n")).withColumn("no_worse", F.lit(bool(seeded <= extreme)))
