@@ -1,15 +1,16 @@
-"""Toxicity scores from the nearest labelled texts by exact TF-IDF cosine.
-
-The index holds a bounded sample of labelled texts as vectors over all their terms, with inverse document
-frequencies counted over all documents. Terms that tell the labels apart count more, by the root of their G
-statistic in the examples; none counts less, and none is left out. A term that no labelled text holds is in no example and lengthens a
-text's vector only; it weighs as if one document held it. Rare terms have postings, the most frequent ones a
-dense row per example with the largest weight of each block. A text's rare terms are scored in full, its
-frequent ones only for examples whose upper bound reaches the nearest found: the nearest are exact.
-
-Their votes, weighted by similarity, are brought to probabilities on labelled texts that are not in the
-index. Texts that share no term with an example have no neighbour and get the rate of toxic ones among such
-texts.
+"""Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
+
+The index holds a bounded sample of labelled texts as TF-IDF vectors over all their terms, with document frequencies
+counted over all documents. A term that no labelled text holds is in no example and lengthens a text's vector only; it
+weighs as if one document held it. Examples stand in blocks. The terms in most examples have a dense row, with the largest
+weight of every block; the others have postings, few in a block. Texts are scored in batches: a block's bound is what the
+postings give its best example and the largest weights of the dense terms, and only blocks whose bound reaches the nearest
+found so far are multiplied out. The nearest are exact, whatever is left out.
+
+Labels have no say in who is near, only in what the neighbours' votes are worth: a vote counts by the squared similarity
+over terms weighted by how well they tell the labels apart in the examples (the root of their G statistic, 1 at least).
+Votes are brought to probabilities on labelled texts that are not in the index. Texts that share no term with an example
+have no neighbour and get the rate of toxic ones among such texts.
 """
 
 from __future__ import annotations
@@ -31,12 +32,18 @@ from featureflow.session import Scratch
 INDEX_ROWS = 16_000
 CALIBRATION_ROWS = 8_000
 # Terms with dense rows, those in the most examples; it moves work between the two layouts, never a result.
-FREQUENT = 64
+FREQUENT = 512
 # Results of equal vectors that a worker keeps.
 MEMORY = 50_000
-NEAREST = 15
-BLOCK = 64
+# Chosen on examples and calibration rows, as the votes' weights were; held-out rows had no part in it.
+NEAREST = 100
+BLOCK = 256
+# Texts, and postings that they meet, scored at a time.
+BATCH_TEXTS = 64
+BATCH_POSTINGS = 1 << 21
 BINS = 10
+# Scores in single precision choose what is scored in double; they are off by less than this.
+SLACK = 1e-5
 
 
 def labelled(docs: DataFrame, labels: DataFrame, rows: int, label: str = "toxic", key: str = "doc_id") -> DataFrame:
@@ -111,7 +118,7 @@ def _counted(run: pa.RecordBatch, text: str, terms: np.ndarray) -> tuple[np.ndar
     return pairs % span, pairs // span, counts
 
 
-def _emphasis(at: np.ndarray, toxic: np.ndarray, texts: int, bad: int, terms: int) -> np.ndarray:
+def _telling(at: np.ndarray, toxic: np.ndarray, texts: int, bad: int, terms: int) -> np.ndarray:
     """Factor per term: the root of the G statistic between term and label, 1 at least.
 
     ``at`` and ``toxic`` are the term and the label of each term of each example.
@@ -123,93 +130,135 @@ def _emphasis(at: np.ndarray, toxic: np.ndarray, texts: int, bad: int, terms: in
     return np.sqrt(np.maximum(1.0, 2 * g))
 
 
+@dataclass
+class Vector:
+    """A text's known terms with their weights, of unit length over all its terms; ``length`` is that over telling terms."""
+
+    row: int
+    at: np.ndarray
+    value: np.ndarray
+    length: float
+
+
 def _weights(count: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return (1 + np.log(count)) * idf
 
 
 @dataclass
 class Index:
-    """Inverted index of the examples, and what turns votes into probabilities.
-
-    Without ``dense`` every term has a row of ``weights``.
-    """
+    """Inverted index of the examples, and what turns votes into probabilities."""
 
     terms: np.ndarray
-    idf: np.ndarray  # with the terms' emphasis
+    idf: np.ndarray
+    telling: np.ndarray  # per term, how well it tells the labels apart
     ids: np.ndarray  # of examples, in the order of the blocks
     toxic: np.ndarray
-    weights: np.ndarray  # frequent term x example, of unit-length examples
-    largest: np.ndarray  # frequent term x block
+    weights: np.ndarray  # example x dense term, of unit-length examples; whole blocks
+    largest: np.ndarray  # block x dense term
+    dense: np.ndarray  # term -> dense row, -1 for terms with postings
+    heads: np.ndarray  # term -> first posting; one more at the end
+    posted: np.ndarray  # example of each posting
+    posted_weights: np.ndarray
+    lengths: np.ndarray  # of examples, with terms weighted by how telling they are
+    unseen: float  # idf of terms in no labelled text
     edges: np.ndarray  # votes -> probabilities
     rates: np.ndarray
-    nothing: float  # rate of texts without neighbours
-    dense: np.ndarray | None = None  # term -> row of weights, -1 for terms with postings
-    heads: np.ndarray | None = None  # term -> first posting; one more at the end
-    posted: np.ndarray | None = None  # example of each posting
-    posted_weights: np.ndarray | None = None
-    unseen: float = 1.0  # idf of terms in no labelled text
-
-    def __post_init__(self) -> None:
-        # Lengths of the examples' frequent parts, which bound these parts' products.
-        self.lengths = np.sqrt((self.weights.astype(np.float64) ** 2).sum(axis=0))
-
-    def vectors(self, run: pa.RecordBatch, text: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(row, places of known terms, their weights) of texts with known terms; all terms make up the unit length."""
+    nothing: float = 0.0  # rate of texts without neighbours
+    k: int = NEAREST
+
+    def vectors(self, run: pa.RecordBatch, text: str) -> Iterator[Vector]:
+        """Texts with known terms; all terms make up the unit length."""
         at, row, count = _counted(run, text, self.terms)
         known = at < len(self.terms)
-        value = _weights(count, np.where(known, np.append(self.idf, self.unseen)[np.minimum(at, len(self.terms))], self.unseen))
+        place = np.minimum(at, len(self.terms))
+        value = _weights(count, np.append(self.idf, self.unseen)[place])
+        telling = value * np.append(self.telling, 1.0)[place]
         for first, last in zip(*_runs(row), strict=True):
             v, own = value[first:last], known[first:last]
             if own.any():
-                yield int(row[first]), at[first:last][own], v[own] / np.sqrt((v * v).sum())
-
-    def _parts(self, at: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Products of the rare terms with every example, and the rows and weights of the frequent ones."""
-        if self.dense is None:
-            return np.zeros(len(self.ids)), at, value
-        row = self.dense[at]
-        rare = row < 0
-        first, size = self.heads[at[rare]], self.heads[at[rare] + 1] - self.heads[at[rare]]
+                size = np.sqrt((v * v).sum())
+                yield Vector(int(row[first]), at[first:last][own], v[own] / size, float(np.sqrt((telling[first:last] ** 2).sum()) / size))
+
+    def batches(self, vectors: Iterator[Vector]) -> Iterator[list[Vector]]:
+        """Vectors in lists that meet a bounded number of postings, unless a single one meets more."""
+        held: list[Vector] = []
+        postings = 0
+        for v in vectors:
+            rare = v.at[self.dense[v.at] < 0]
+            size = int((self.heads[rare + 1] - self.heads[rare]).sum())
+            if held and (len(held) == BATCH_TEXTS or postings + size > BATCH_POSTINGS):
+                yield held
+                held, postings = [], 0
+            held.append(v)
+            postings += size
+        if held:
+            yield held
+
+    def _posted(self, row: np.ndarray, at: np.ndarray, value: np.ndarray, texts: int) -> np.ndarray:
+        """text x example: products of the terms with postings."""
+        first, size = self.heads[at], self.heads[at + 1] - self.heads[at]
         ends = np.cumsum(size)
         which = np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-        products = self.posted_weights[which] * np.repeat(value[rare], size)
-        return np.bincount(self.posted[which], weights=products, minlength=len(self.ids)), row[~rare], value[~rare]
-
-    def nearest(self, at: np.ndarray, value: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of largest cosine above 0 and their cosines, exactly; ties to the smaller id's place."""
-        part, row, v = self._parts(at, value)
-        if not len(part):
-            return np.zeros(0, np.int64), np.zeros(0)
-        block = np.repeat(v @ self.largest[row], BLOCK)[: len(part)] if len(row) else np.zeros(len(part))
-        bounds = part + np.minimum(block, np.sqrt(v @ v) * self.lengths)
-        full = np.zeros(len(self.weights), dtype=np.float32)
-        full[row] = v
-        # Products in single precision, off by less than the slack, choose which examples are scored in double.
-        slack = 1e-5
-        near = lambda rows: part[rows] + np.einsum("ij,j->i", self.weights.T[rows], full)
-        # The examples with the largest bounds first: what they score rules out most of the others.
-        first = np.argpartition(-bounds, k * 2)[: k * 2] if len(bounds) > k * 2 else np.arange(len(bounds))
-        found = near(first)
-        least = np.sort(found)[-k] if len(found) >= k else 0.0
-        rest = (bounds >= least - slack) & (bounds > 0)
-        rest[first] = False
-        rest = np.flatnonzero(rest)
-        best, found = np.concatenate([first, rest]), np.concatenate([found, near(rest)])
-        least = np.partition(found, -k)[-k] if len(found) >= k else 0.0
-        best = best[found >= least - 2 * slack]
-        score = part[best] + self.weights.T[best][:, row].astype(np.float64) @ v
-        best, score = best[score > 0], score[score > 0]
-        top = np.lexsort((best, -np.round(score, 12)))[:k]
-        return best[top], score[top]
-
-    def vote(self, at: np.ndarray, value: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """The neighbours' vote, -1 without any, and their places and cosines."""
-        best, score = self.nearest(at, value)
+        products = self.posted_weights[which] * np.repeat(value, size)
+        width = len(self.weights)
+        return np.bincount(np.repeat(row, size) * width + self.posted[which], weights=products, minlength=texts * width).reshape(texts, width)
+
+    def nearest(self, batch: list[Vector]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per text the ``k`` examples of largest cosine above 0, exactly, ties to the smaller place: places, cosines, and
+        similarities over telling terms."""
+        none = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+        if not len(self.ids):
+            return [none for _ in batch]
+        texts, blocks, k = len(batch), len(self.largest), self.k
+        row = np.repeat(np.arange(texts), [len(v.at) for v in batch])
+        at, value = np.concatenate([v.at for v in batch]), np.concatenate([v.value for v in batch])
+        column = self.dense[at]
+        common = column >= 0
+        full = np.zeros((texts, self.weights.shape[1]))
+        full[row[common], column[common]] = value[common]
+        single = full.astype(np.float32)
+        part = self._posted(row[~common], at[~common], value[~common], texts)
+        bounds = part.reshape(texts, blocks, BLOCK).max(axis=2) + single @ self.largest.T
+        scores = np.full((texts, blocks, BLOCK), -1.0)
+
+        def fill(rows: np.ndarray, b: int) -> None:
+            span = slice(b * BLOCK, (b + 1) * BLOCK)
+            scores[rows, b] = part[rows, span] + single[rows] @ self.weights[span].T
+
+        # The block with the largest bound first: what it holds rules out others.
+        every, first = np.arange(texts), bounds.argmax(axis=1)
+        for b in np.unique(first):
+            fill(np.flatnonzero(first == b), b)
+        least = np.partition(scores[every, first], BLOCK - k, axis=1)[:, BLOCK - k] if k <= BLOCK else np.zeros(texts)
+        needed = (bounds >= least[:, None] - SLACK) & (bounds > 0)
+        needed[every, first] = False
+        for b in np.flatnonzero(needed.any(axis=0)):
+            fill(np.flatnonzero(needed[:, b]), b)
+        scores = scores.reshape(texts, -1)
+        least = np.partition(scores, -k, axis=1)[:, -k] if k < scores.shape[1] else np.zeros(texts)
+        # Most terms tell nothing and count as they are.
+        extra = ~common & (self.telling[at] > 1)
+        told = part + self._posted(row[extra], at[extra], value[extra] * (self.telling[at[extra]] ** 2 - 1), texts)
+        weight = np.zeros(full.shape[1])
+        weight[self.dense[self.dense >= 0]] = self.telling[self.dense >= 0] ** 2
+        out = []
+        for i, v in enumerate(batch):
+            best = np.flatnonzero((scores[i] >= least[i] - 2 * SLACK) & (scores[i] > 0))
+            rows = self.weights[best].astype(np.float64)
+            cosine = part[i, best] + rows @ full[i]
+            order = np.lexsort((best, -np.round(cosine, 12)))[:k]
+            best, cosine, rows = best[order], cosine[order], rows[order]
+            similar = (told[i, best] + rows @ (full[i] * weight)) / (self.lengths[best] * v.length)
+            out.append((best, cosine, similar))
+        return out
+
+    def vote(self, best: np.ndarray, similar: np.ndarray) -> float:
+        """The neighbours' vote, -1 without any."""
         if not len(best):
-            return -1.0, best, score
-        weight = score * score  # nearer examples count more
+            return -1.0
+        weight = similar * similar  # nearer examples count more
         # One clean vote of weight 0.1 keeps a single distant neighbour from deciding alone.
-        return float((weight * self.toxic[best]).sum() / (weight.sum() + 0.1)), best, score
+        return float((weight * self.toxic[best]).sum() / (weight.sum() + 0.1))
 
     def probability(self, vote: float) -> float:
         if vote < 0:
@@ -240,8 +289,8 @@ def _isotonic(votes: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.array([p[0] for p in pools]), np.array([p[2] / p[1] for p in pools])
 
 
-def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> Index:
-    """Learn the index from labelled rows outside the held-out fold.
+def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", k: int = NEAREST) -> Index:
+    """Learn the index of ``k`` neighbours from labelled rows outside the held-out fold.
 
     The driver gets the terms and counts of at most ``INDEX_ROWS + CALIBRATION_ROWS`` texts as numbers; never texts.
     """
@@ -270,9 +319,10 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id
     owner = np.repeat(np.arange(len(lengths)), lengths)
     example = place < INDEX_ROWS
     own = example[owner]
-    idf = idf * _emphasis(at[own], toxic[owner[own]], int(example.sum()), int(toxic[example].sum()), len(terms))
+    telling = _telling(at[own], toxic[owner[own]], int(example.sum()), int(toxic[example].sum()), len(terms))
     value = _weights(n, idf[at])
     value /= np.sqrt(np.bincount(owner, weights=value * value, minlength=len(lengths)))[owner]
+    own_lengths = np.sqrt(np.bincount(owner, weights=(value * telling[at]) ** 2, minlength=len(lengths)))
 
     indexed = np.flatnonzero(example & (lengths > 0))
     spots = np.flatnonzero(own)  # what the examples hold
@@ -280,7 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id
     frequent = np.argsort(-popular, kind="stable")[:FREQUENT]
     dense = np.full(len(terms), -1, dtype=np.int64)
     dense[frequent] = np.arange(len(frequent))
-    # Examples with the same strongest frequent term stand together, so that blocks differ in their largest weights.
+    # Examples with the same strongest dense term stand together, so that blocks differ in their largest weights.
     common = spots[dense[at[spots]] >= 0]
     common = common[np.lexsort((value[common], owner[common]))]
     strongest = np.full(len(lengths), -1, dtype=np.int64)
@@ -289,26 +339,28 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id
     rank = np.full(len(lengths), -1, dtype=np.int64)
     rank[indexed] = np.arange(len(indexed))
     blocks = -(-len(indexed) // BLOCK)
-    padded = np.zeros((blocks * BLOCK, len(frequent)), dtype=np.float32)
-    padded[rank[owner[common]], dense[at[common]]] = value[common]
-    largest = np.ascontiguousarray(padded.reshape(blocks, BLOCK, len(frequent)).max(axis=1).T)
+    weights = np.zeros((blocks * BLOCK, len(frequent)), dtype=np.float32)
+    weights[rank[owner[common]], dense[at[common]]] = value[common]
     rare = spots[dense[at[spots]] < 0]
     rare = rare[np.argsort(at[rare], kind="stable")]
-    heads = np.searchsorted(at[rare], np.arange(len(terms) + 1))
     index = Index(
-        terms, idf, table["doc_id"].take(pa.array(indexed, type=pa.int64())).to_numpy() if len(indexed) else np.zeros(0), toxic[indexed], padded[: len(indexed)].T, largest,
-        np.zeros(0), np.zeros(0), 0.0, dense, heads, rank[owner[rare]].astype(np.int32), value[rare].astype(np.float32), float(np.log((1 + size) / 2) + 1),
+        terms=terms, idf=idf, telling=telling, toxic=toxic[indexed], weights=weights, largest=weights.reshape(blocks, BLOCK, len(frequent)).max(axis=1),
+        ids=table["doc_id"].take(pa.array(indexed, type=pa.int64())).to_numpy() if len(indexed) else np.zeros(0),
+        dense=dense, heads=np.searchsorted(at[rare], np.arange(len(terms) + 1)), posted=rank[owner[rare]].astype(np.int32),
+        posted_weights=value[rare].astype(np.float32), lengths=own_lengths[indexed], unseen=float(np.log((1 + size) / 2) + 1),
+        edges=np.zeros(0), rates=np.zeros(0), k=k,
     )
 
-    votes, truth, without = [], [], []
-    for i in np.flatnonzero(place >= INDEX_ROWS):
-        span = slice(ends[i] - lengths[i], ends[i])
-        vote = index.vote(at[span], value[span])[0]
-        if vote >= 0:
-            votes.append(vote)
-            truth.append(toxic[i])
-        else:
-            without.append(toxic[i])
+    held_back = (Vector(i, at[ends[i] - lengths[i] : ends[i]], value[ends[i] - lengths[i] : ends[i]], own_lengths[i]) for i in np.flatnonzero((place >= INDEX_ROWS) & (lengths > 0)))
+    votes, truth, without = [], [], toxic[(place >= INDEX_ROWS) & (lengths == 0)].tolist()
+    for batch in index.batches(held_back):
+        for v, (best, _, similar) in zip(batch, index.nearest(batch), strict=True):
+            vote = index.vote(best, similar)
+            if vote >= 0:
+                votes.append(vote)
+                truth.append(toxic[v.row])
+            else:
+                without.append(toxic[v.row])
     index.edges, index.rates = _isotonic(np.array(votes), np.array(truth, dtype=float))
     index.nothing = (sum(without) + 0.01) / (len(without) + 1)
     return index
@@ -326,14 +378,20 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
             known.clear()
         scores = np.full(run.num_rows, own.probability(-1.0))
         evidence: list[list[dict]] = [[] for _ in range(run.num_rows)]
-        for row, at, value in own.vectors(run, text):
+        same, fresh = {}, []
+        for v in own.vectors(run, text):
             # Texts with the same terms share their neighbours; 128 bits stand for the vector.
-            same = hashlib.blake2b(at.tobytes() + value.tobytes(), digest_size=16).digest()
-            if same not in known:
-                vote, best, cosine = own.vote(at, value)
+            same[v.row] = mark = hashlib.blake2b(v.at.tobytes() + v.value.tobytes(), digest_size=16).digest()
+            if mark not in known:
+                known[mark] = own.nothing, []
+                fresh.append((mark, v))
+        marks = iter([mark for mark, _ in fresh])
+        for batch in own.batches(v for _, v in fresh):
+            for best, cosine, similar in own.nearest(batch):
                 nearest = [{"doc_id": own.ids[b], "cosine": float(c)} for b, c in zip(best[:3], cosine[:3], strict=True)]
-                known[same] = own.probability(vote), nearest
-            scores[row], evidence[row] = known[same]
+                known[next(marks)] = own.probability(own.vote(best, similar)), nearest
+        for row, mark in same.items():
+            scores[row], evidence[row] = known[mark]
         item = pa.struct([("doc_id", run.schema.field(0).type), ("cosine", pa.float64())])
         return pa.RecordBatch.from_arrays([run.column(0), pa.array(scores), pa.array(evidence, type=pa.list_(item))], names=["doc_id", "score", "evidence"])
 

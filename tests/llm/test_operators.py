@@ -500,22 +500,50 @@ def test_held_out_toxic_documents_are_found(spark):
     assert ((found.predicted == 1) == (found.score >= 0.5)).all() and found.score.between(0, 1).all()
     held = found[found.held_out].merge(labels.toPandas(), on="doc_id")
     assert (held.predicted == held.toxic).mean() > held.toxic.eq(0).mean()
+    assert held.score[held.toxic == 1].mean() > held.score[held.toxic == 0].mean() + 0.3
 
 
-def test_nearest_examples_are_exact():
+@pytest.mark.parametrize(("block", "dense", "postings"), [(256, 12, 1 << 21), (8, 12, 40), (8, 0, 1 << 21), (16, 30, 1)])
+def test_nearest_examples_are_exact(monkeypatch, block, dense, postings):
+    """Against all products, with ties, few and many blocks, few and many dense terms, small and large batches."""
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    monkeypatch.setattr(toxicity, "BATCH_POSTINGS", postings)
     rng = np.random.default_rng(4)
-    weights = np.where(rng.random((30, 300)) < 0.2, rng.random((30, 300)), 0).astype(np.float32)
-    blocks = -(-300 // toxicity.BLOCK)
-    padded = np.zeros((30, blocks * toxicity.BLOCK), dtype=np.float32)
-    padded[:, :300] = weights
-    largest = padded.reshape(30, blocks, toxicity.BLOCK).max(axis=2)
-    index = toxicity.Index(np.arange(30), np.ones(30), np.arange(300), rng.integers(0, 2, 300), weights, largest, np.array([0, 1.0]), np.array([0, 1.0]), 0.1)
-    for _ in range(20):
-        at = np.sort(rng.choice(30, 4, replace=False))
+    examples, terms = 300, 30
+    weights = np.where(rng.random((examples, terms)) < 0.2, rng.random((examples, terms)), 0).astype(np.float32).astype(float)
+    weights[100:110] = weights[0]
+    weights /= np.maximum(1e-9, np.sqrt((weights**2).sum(axis=1, keepdims=True)))
+    weights = weights.astype(np.float32).astype(float)
+    telling = 1 + 3 * rng.random(terms) * (rng.random(terms) < 0.4)
+    blocks = -(-examples // block)
+    padded = np.zeros((blocks * block, dense), dtype=np.float32)
+    padded[:examples] = weights[:, :dense]
+    place = np.where(np.arange(terms) < dense, np.arange(terms), -1)
+    posted = [(t, e) for t in range(dense, terms) for e in np.flatnonzero(weights[:, t])]
+    heads = np.searchsorted([t for t, _ in posted], np.arange(terms + 1))
+    lengths = np.sqrt(((weights * telling) ** 2).sum(axis=1))
+    toxic = rng.integers(0, 2, examples)
+    index = toxicity.Index(
+        terms=np.arange(terms), idf=np.ones(terms), telling=telling, ids=np.arange(examples), toxic=toxic, weights=padded,
+        largest=padded.reshape(blocks, block, dense).max(axis=1), dense=place, heads=heads, posted=np.array([e for _, e in posted], dtype=np.int32),
+        posted_weights=np.array([weights[e, t] for t, e in posted], dtype=np.float32), lengths=lengths, unseen=1.0, edges=np.array([0, 1.0]), rates=np.array([0, 1.0]),
+        k=10 if block > 8 else 5,
+    )
+    texts = []
+    for i in range(40):
+        at = np.sort(rng.choice(terms, 4, replace=False))
         value = rng.random(4)
-        best, score = index.nearest(at, value, 10)
-        plain = value @ weights[at]
-        assert np.allclose(score, np.sort(plain)[::-1][:10], atol=1e-6)
+        value /= np.sqrt((value**2).sum())
+        texts.append(toxicity.Vector(i, at, value, float(np.sqrt(((value * telling[at]) ** 2).sum()))))
+    found = [x for batch in index.batches(iter(texts)) for x in index.nearest(batch)]
+    for v, (best, cosine, similar) in zip(texts, found, strict=True):
+        plain = weights[:, v.at] @ v.value
+        order = np.lexsort((np.arange(examples), -np.round(plain, 12)))[: index.k]
+        assert best.tolist() == [e for e in order if plain[e] > 0]
+        assert cosine == pytest.approx(plain[best])
+        told = weights[best][:, v.at] @ (v.value * telling[v.at] ** 2) / lengths[best] / v.length
+        assert similar == pytest.approx(told)
+        assert index.vote(best, similar) == pytest.approx((told**2 * toxic[best]).sum() / ((told**2).sum() + 0.1))
 
 
 def test_toxicity_without_labels_and_with_awkward_rows(spark, awkward, labels):
@@ -524,8 +552,72 @@ def test_toxicity_without_labels_and_with_awkward_rows(spark, awkward, labels):
     assert toxicity.toxicity(empty(awkward), labels).count() == 0
 
 
-def test_toxicity_vectors_hold_all_terms(spark):
+def test_scores_follow_from_plain_neighbours_votes_and_calibration(spark, monkeypatch):
+    """The whole way again in plain form: cosines over all terms, telling weights, votes, pooled rates, scores."""
+    monkeypatch.setattr(toxicity, "INDEX_ROWS", 90)
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 60)
+    rng = np.random.default_rng(9)
+    bad = [f"bad{j}" for j in range(3)]
+    texts = [" ".join([*(f"w{j}" for j in rng.integers(0, 60, 10)), *(rng.choice(bad, 2) if i % 4 == 0 or i % 17 == 0 else [])]) for i in range(220)]
+    ship(spark)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(180)], "doc_id bigint, toxic int")
+    with Scratch(spark) as scratch:
+        index = toxicity.fit(docs, labels, scratch, k=7)
+        got = {r.doc_id: r.score for r in toxicity.score(docs, index).collect()}
+        sample = {r.doc_id: (r["__place"], r["__toxic"]) for r in toxicity.labelled(docs, labels, 150).collect()}
+    assert all(zlib.crc32(str(i).encode()) % 5 for i in sample)
+    counts = [Counter(t.split()) for t in texts]
+    df = Counter(w for c in counts for w in c)
+    seen = {w for i in sample for w in counts[i]}
+    idf = lambda w: np.log(221 / (1 + df[w] if w in seen else 2)) + 1
+    examples = {i: t for i, (p, t) in sample.items() if p < 90}
+    total, toxic = len(examples), sum(examples.values())
+
+    def telling(w):
+        n, a = sum(w in counts[i] for i in examples), sum(w in counts[i] for i, t in examples.items() if t)
+        table = np.array([[a, n - a], [toxic - a, total - toxic - n + a]], dtype=float)
+        expected = table.sum(1, keepdims=True) * table.sum(0) / total
+        g = 2 * sum(x * np.log(x / e) for x, e in zip(table.flat, expected.flat, strict=True) if x)
+        return max(1.0, g) ** 0.5 if w in seen else 1.0
+
+    tell = {w: telling(w) for w in df}
+    vectors = []
+    for c in counts:
+        v = {w: (1 + np.log(k)) * idf(w) for w, k in c.items()}
+        size = sum(x * x for x in v.values()) ** 0.5
+        vectors.append({w: x / size for w, x in v.items()})
+    inner = lambda a, b, f: sum(x * b.get(w, 0.0) * f(w) for w, x in a.items())
+
+    def vote(i):
+        near = sorted(examples, key=lambda e: -round(inner(vectors[i], vectors[e], lambda w: 1.0), 9))
+        near = [e for e in near[:7] if inner(vectors[i], vectors[e], lambda w: 1.0) > 0]
+        if not near:
+            return -1.0
+        square = lambda w: tell[w] ** 2
+        own = inner(vectors[i], vectors[i], square) ** 0.5
+        weights = [(inner(vectors[i], vectors[e], square) / own / inner(vectors[e], vectors[e], square) ** 0.5) ** 2 for e in near]
+        return sum(x * examples[e] for x, e in zip(weights, near, strict=True)) / (sum(weights) + 0.1)
+
+    kept = [(vote(i), t) for i, (p, t) in sample.items() if p >= 90]
+    pools = []
+    for b in range(10):
+        inside = [t for v, t in kept if v >= 0 and min(int(v * 10), 9) == b]
+        middle = (b + 0.5) / 10
+        pools.append([[middle], len(inside) + 1.0, sum(inside) + middle])
+        while len(pools) > 1 and pools[-2][2] / pools[-2][1] > pools[-1][2] / pools[-1][1]:
+            last = pools.pop()
+            pools[-1] = [pools[-1][0] + last[0], pools[-1][1] + last[1], pools[-1][2] + last[2]]
+    edges, rates = [np.mean(p[0]) for p in pools], [p[2] / p[1] for p in pools]
+    assert len(kept) > 20 and len(pools) > 2
+    for i in range(220):
+        v = vote(i)
+        assert got[i] == pytest.approx(np.interp(v, edges, rates) if v >= 0 else index.nothing, abs=1e-4)
+
+
+def test_toxicity_vectors_hold_all_terms(spark, monkeypatch):
     """Neighbours and cosines of a plain search over all terms, also of words in one labelled text or in none."""
+    monkeypatch.setattr(toxicity, "FREQUENT", 64)
     rng = np.random.default_rng(7)
     texts = [" ".join([*(f"common{j}" for j in rng.integers(0, 150, 12)), f"rare{i // 2}", f"only{i}"]) for i in range(240)]
     ship(spark)
@@ -539,19 +631,9 @@ def test_toxicity_vectors_hold_all_terms(spark):
     counts = [Counter(t.split()) for t in texts]
     df = Counter(w for c in counts for w in c)
     known = {w for i in range(160) if zlib.crc32(str(i).encode()) % 5 for w in counts[i]}
-    toxic, n, a = [i for i in examples if i % 8 < 2], Counter(), Counter()
-    for i in examples:
-        n.update(counts[i].keys())
-    for i in toxic:
-        a.update(counts[i].keys())
 
     def weight(w):
-        if w not in known:
-            return np.log(241 / 2) + 1
-        table = np.array([[a[w], n[w] - a[w]], [len(toxic) - a[w], len(examples) - len(toxic) - n[w] + a[w]]], dtype=float)
-        expected = table.sum(1, keepdims=True) * table.sum(0) / table.sum()
-        g = 2 * sum(x * np.log(x / e) for x, e in zip(table.flat, expected.flat, strict=True) if x)
-        return (np.log(241 / (1 + df[w])) + 1) * max(1.0, g) ** 0.5
+        return np.log(241 / (1 + df[w] if w in known else 2)) + 1
 
     vectors = [{w: (1 + np.log(k)) * weight(w) for w, k in c.items()} for c in counts]
     norms = [sum(x * x for x in v.values()) ** 0.5 for v in vectors]
