@@ -40,7 +40,7 @@ NEAREST = 100
 BLOCK = 256
 # Texts, and postings that they meet, scored at a time.
 BATCH_TEXTS = 64
-BATCH_POSTINGS = 1 << 21
+BATCH_POSTINGS = 1 << 20
 BINS = 10
 # Scores in single precision choose what is scored in double; they are off by less than this.
 SLACK = 1e-5
@@ -312,20 +312,22 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id
     kind = sample.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, toxic int, place bigint, at array<int>, n array<int>"
     table = map_runs(sample.select("text", "doc_id", "__toxic", "__place"), "text", gather, schema).orderBy("doc_id").toArrow()
-    toxic, place = table["toxic"].to_numpy(), table["place"].to_numpy()
-    at, n = (table[c].combine_chunks().flatten().to_numpy() for c in ("at", "n"))
-    lengths = np.array([len(x) for x in table["at"]], dtype=np.int64)
+    toxic, place, ids = table["toxic"].to_numpy(), table["place"].to_numpy(), table["doc_id"]
+    lists = table["at"].combine_chunks()
+    lengths, at = lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy()
+    # Narrow numbers: there are as many as the texts have terms.
+    value = (1 + np.log(table["n"].combine_chunks().flatten().to_numpy(), dtype=np.float32)) * idf.astype(np.float32)[at]
+    del table, lists
     ends = np.cumsum(lengths)
-    owner = np.repeat(np.arange(len(lengths)), lengths)
+    owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     example = place < INDEX_ROWS
     own = example[owner]
     telling = _telling(at[own], toxic[owner[own]], int(example.sum()), int(toxic[example].sum()), len(terms))
-    value = _weights(n, idf[at])
-    value /= np.sqrt(np.bincount(owner, weights=value * value, minlength=len(lengths)))[owner]
+    value /= np.sqrt(np.bincount(owner, weights=value * value, minlength=len(lengths))).astype(np.float32)[owner]
     own_lengths = np.sqrt(np.bincount(owner, weights=(value * telling[at]) ** 2, minlength=len(lengths)))
 
     indexed = np.flatnonzero(example & (lengths > 0))
-    spots = np.flatnonzero(own)  # what the examples hold
+    spots = np.flatnonzero(own).astype(np.int32)  # what the examples hold
     popular = np.bincount(at[spots], minlength=len(terms))
     frequent = np.argsort(-popular, kind="stable")[:FREQUENT]
     dense = np.full(len(terms), -1, dtype=np.int64)
@@ -345,7 +347,7 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id
     rare = rare[np.argsort(at[rare], kind="stable")]
     index = Index(
         terms=terms, idf=idf, telling=telling, toxic=toxic[indexed], weights=weights, largest=weights.reshape(blocks, BLOCK, len(frequent)).max(axis=1),
-        ids=table["doc_id"].take(pa.array(indexed, type=pa.int64())).to_numpy() if len(indexed) else np.zeros(0),
+        ids=ids.take(pa.array(indexed, type=pa.int64())).to_numpy() if len(indexed) else np.zeros(0),
         dense=dense, heads=np.searchsorted(at[rare], np.arange(len(terms) + 1)), posted=rank[owner[rare]].astype(np.int32),
         posted_weights=value[rare].astype(np.float32), lengths=own_lengths[indexed], unseen=float(np.log((1 + size) / 2) + 1),
         edges=np.zeros(0), rates=np.zeros(0), k=k,
