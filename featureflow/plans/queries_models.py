@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
@@ -137,14 +138,15 @@ def model_dt_group_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fitted_on_one(spark, sf_dir, "Pclass", pipeline).select(ID, "prediction")
 
 
-def _points_scored(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+def _points_scored(spark: SparkSession, sf_dir: str, kind: str, more: Callable | None = None) -> DataFrame:
+    """Held-out points with class; ``more`` gives further columns from the fitted model."""
     rows = base(spark, sf_dir, "PassengerId", "Survived", "Pclass", "Sex", "Age", "SibSp", "Parch", "Fare")
     rows = rows.withColumn("Fare", F.coalesce("Fare", F.lit(0.0)))
     points = labelled_points(rows, fit_means(rows, "Age"))
     parted = points.withColumn("part", hash_part(ID, {"train": 80, "test": 20}))
     train = training_table(parted.where("part = 'train'").select(ID, "label", "features"), "points", ID)
     model = fit_points(kind, train)
-    return model.transform(parted.where("part = 'test'")).select(ID, "label", "prediction")
+    return model.transform(parted.where("part = 'test'")).select(ID, "label", "prediction", *more(model) if more else [])
 
 
 @query()
@@ -159,6 +161,36 @@ def model_points_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points_scored(spark, sf_dir, "logistic")
 
 
+POINT_PARTS_SQL = f"""WITH {BASE_SQL} SELECT PassengerId AS passenger_id, Survived::DOUBLE AS label, true AS class_fits FROM base
+    WHERE CAST('0x' || substr(md5(CAST(PassengerId AS VARCHAR)), 1, 7) AS BIGINT) % 100 >= 80"""
+
+
+def _point_parts(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Whether the class of each held-out point is the side of the fitted plane on which its six numbers lie."""
+
+    def side(model) -> list:
+        x = vector_to_array("features")
+        terms = [F.get(x, F.lit(i)) * F.lit(float(w)) for i, w in enumerate(model.coefficients)]
+        margin = reduce(lambda a, b: a + b, terms, F.lit(float(model.intercept)))
+        # Where the sum is as good as 0 its sign hangs on the order of adding up.
+        right = F.col("prediction") == (margin > 0).cast("double")
+        return [(right | (F.abs(margin) < 1e-9)).alias("class_fits")]
+
+    return _points_scored(spark, sf_dir, kind, side).select(ID, "label", "class_fits")
+
+
+@query(POINT_PARTS_SQL)
+def model_points_svc_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Support vector machine on points: its classes against its plane."""
+    return _point_parts(spark, sf_dir, "svm")
+
+
+@query(POINT_PARTS_SQL)
+def model_points_lr_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression on points: its classes against its plane."""
+    return _point_parts(spark, sf_dir, "logistic")
+
+
 @query()
 def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas of a fitted model on labelled rows it has not seen, on classes and on scores."""

@@ -21,7 +21,7 @@ from featureflow.operators.split import (
 from featureflow.plans.positions import POSITION_SCHEMA
 from featureflow.plans.registry import query
 from featureflow.plans.standin import BASE_SQL, SCHEMAS, base, id_cutoff, split_base, table
-from featureflow.session import scratch_path
+from featureflow.session import scratch_path, written_table
 from featureflow.sources.files import (
     read_csv,
     read_csv_set_aside,
@@ -227,6 +227,21 @@ def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@query("SELECT o_orderkey, 1::BIGINT AS parts, true AS same_row, true AS near_share FROM orders")
+def split_random_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row is in one part of the random split, unchanged, and the larger part has about its share of all rows."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    # Written: the shares and the rows are read off one split.
+    split = written_table(split_random(spark, sf_dir), "split")
+    sizes = split.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("part") == "train").alias("train"))
+    share, n = sizes.select(F.col("train") / F.col("n")).scalar(), sizes.select("n").scalar()
+    # Six standard deviations of a share drawn row by row.
+    near = F.abs(share - 8 / 11) <= 6 * F.sqrt(F.lit(8 / 11 * 3 / 11) / n)
+    once = split.groupBy("o_orderkey").agg(F.count("part").alias("parts"), F.max("o_totalprice").alias("price"))
+    same = F.col("price").eqNullSafe(F.col("o_totalprice"))
+    return rows.join(once, "o_orderkey", "left").select("o_orderkey", "parts", same.alias("same_row"), near.alias("near_share"))
+
+
 HASH_SQL = "CAST('0x' || substr(md5({key}), 1, 7) AS BIGINT) % {buckets}"
 
 
