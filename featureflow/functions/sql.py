@@ -58,6 +58,9 @@ def register(spark: SparkSession, prefix: str = "") -> list[str]:
         "middle(tallies ARRAY<STRUCT<value: DOUBLE, count: BIGINT>>) RETURNS DOUBLE": middle_sql("tallies"),
         "title_keywords() RETURNS TABLE (place INT, title STRING, keyword STRING)": f"SELECT * FROM VALUES {keywords} AS t(place, title, keyword)",
     }
-    for head, body in bodies.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{head} RETURN {body}")
-    return [prefix + head[: head.index("(")] for head in bodies]
+    names = [prefix + head[: head.index("(")] for head in bodies]
+    for name, (head, body) in zip(names, bodies.items(), strict=True):
+        # A SQL function replaces none of another kind, such as a registered Python one of that name.
+        spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
+        spark.sql(f"CREATE TEMPORARY FUNCTION {prefix}{head} RETURN {body}")
+    return names

@@ -168,9 +168,11 @@ def tally(df: DataFrame, value: str, by: Sequence[str] = (), count: str = "n") -
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias(count))
 
 
-def register_middle(spark: SparkSession, name: str = "middle") -> str:
+def register_middle(spark: SparkSession, name: str = "middle_of_tally") -> str:
     """Register the median as a SQL aggregate ``name(value, count)`` over tallied values.
 
+    The name is not that of the SQL function ``middle``, which takes other arguments: both can live in one session.
+
     A Python aggregate holds the input of one key in one task, so it is meant for the output of
     ``middle_tally``, or of ``tally`` where values repeat; ``exact_median`` has no such limit.
     """

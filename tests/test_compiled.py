@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from featureflow.functions.derive import age_band, fare_band, title_of
 from featureflow.functions.sql import register
 from featureflow.operators import lookup
+from featureflow.operators.aggregate import register_middle
 from featureflow.operators.compiled import compile_pipeline
 from featureflow.operators.models import categorical_pipeline, classifier
 from featureflow.operators.sketches import merged, quantile, rank_bound, rank_of, sketches, store_part, stored
@@ -136,6 +137,19 @@ def test_middle_by_name(spark, tallies):
     assert spark.sql("SELECT middle(t) FROM ff_test_tallies").first()[0] == want
 
 
+def test_functions_replace_others_of_their_names(spark):
+    """A session may hold Python functions of these names, or the aggregate over tallies; neither is in the way."""
+    assert register_middle(spark) != "middle"
+    spark.udf.register("middle", lambda x: x, "double")
+    spark.udf.register("age_band", lambda x: x, "int")
+    for _ in range(2):
+        register(spark)
+        assert spark.sql("SELECT middle(array(named_struct('value', 3D, 'count', 1L))), age_band(3D)").first()[0] == 3.0
+    register_middle(spark, "middle")
+    register(spark)
+    assert spark.sql("SELECT middle(array(named_struct('value', 3D, 'count', 1L)))").first()[0] == 3.0
+
+
 def test_functions_leave_nothing_but_sql(spark):
     names = register(spark, "ff_")
     assert names == ["ff_title_group", "ff_age_band", "ff_fare_band", "ff_middle", "ff_title_keywords"]
