@@ -17,7 +17,7 @@ from featureflow.operators.aggregate import exact_median
 from featureflow.operators.text import text_classifier
 from featureflow.plans.passengers import FLOWS, ID, PASSENGER_SCHEMA, SCORING_SCHEMA, Cleaning, run_flow
 from featureflow.plans.positions import POSITION_SCHEMA, cluster_positions
-from featureflow.session import build_session, training_table
+from featureflow.session import TEXT_PIECE_ROWS, build_session, training_table
 from featureflow.sources.files import read_csv, write_csv, write_predictions
 
 
@@ -45,7 +45,7 @@ def text(spark: SparkSession, args: argparse.Namespace) -> None:
     """Parquet in: (id, text, label) to train, (id, text) to score."""
     train = spark.read.parquet(args.train).select("text", F.col("label").cast("double"))
     score: DataFrame = spark.read.parquet(args.score).select("id", "text")
-    model = text_classifier().fit(training_table(train, "texts", "text", "label"))
+    model = text_classifier().fit(training_table(train, "texts", "text", "label", piece_rows=TEXT_PIECE_ROWS))
     write_predictions(model.transform(score), args.out, key="id")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.operators.lookup import attach_pinned, known_hot, pin
-from featureflow.session import spread
+from featureflow.session import input_bytes, spread
 
 
 def tokens(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
@@ -25,9 +25,19 @@ def _words(df: DataFrame, words: str, *keys: str) -> DataFrame:
     return df.select(*keys, F.explode_outer(words).alias("term")).where(F.col("term").isNotNull())
 
 
+# Bytes of stored texts whose words one task counts at a time.
+COUNT_BYTES = 8 * 1024 * 1024
+
+
+def by_key(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by its key alone, in pieces whose number follows the bytes read; adaptive execution merges none of them."""
+    pieces = max(df.sparkSession.sparkContext.defaultParallelism, input_bytes(df) // COUNT_BYTES + 1)
+    return df.repartition(pieces, key)
+
+
 def term_counts(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, term, tf). Repeats of a term within a task combine before the shuffle."""
-    words = tokens(spread(df.select(key, text), key), text)
+    """(key, term, tf). The texts are shuffled by their key once; the far larger pairs of key and term stay in their task."""
+    words = tokens(by_key(df.select(key, text), key), text)
     return _words(words, "words", key).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

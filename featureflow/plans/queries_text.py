@@ -21,7 +21,7 @@ from featureflow.operators.text import (
 )
 from featureflow.plans.registry import query
 from featureflow.plans.standin import table
-from featureflow.session import scratch_path, spread, training_table, written_table
+from featureflow.session import TEXT_PIECE_ROWS, scratch_path, spread, training_table, written_table
 from featureflow.sources.files import load_model, load_pipeline, save_pipeline, stage_parameters
 
 WORDS_SQL = r"string_split_regex(lower(regexp_replace(text, '\s+$', '')), '\s')"
@@ -81,7 +81,7 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_text_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text classifier fitted on 70% of the labelled documents, the others scored."""
     rows = labelled_documents(spark, sf_dir).withColumn("part", hash_part("doc_id", {"train": 70, "test": 30}))
-    rows = training_table(rows, "texts", "doc_id")
+    rows = training_table(rows, "texts", "doc_id", piece_rows=TEXT_PIECE_ROWS)
     model = text_classifier().fit(rows.where("part = 'train'"))
     scored = model.transform(rows.where("part = 'test'"))
     return scored.select("doc_id", "label", "prediction", vector_to_array("probability")[1].alias("probability"))
@@ -109,7 +109,7 @@ def pipeline_params_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An unfitted pipeline saved, loaded, fitted and applied to the labelled documents."""
     path = scratch_path(spark, "pipeline")
     save_pipeline(text_classifier(), path)
-    rows = training_table(labelled_documents(spark, sf_dir), "texts", "doc_id")
+    rows = training_table(labelled_documents(spark, sf_dir), "texts", "doc_id", piece_rows=TEXT_PIECE_ROWS)
     return load_pipeline(path).fit(rows).transform(rows).select("doc_id", "label", "prediction")
 
 
@@ -128,7 +128,7 @@ def pipeline_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     save_pipeline(text_classifier(), first)
     loaded = load_pipeline(first)
     save_pipeline(loaded, again)
-    save_pipeline(loaded.fit(training_table(labelled_documents(spark, sf_dir), "texts", "doc_id")), fitted)
+    save_pipeline(loaded.fit(training_table(labelled_documents(spark, sf_dir), "texts", "doc_id", piece_rows=TEXT_PIECE_ROWS)), fitted)
     columns = ["stage", "parameter", "value", "is_default"]
     rows, kept, model = (stage_parameters(spark, p) for p in (first, again, fitted))
     both = rows.join(kept.select(*columns, "uid", F.lit(True).alias("kept")), [*columns, "uid"], "left")
@@ -140,7 +140,7 @@ def pipeline_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, true AS same_score FROM documents JOIN labels USING (doc_id)")
 def model_roundtrip_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fitted model saved and loaded gives the same probability for every labelled document."""
-    rows = training_table(labelled_documents(spark, sf_dir), "texts", "doc_id")
+    rows = training_table(labelled_documents(spark, sf_dir), "texts", "doc_id", piece_rows=TEXT_PIECE_ROWS)
     model = text_classifier().fit(rows)
     path = scratch_path(spark, "model")
     save_pipeline(model, path)
