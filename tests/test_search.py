@@ -63,6 +63,15 @@ def test_what_makes_two_fits_differ():
     assert strategies(classifier("forest", "label", numTrees=1), 9) == [9, 9, 3, 4, "0.5"]
 
 
+def test_fits_that_run_together_are_of_different_folds():
+    maps = param_maps(classifier("tree", "label"), {"maxDepth": (1, 3), "minInstancesPerNode": (1, 2)})
+    cells = {(str(m), fold): m for fold in range(3) for m in range(4)}
+    order = search.fit_order(cells, maps)
+    assert sorted(order) == sorted(cells)
+    assert [cells[c] for c in order] == [2, 2, 2, 3, 3, 3, 0, 0, 0, 1, 1, 1]
+    assert [fold for _, fold in order] == [0, 1, 2] * 4
+
+
 def test_a_cell_is_the_evaluation_of_one_fit(rows):
     found = search_cells(pipeline("tree"), {"maxDepth": (1, 3)}, rows, "label", 2, "areaUnderPR", pieces=2)
     fit_rows, check_rows = rows.where("__fold <> 1"), rows.where("__fold = 1")
