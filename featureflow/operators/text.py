@@ -8,7 +8,8 @@ from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.operators.lookup import attach_pinned, known_hot, pin
+from featureflow.operators import lookup
+from featureflow.operators.lookup import attach_pinned, pin
 from featureflow.session import input_bytes, spread
 
 
@@ -27,12 +28,16 @@ def _words(df: DataFrame, words: str, *keys: str) -> DataFrame:
 
 # Bytes of stored texts whose words one task counts at a time.
 COUNT_BYTES = 8 * 1024 * 1024
+# The optimizer's size of what it knows nothing of.
+UNKNOWN_BYTES = 1 << 60
 
 
 def by_key(df: DataFrame, key: str) -> DataFrame:
     """``df`` dealt by its key alone, in pieces whose number follows the bytes read; adaptive execution merges none of them."""
-    pieces = max(df.sparkSession.sparkContext.defaultParallelism, input_bytes(df) // COUNT_BYTES + 1)
-    return df.repartition(pieces, key)
+    size = input_bytes(df)
+    if size >= UNKNOWN_BYTES:
+        return df.repartition(key)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, size // COUNT_BYTES + 1), key)
 
 
 def term_counts(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -63,10 +68,25 @@ def idf_of_counts(counts: DataFrame, documents: DataFrame) -> DataFrame:
 
 def tfidf(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
     """(key, term, tf, idf, tfidf). Common words are hot keys of this join; ``df`` tells which."""
-    held, small = pin(idf)
-    hot = [] if small else known_hot(held, ["term"], "df")
-    joined = attach_pinned(counts, held.drop("df"), small, ["term"], salt_by=[key], hot=hot)
-    return joined.withColumn("tfidf", F.col("tf") * F.col("idf"))
+    return attach_terms(counts, idf).withColumn("tfidf", F.col("tf") * F.col("idf"))
+
+
+def attach_terms(counts: DataFrame, stats: DataFrame) -> DataFrame:
+    """Left join (term, df, ...) to term counts; ``df`` says in how many of them a term is.
+
+    Statistics too large to broadcast are split: those of the most frequent terms, as many as may be broadcast, leave
+    their rows where they are, and only the rows of rarer terms, few for each term, are shuffled.
+    """
+    held, small = pin(stats)
+    if small:
+        return attach_pinned(counts, held.drop("df"), small, ["term"])
+    terms, size = held.count(), max(1, input_bytes(held))
+    most = min(lookup.BROADCAST_ROWS, terms * lookup.BROADCAST_BYTES // size)
+    cut = held.agg(F.percentile_approx("df", max(0.0, 1 - most / max(1, terms)))).first()[0] or 0
+    common, rare = held.where(F.col("df") > cut).drop("df"), held.where(F.col("df") <= cut).drop("df")
+    near = counts.join(F.broadcast(common), "term").select(*counts.columns, *[c for c in common.columns if c != "term"])
+    others = counts.join(F.broadcast(common.select("term")), "term", "left_anti").select(*counts.columns)
+    return near.unionByName(attach_pinned(others, rare, False, ["term"], hot=[]))
 
 
 def hashed_features(text: str = "text", buckets: int = 1000) -> list:
@@ -88,9 +108,7 @@ def term_buckets(terms: DataFrame, buckets: int = 1000) -> DataFrame:
 def hashed_counts(counts: DataFrame, key: str, buckets: int = 1000) -> DataFrame:
     """(key, bucket, tf) from written ``term_counts``: each distinct term is hashed once, and joined to its rows."""
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    held, small = pin(term_buckets(frequency, buckets).join(frequency, "term"))
-    hot = [] if small else known_hot(held, ["term"], "df")
-    joined = attach_pinned(counts, held.drop("df"), small, ["term"], salt_by=[key], hot=hot)
+    joined = attach_terms(counts, term_buckets(frequency, buckets).join(frequency, "term"))
     return joined.groupBy(key, "bucket").agg(F.sum("tf").alias("tf"))
 
 
