@@ -90,18 +90,24 @@ def model_text_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, true AS same_counts, true AS same_weights FROM documents")
 def hashed_tf_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed counts and weights by joins and sums equal the pipeline's vectors, bucket by bucket in every document."""
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    counts = written_table(term_counts(documents, "doc_id"), "counts")
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = written_table(term_counts(texts, "doc_id"), "counts")
     hashed = written_table(hashed_counts(counts, "doc_id"), "hashed")
-    weighted = hashed_tfidf(hashed, documents, "doc_id").select("doc_id", F.col("bucket").alias("pos"), "tf", "weight")
+    weighted = hashed_tfidf(hashed, texts, "doc_id").select("doc_id", F.struct(F.col("bucket").alias("pos"), "tf", "weight").alias("e"))
+    gathered = weighted.groupBy("doc_id").agg(F.sort_array(F.collect_list("e")).alias("summed"))
+    documents = spread(texts, "doc_id")
     fitted = Pipeline(stages=hashed_features()).fit(documents).transform(documents)
-    dense = fitted.select("doc_id", vector_to_array("rawFeatures").alias("a"), vector_to_array("features").alias("w"))
-    entries = dense.select("doc_id", F.posexplode(F.arrays_zip("a", "w")).alias("pos", "e")).where("e.a > 0")
-    both = entries.select("doc_id", "pos", "e.a", "e.w").join(weighted, ["doc_id", "pos"], "full_outer")
-    near = F.coalesce(F.abs(F.col("w") - F.col("weight")) < 1e-9, F.lit(False))
-    return both.groupBy("doc_id").agg(
-        F.bool_and(F.col("a").eqNullSafe(F.col("tf").cast("double"))).alias("same_counts"), F.bool_and(near).alias("same_weights")
-    )
+    raw, features = F.unwrap_udt("rawFeatures"), F.unwrap_udt("features")
+    # Both vectors are sparse and hold the same buckets in order; no more entries of a document are made than it has buckets.
+    vectors = fitted.select("doc_id", raw.alias("a"), features.alias("w")).where(F.size("a.indices") > 0)
+    whole = (F.size("a.indices") == F.size("w.indices")) & (F.col("a.indices") == F.col("w.indices"))
+    pairs = F.arrays_zip(F.col("a.indices").alias("pos"), F.col("a.values").alias("a"), F.col("w.values").alias("w"))
+    both = vectors.select("doc_id", whole.alias("whole"), pairs.alias("own")).join(gathered, "doc_id", "full_outer")
+    aligned = F.col("whole") & (F.size("own") == F.size("summed"))
+    fits = lambda test: F.coalesce(aligned & F.forall(F.zip_with("own", "summed", test), lambda x: x), F.lit(False))
+    same = lambda o, s: (o["pos"] == s["pos"]) & (o["a"] == s["tf"].cast("double"))
+    near = lambda o, s: (o["pos"] == s["pos"]) & (F.abs(o["w"] - s["weight"]) < 1e-9)
+    return both.groupBy("doc_id").agg(F.bool_and(fits(same)).alias("same_counts"), F.bool_and(fits(near)).alias("same_weights"))
 
 
 @query()
