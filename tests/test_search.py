@@ -63,8 +63,10 @@ def test_what_makes_two_fits_differ():
     assert strategies(classifier("forest", "label", numTrees=1), 9) == [9, 9, 3, 4, "0.5"]
 
 
-def test_fits_that_run_together_are_of_different_folds():
-    maps = param_maps(classifier("tree", "label"), {"maxDepth": (1, 3), "minInstancesPerNode": (1, 2)})
+def test_fits_that_run_together_are_of_different_folds(spark):
+    model = classifier("tree", "label")
+    depth, least = model.getParam("maxDepth"), model.getParam("minInstancesPerNode")
+    maps = [{depth: d, least: n} for d in (1, 3) for n in (1, 2)]
     cells = {(str(m), fold): m for fold in range(3) for m in range(4)}
     order = search.fit_order(cells, maps)
     assert sorted(order) == sorted(cells)
