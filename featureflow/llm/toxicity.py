@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import InitVar, dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +39,8 @@ MEMORY = 50_000
 NEAREST = 100
 BLOCK = 256
 # Texts, and postings that they meet, scored at a time.
-BATCH_TEXTS = 64
-BATCH_POSTINGS = 1 << 20
+BATCH_TEXTS = 128
+BATCH_POSTINGS = 1 << 22
 BINS = 10
 # Scores in single precision choose what is scored in double; they are off by less than this.
 SLACK = 1e-5
@@ -157,14 +157,19 @@ class Index:
     largest: np.ndarray  # block x dense term
     dense: np.ndarray  # term -> dense row, -1 for terms with postings
     heads: np.ndarray  # term -> first posting; one more at the end
-    posted: np.ndarray  # example of each posting
-    posted_weights: np.ndarray
+    posted: InitVar[np.ndarray]  # example of each posting
+    posted_weights: InitVar[np.ndarray]
     lengths: np.ndarray  # of examples, with terms weighted by how telling they are
     unseen: float  # idf of terms in no labelled text
     edges: np.ndarray  # votes -> probabilities
     rates: np.ndarray
     nothing: float = 0.0  # rate of texts without neighbours
     k: int = NEAREST
+    postings: np.ndarray = field(init=False)  # example in the upper 32 bits, single precision weight in the lower ones: read together
+
+    def __post_init__(self, posted: np.ndarray, posted_weights: np.ndarray) -> None:
+        self.postings = posted.astype("<i8") << 32
+        self.postings |= posted_weights.astype("<f4").view("<u4")
 
     def vectors(self, run: pa.RecordBatch, text: str) -> Iterator[Vector]:
         """Texts with known terms; all terms make up the unit length."""
@@ -194,14 +199,17 @@ class Index:
         if held:
             yield held
 
-    def _posted(self, row: np.ndarray, at: np.ndarray, value: np.ndarray, texts: int) -> np.ndarray:
-        """text x example: products of the terms with postings."""
-        first, size = self.heads[at], self.heads[at + 1] - self.heads[at]
-        ends = np.cumsum(size)
-        which = np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-        products = self.posted_weights[which] * np.repeat(value, size)
-        width = len(self.weights)
-        return np.bincount(np.repeat(row, size) * width + self.posted[which], weights=products, minlength=texts * width).reshape(texts, width)
+    def _met(self, at: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Postings of the terms, one term after the other: examples, products with the terms' values, and number per term."""
+        first, end = self.heads[at], self.heads[at + 1]
+        size = end - first
+        which = np.repeat(end - np.cumsum(size), size)
+        which += np.arange(len(which))
+        found = self.postings[which]
+        products = np.repeat(value, size)
+        products *= found.view("<f4")[::2]
+        found >>= 32
+        return found, products, size
 
     def nearest(self, batch: list[Vector]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Per text the ``k`` examples of largest cosine above 0, exactly, ties to the smaller place: places, cosines, and
@@ -209,46 +217,70 @@ class Index:
         none = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
         if not len(self.ids):
             return [none for _ in batch]
-        texts, blocks, k = len(batch), len(self.largest), self.k
-        row = np.repeat(np.arange(texts), [len(v.at) for v in batch])
-        at, value = np.concatenate([v.at for v in batch]), np.concatenate([v.value for v in batch])
-        column = self.dense[at]
-        common = column >= 0
+        texts, blocks, k, width = len(batch), len(self.largest), self.k, len(self.weights)
         full = np.zeros((texts, self.weights.shape[1]))
-        full[row[common], column[common]] = value[common]
+        part = np.empty((texts, width))
+        square = np.zeros(full.shape[1])  # telling, of dense terms
+        extra = []
+        # Postings text by text: what one text meets stays in the processor's cache.
+        for i, v in enumerate(batch):
+            column = self.dense[v.at]
+            common = column >= 0
+            full[i, column[common]] = v.value[common]
+            square[column[common]] = self.telling[v.at[common]] ** 2
+            at, value = v.at[~common], v.value[~common]
+            # Most terms tell nothing; those that do stand last, and what they add is found from the same postings.
+            told = self.telling[at]
+            order = np.argsort(told > 1, kind="stable")
+            at, value, told = at[order], value[order], told[order]
+            met, products, size = self._met(at, value)
+            part[i] = np.bincount(met, weights=products, minlength=width)
+            plain = int(np.searchsorted(told > 1, True))
+            skip = int(size[:plain].sum())
+            extra.append((met[skip:].copy(), products[skip:].copy(), np.cumsum(size[plain:]), told[plain:] ** 2 - 1))
         single = full.astype(np.float32)
-        part = self._posted(row[~common], at[~common], value[~common], texts)
-        bounds = part.reshape(texts, blocks, BLOCK).max(axis=2) + single @ self.largest.T
-        scores = np.full((texts, blocks, BLOCK), -1.0)
+        low, scores = part.astype(np.float32), np.full((texts, width), -1.0, dtype=np.float32)
+        bounds = low.reshape(texts, blocks, BLOCK).max(axis=2) + single @ self.largest.T
 
-        def fill(rows: np.ndarray, b: int) -> None:
-            span = slice(b * BLOCK, (b + 1) * BLOCK)
-            scores[rows, b] = part[rows, span] + single[rows] @ self.weights[span].T
+        def fill(rows: np.ndarray | slice, first: int, last: int) -> None:
+            span = slice(first * BLOCK, last * BLOCK)
+            found = single[rows] @ self.weights[span].T
+            found += low[rows, span]
+            scores[rows, span] = found
 
         # The block with the largest bound first: what it holds rules out others.
         every, first = np.arange(texts), bounds.argmax(axis=1)
         for b in np.unique(first):
-            fill(np.flatnonzero(first == b), b)
-        least = np.partition(scores[every, first], BLOCK - k, axis=1)[:, BLOCK - k] if k <= BLOCK else np.zeros(texts)
+            fill(np.flatnonzero(first == b), b, b + 1)
+        held = scores.reshape(texts, blocks, BLOCK)[every, first]
+        least = np.partition(held, BLOCK - k, axis=1)[:, BLOCK - k] if k <= BLOCK else np.zeros(texts)
         needed = (bounds >= least[:, None] - SLACK) & (bounds > 0)
         needed[every, first] = False
-        for b in np.flatnonzero(needed.any(axis=0)):
-            fill(np.flatnonzero(needed[:, b]), b)
-        scores = scores.reshape(texts, -1)
-        least = np.partition(scores, -k, axis=1)[:, -k] if k < scores.shape[1] else np.zeros(texts)
-        # Most terms tell nothing and count as they are.
-        extra = ~common & (self.telling[at] > 1)
-        told = part + self._posted(row[extra], at[extra], value[extra] * (self.telling[at[extra]] ** 2 - 1), texts)
-        weight = np.zeros(full.shape[1])
-        weight[self.dense[self.dense >= 0]] = self.telling[self.dense >= 0] ** 2
+        # One product for neighbouring blocks that most texts need; of the others only the texts that need them.
+        shared = needed.sum(axis=0) * 2 > texts
+        turns = np.flatnonzero(np.diff(shared, prepend=False, append=False))
+        for start, stop in zip(turns[::2], turns[1::2], strict=True):
+            fill(slice(None), start, stop)
+        for b in np.flatnonzero(needed.any(axis=0) & ~shared):
+            fill(np.flatnonzero(needed[:, b]), b, b + 1)
+        least = np.partition(scores, -k, axis=1)[:, -k] if k < width else np.zeros(texts)
+        chosen, slot = np.zeros(width, dtype=bool), np.zeros(width, dtype=np.int64)
         out = []
         for i, v in enumerate(batch):
-            best = np.flatnonzero((scores[i] >= least[i] - 2 * SLACK) & (scores[i] > 0))
-            rows = self.weights[best].astype(np.float64)
-            cosine = part[i, best] + rows @ full[i]
+            limit = least[i] - 2 * SLACK
+            best = np.flatnonzero(scores[i] >= limit if limit > 0 else scores[i] > 0)
+            own = np.flatnonzero(full[i])
+            rows = self.weights[best[:, None], own].astype(np.float64)
+            cosine = part[i, best] + rows @ full[i, own]
             order = np.lexsort((best, -np.round(cosine, 12)))[:k]
             best, cosine, rows = best[order], cosine[order], rows[order]
-            similar = (told[i, best] + rows @ (full[i] * weight)) / (self.lengths[best] * v.length)
+            met, products, ends, factor = extra[i]
+            chosen[best], slot[best] = True, np.arange(len(best))
+            hit = np.flatnonzero(chosen[met])
+            chosen[best] = False
+            products = products[hit] * factor[np.searchsorted(ends, hit, side="right")]
+            told = part[i, best] + np.bincount(slot[met[hit]], weights=products, minlength=len(best))
+            similar = (told + rows @ (full[i, own] * square[own])) / (self.lengths[best] * v.length)
             out.append((best, cosine, similar))
         return out
 
@@ -352,6 +384,7 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str = "doc_id
         posted_weights=value[rare].astype(np.float32), lengths=own_lengths[indexed], unseen=float(np.log((1 + size) / 2) + 1),
         edges=np.zeros(0), rates=np.zeros(0), k=k,
     )
+    del owner, own, spots, common, rare  # as long as all postings
 
     held_back = (Vector(i, at[ends[i] - lengths[i] : ends[i]], value[ends[i] - lengths[i] : ends[i]], own_lengths[i]) for i in np.flatnonzero((place >= INDEX_ROWS) & (lengths > 0)))
     votes, truth, without = [], [], toxic[(place >= INDEX_ROWS) & (lengths == 0)].tolist()

@@ -546,6 +546,45 @@ def test_nearest_examples_are_exact(monkeypatch, block, dense, postings):
         assert index.vote(best, similar) == pytest.approx((told**2 * toxic[best]).sum() / ((told**2).sum() + 0.1))
 
 
+def test_a_text_reads_the_postings_of_its_terms_once(monkeypatch):
+    """Telling terms count in the cosine and in the vote; both come from one reading, and full blocks from one product."""
+    monkeypatch.setattr(toxicity, "BLOCK", 8)
+    read, products = [], []
+
+    class Heads(np.ndarray):
+        def __getitem__(self, at):
+            read.append(np.size(at))
+            return np.asarray(self)[at]
+
+    class Product(np.ndarray):
+        def __getitem__(self, at):
+            if isinstance(at, slice):
+                products.append(at)
+            return np.asarray(self)[at]
+
+    rng = np.random.default_rng(5)
+    examples, terms, dense = 64, 12, 4
+    weights = rng.random((examples, terms)).astype(np.float32)
+    telling = np.where(np.arange(terms) % 2, 3.0, 1.0)
+    heads = np.maximum(0, np.arange(terms + 1) - dense) * examples
+    index = toxicity.Index(
+        terms=np.arange(terms), idf=np.ones(terms), telling=telling, ids=np.arange(examples), toxic=np.arange(examples) % 2,
+        weights=weights[:, :dense].copy().view(Product), largest=weights[:, :dense].reshape(8, 8, dense).max(axis=1), dense=np.where(np.arange(terms) < dense, np.arange(terms), -1),
+        heads=heads.view(Heads), posted=np.tile(np.arange(examples, dtype=np.int32), terms - dense), posted_weights=weights[:, dense:].T.ravel(),
+        lengths=np.sqrt(((weights * telling) ** 2).sum(axis=1)), unseen=1.0, edges=np.array([0, 1.0]), rates=np.array([0, 1.0]), k=50,
+    )
+    texts = [toxicity.Vector(i, np.arange(terms), value, 2.0) for i, value in enumerate(rng.random((6, terms)))]
+    found = index.nearest(texts)
+    assert sum(read) == len(texts) * (terms - dense) * 2  # where the postings of each term begin and end
+    # 50 of 64 examples need every block: the first one of each text, then all of them in one product.
+    assert len(products) <= len(texts) + 1
+    for v, (best, cosine, similar) in zip(texts, found, strict=True):
+        plain = weights.astype(float) @ v.value
+        assert best.tolist() == np.lexsort((np.arange(examples), -plain))[:50].tolist()
+        assert cosine == pytest.approx(plain[best])
+        assert similar == pytest.approx((weights[best] @ (v.value * telling**2)) / index.lengths[best] / 2)
+
+
 def test_toxicity_without_labels_and_with_awkward_rows(spark, awkward, labels):
     found = toxicity.toxicity(awkward, labels.where("false")).collect()
     assert len(found) == awkward.count() and all(r.score < 0.5 for r in found)
