@@ -5,6 +5,8 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -12,7 +14,9 @@ from featureflow.operators import search
 from featureflow.operators.models import categorical_pipeline, classifier
 from featureflow.operators.search import Facts, fit_key, param_maps, run_search, search_cells
 from featureflow.operators.split import fold_of
+from featureflow.plans import queries_models
 from featureflow.plans.passengers import FLOWS, flow_pipeline
+from featureflow.plans.registry import QUERIES
 from tests.conftest import SPARK_ERRORS
 
 FOREST = {"maxDepth": (2, 3), "maxBins": (8, 16, 32), "featureSubsetStrategy": ("auto", "sqrt", "log2")}
@@ -132,3 +136,77 @@ def test_encoders_are_fitted_on_fitting_rows_only(rows):
     strict = categorical_pipeline(classifier("tree", "label"), "label", strings=("a",), keep=False)
     with pytest.raises(SPARK_ERRORS, match="(?i)unseen"):
         search_cells(strict, {"maxDepth": (2,)}, odd, "label", 2, "areaUnderROC", pieces=2)
+
+
+def repeated(rows):
+    """The rows, some of them two or three times."""
+    return rows.withColumn("id", F.explode(F.sequence("id", F.col("id") + F.col("id") % 3)))
+
+
+def test_boosted_trees_learn_the_same_from_equal_rows_as_weights(rows, monkeypatch):
+    """Also where a node needs several rows, which fewer rows with weights may stand for."""
+    grid, twice = {"maxDepth": (5,), "minInstancesPerNode": (1, 3, 10, 60)}, repeated(rows).repartition(1).cache()
+    run = lambda: search_cells(pipeline("boosted", maxIter=3), grid, twice, "label", 2, "areaUnderPR", pieces=1)
+    seen, fit = [], GBTClassifier.fit
+
+    def counting(self, df, params):
+        seen.append((df.count(), df.agg(F.sum(search.WEIGHT)).first()[0] if search.WEIGHT in df.columns else None))
+        return fit(self, df, params)
+
+    monkeypatch.setattr(GBTClassifier, "fit", counting)
+    weighed = run()
+    assert {w for _, w in seen} == {float(twice.where(f"__fold <> {fold}").count()) for fold in range(2)}
+    assert min(n for n, _ in seen) <= 30 < max(n for n, _ in seen) < twice.count()
+    monkeypatch.setattr(search, "learns_from_weights", lambda *_: False)
+    plain = run()
+    assert {w for _, w in seen[len(weighed.maps) * 2 :]} == {None}
+    assert [x for m in weighed.areas for x in m] == pytest.approx([x for m in plain.areas for x in m], abs=1e-9)
+    assert len({tuple(m) for m in plain.areas}) > 1
+
+
+@pytest.mark.parametrize("least", [1, 3, 10])
+def test_copies_reach_a_number_of_rows_when_those_they_stand_for_do(spark, least):
+    counts = spark.createDataFrame([(k, float(n)) for k, n in enumerate([1, 2, 3, 9, 10, 11, 5000])], f"k int, {search.WEIGHT} double")
+    found = search.copies(counts, least).groupBy("k").agg(F.count("*"), F.sum(search.WEIGHT), F.min(search.WEIGHT)).collect()
+    assert {k: (n, w) for k, n, w, _ in found} == {k: (min(n, least), n) for k, n in counts.collect()}
+    assert all(m >= 1 for *_, m in found)
+
+
+def test_bins_matter_only_where_features_are_numbers(rows):
+    on_off = pipeline("boosted")
+    with_number = categorical_pipeline(classifier("boosted", "label"), "label", strings=("a",), numbers=("id",))
+    kept = [Pipeline(stages=p.getStages()[:-1]).fit(rows).transform(rows) for p in (on_off, with_number)]
+    assert [search.has_numbers(df) for df in kept] == [False, True]
+    assert [search.learns_from_weights(classifier("boosted", "label"), df) for df in kept] == [True, False]
+    assert not search.learns_from_weights(classifier("boosted", "label", subsamplingRate=0.5), kept[0])
+    assert not search.learns_from_weights(classifier("forest", "label"), kept[0])
+    many = [Facts(1_000_000, 20, 1_000_000, 1, numbers) for numbers in (False, True)]
+    assert [len({fit_key(classifier("forest", "label"), {"maxBins": b}, f) for b in (8, 16, 32)}) for f in many] == [1, 3]
+    found = search_cells(on_off, {"maxBins": (2, 8), "maxDepth": (2,)}, rows, "label", 2, "areaUnderROC", pieces=2)
+    alone = search_cells(on_off, {"maxBins": (2, 8), "maxDepth": (2,)}, rows, "label", 2, "areaUnderROC", pieces=2, share=False)
+    assert found.areas == alone.areas and (found.fits, alone.fits) == (2, 4)
+
+
+@pytest.mark.parametrize("name", ["cv_gbt"])
+def test_whole_searches_read_all_rows(spark, monkeypatch, name):
+    """More than 5,000 labelled rows: each is in one fold of the search."""
+    monkeypatch.setattr(queries_models, "split_base", lambda *_: (many_rows(spark, 7_001), many_rows(spark, 10).drop("Survived")))
+    seen = {}
+
+    def cells(pipeline, grid, searched, label, folds, *rest, **options):
+        seen.update(rows=searched.count(), keys=searched.select("passenger_id").distinct().count(), folds=folds)
+        raise StopIteration
+
+    monkeypatch.setattr(search, "search_cells", cells)
+    with pytest.raises(StopIteration):
+        QUERIES[name](spark, "")
+    assert seen == {"rows": 7_001, "keys": 7_001, "folds": 5}
+
+
+def many_rows(spark, n):
+    cells = {
+        "PassengerId": "id", "Survived": "cast(id % 3 = 0 as int)", "Pclass": "cast(id % 3 + 1 as int)", "Name": "concat('X, Mr. ', id)",
+        "Sex": "if(id % 2 = 0, 'male', 'female')", "Age": "cast(id % 70 as double)", "SibSp": "cast(id % 4 as int)", "Parch": "0",
+        "Ticket": "'T'", "Fare": "cast(id % 50 as double)", "Cabin": "'C1'", "Embarked": "'S'",
+    }
+    return spark.range(n).selectExpr(*(f"{v} AS {k}" for k, v in cells.items()))
