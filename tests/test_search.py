@@ -187,7 +187,7 @@ def test_bins_matter_only_where_features_are_numbers(rows):
     assert found.areas == alone.areas and (found.fits, alone.fits) == (2, 4)
 
 
-@pytest.mark.parametrize("name", ["cv_gbt", "cv_gbt_areas"])
+@pytest.mark.parametrize("name", ["cv_gbt", "cv_gbt_areas", "cv_rf_union"])
 def test_whole_searches_read_all_rows(spark, monkeypatch, name):
     """More than 5,000 labelled rows: each is in one fold of the search."""
     monkeypatch.setattr(queries_models, "split_base", lambda *_: (many_rows(spark, 7_001), many_rows(spark, 10).drop("Survived")))
